@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -28,6 +29,7 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
     types = [_arrow(f.dataType) for f in _schema(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.set_threshold(500_000, 20, 50)  # large dicts of strings hold no cycles; walking them often costs more than the work
         for out in rows(batches):
             yield pa.RecordBatch.from_arrays([x if isinstance(x := out[n], pa.Array) else pa.array(x, t) for n, t in zip(names, types)], names=names)
 

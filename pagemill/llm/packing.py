@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.base import WORD, map_arrow, slices, texts
-from pagemill.llm.tokens import Pieces
+from pagemill.llm.tokens import remembered
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -86,7 +86,7 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, window:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         context = TaskContext.get()
         serial = (context.partitionId() if context else 0) << 36
-        known = Pieces(path, ids=True)
+        known = remembered(path, True)
         waiting: list[Piece] = []
         tokens = 0
 

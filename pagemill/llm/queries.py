@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import packing, pieces, pii, quality, tokens
+from pagemill.llm import ann, extract, packing, pieces, pii, quality, tokens, warczip
 from pagemill.llm.base import table
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warczip.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -30,6 +34,11 @@ def op6_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op7_onebit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.search(rows, rows.where("vec_id % 50 = 0"))
+
+
 def op8_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"), pii.default_tagger())
 
@@ -38,8 +47,12 @@ def op9_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), keep_ids=False)
 
 
+def op10_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_quality_forest, op4_token_counts, op6_cost_packing, op8_pii_tagger, op9_suffix_pieces)}
+    return {f.__name__: f for f in (op2_warc_zip, op3_quality_forest, op4_token_counts, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text)}
 
 
 def oracle_sql() -> dict[str, str]:

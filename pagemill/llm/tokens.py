@@ -15,7 +15,9 @@ are independent, so copies and ties give equal rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 from collections import Counter
 from collections.abc import Iterator
 from operator import mul
@@ -27,8 +29,12 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.base import WORD, map_arrow, slices, texts
 
-#: Pre-tokens that a task remembers at most; beyond that it starts anew.
-REMEMBERED = 600_000
+#: Runs that a worker remembers at most; beyond that it starts anew.
+REMEMBERED = 1_200_000
+#: Runs of printable ASCII and of Latin-1 letters, none of which the normalizer composes, and how the splitter takes them apart in lower case.
+PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+MARK = "\x01"
 
 
 def load(path: str):
@@ -42,29 +48,76 @@ def load(path: str):
 
 
 class Pieces(dict):
-    """What the tokenizer gives for each pre-token: how many ids, or the ids as bytes."""
+    """What the tokenizer gives for each run: how many ids, or the ids as bytes.
+
+    A plain run is split here as the tokenizer does, so that forms
+    that differ in case or punctuation share their parts; distinct parts are
+    encoded many at a time with a mark between them. Any other run, and any that
+    may hold a special string, goes to the library as it is.
+    """
 
     def __init__(self, path: str, ids: bool = False):
         super().__init__()
-        self.path, self.ids, self.tokenizer = path, ids, None
+        self.ids, self.tokenizer, self.parts = ids, load(path), {}
+        self.empty = b"" if ids else 0
+        mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 and self._splits_alike() else None
+
+    def _splits_alike(self) -> bool:
+        """Whether this tokenizer's splitter is the one that SPLIT stands for."""
+        probe = "It's we've I'd THE'LL a1b22 x--y!? 'tis ''s #'re Äh ßÉÿ1"
+        mine = [x for w in WORD.findall(probe) for x in SPLIT.findall(w.lower())]
+        one = self.tokenizer.encode(probe, add_special_tokens=False).ids
+        return one == [i for e in self.tokenizer.encode_batch(mine, add_special_tokens=False) for i in e.ids]
+
+    def _value(self, ids):
+        return np.asarray(ids, "<u4").tobytes() if self.ids else len(ids)
+
+    def _encode_parts(self, new: list[str]) -> None:
+        for at in range(0, len(new), 8192):
+            some = new[at : at + 8192]
+            lines = [f" {MARK} ".join([*some[k : k + 256], ""]) for k in range(0, len(some), 256)]
+            ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)])
+            ends = np.flatnonzero(ids == self.mark)
+            starts = np.concatenate([[0], ends[:-1] + 1])
+            if self.ids:
+                raw = ids.tobytes()
+                self.parts.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts.tolist(), ends.tolist()))
+            else:
+                self.parts.update(zip(some, (ends - starts).tolist()))
 
     def learn(self, words) -> None:
         if len(self) > REMEMBERED:
             self.clear()
+            self.parts.clear()
         new = [w for w in words if w not in self]
-        if self.tokenizer is None:
-            self.tokenizer = load(self.path)
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes() if self.ids else len(e.ids)
+        easy = PLAIN.fullmatch if self.mark is not None else lambda w: None
+        plain = [w for w in new if easy(w) and "<|" not in w]
+        other = list(set(new).difference(plain)) if len(plain) < len(new) else []
+        split = [SPLIT.findall(w.lower()) for w in plain]
+        parts = self.parts
+        self._encode_parts(list({x for s in split for x in s if x not in parts}))
+        if self.ids:
+            self.update((w, parts[s[0]] if len(s) == 1 else b"".join([parts[x] for x in s])) for w, s in zip(plain, split))
+        else:
+            self.update((w, sum([parts[x] for x in s])) for w, s in zip(plain, split))
+        for at in range(0, len(other), 4096):
+            some = other[at : at + 4096]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self[w] = self._value(e.ids)
+
+
+@functools.lru_cache(maxsize=2)
+def remembered(path: str, ids: bool) -> Pieces:
+    """The memory of this worker process, which later tasks find filled."""
+    return Pieces(path, ids)
 
 
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit and n_pretokens of each text."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        pieces = Pieces(path)
+        pieces = remembered(path, False)
         for b in slices(batches, 500):
             whole = texts(b.column("text"))
             often = [Counter(WORD.findall(t)) for t in whole]
