@@ -11,8 +11,8 @@ The model at hand merges pairs by rank (it is of kind BPE), so the best path is
 one of largest summed score. A path is the library's result exactly if each
 piece in it encodes to itself and no two neighbours would have merged otherwise;
 there is one such path, and every prefix of it is the result of that prefix. So
-relaxing keeps for each position the one piece that may end there: an edge is
-taken if its piece goes with the piece that ends where it starts.
+relaxing takes an edge if its piece goes with the piece that ends where it starts,
+the longest first, and gives up a place for good if no edge leads on from it.
 
 Characters that no piece holds become byte pieces.
 
@@ -23,6 +23,7 @@ a null doc_id stays null; other columns are ignored; an empty table gives no row
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -172,98 +173,132 @@ def encode_segments(segments: list[str], vocabulary: Vocabulary) -> list[list[in
     times = end - first
     which = np.repeat(np.arange(len(usable)), times)
     at = order[np.arange(int(times.sum())) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)]
-    by_position = np.argsort(at, kind="stable")
+    by_position = np.argsort(at * (vocabulary.depth + 1) + vocabulary.depth - lengths[which], kind="stable")  # the longest first
     edge_at = at[by_position]
     edge_piece = usable[which][by_position].tolist()
     edge_end = (edge_at + lengths[which][by_position]).tolist()
     first_edge = np.searchsorted(edge_at, np.arange(len(text) + 1)).tolist()
 
     out: list[list[int]] = []
-    goes, check = vocabulary.goes, vocabulary.side_by_side
     start = 0
-    single = vocabulary.id
     for s in segments:
         stop = start + len(s)
-        last: dict[int, int] = {start: -1}
-        came: dict[int, int] = {}
-        for p in range(start, stop):
-            before = last.get(p)
-            if before is None:
-                continue
-            for e in range(first_edge[p], first_edge[p + 1]):
-                to = edge_end[e]
-                if to > stop or to in last:
-                    continue
-                piece = edge_piece[e]
-                if before >= 0:
-                    ok = goes.get(before << 20 | piece)
-                    if ok is None:
-                        ok = check(before, piece)
-                    if not ok:
-                        continue
-                last[to], came[to] = piece, p
-            if p + 1 not in last and joined[p] not in single:
-                last[p + 1], came[p + 1] = -2, p  # no piece holds this character: bytes, with which nothing merges
-        ids: list[int] = []
-        p = stop
-        while p > start:
-            if last[p] >= 0:
-                ids.append(last[p])
-            else:
-                ids.extend(vocabulary.bytes[x] for x in reversed(joined[p - 1].encode("utf-8", "replace")))
-            p = came[p]
-        out.append(ids[::-1])
+        out.append(relax(joined, start, stop, first_edge, edge_end, edge_piece, vocabulary))
         start = stop + 1
     return out
 
 
+def relax(joined: str, start: int, stop: int, first_edge: list[int], edge_end: list[int], edge_piece: list[int], vocabulary: Vocabulary) -> list[int]:
+    """The one path from start to stop. The pieces taken so far are always the result of their own text,
+    so a place from which no edge goes on is no border of the whole result and is not entered again."""
+    goes, check, single = vocabulary.goes, vocabulary.side_by_side, vocabulary.id
+    taken: list[tuple[int, int, int]] = []  # where a piece starts, the piece, its edge
+    dead: set[int] = set()
+    p, before, e = start, -1, first_edge[start]
+    while p < stop:
+        last = first_edge[p + 1]
+        while e < last:
+            to = edge_end[e]
+            if to <= stop and to not in dead:
+                piece = edge_piece[e]
+                if before < 0:
+                    break
+                ok = goes.get(before << 20 | piece)
+                if ok or ok is None and check(before, piece):
+                    break
+            e += 1
+        else:
+            if joined[p] not in single and p + 1 not in dead:  # no piece holds this character: bytes, with which nothing merges
+                taken.append((p, -2, last))
+                p, before = p + 1, -2
+                e = first_edge[p]
+                continue
+            dead.add(p)
+            p, _, e = taken.pop()
+            before = taken[-1][1] if taken else -1
+            e += 1
+            continue
+        taken.append((p, piece, e))
+        p, before = to, piece
+        e = first_edge[p]
+    ids: list[int] = []
+    for at, piece, _ in taken:
+        if piece >= 0:
+            ids.append(piece)
+        else:
+            ids.extend(vocabulary.bytes[x] for x in joined[at].encode("utf-8", "replace"))
+    return ids
+
+
 def segments_of(text: str) -> list[str]:
     return SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
 
 class Encoder:
-    """Remembers the segments it has met, up to a bound."""
+    """Remembers the segments it has met, up to a bound, with their ids as bytes."""
 
     def __init__(self, path: str):
-        self.path, self.vocabulary, self.known = path, None, {}
+        self.vocabulary, self.known = Vocabulary(path), {}
+        v = self.vocabulary
+        back = {i: bytes([x]) for x, i in v.bytes.items()}
+        self.plain = [back[i] if i in back else p.encode() for i, p in enumerate(v.pieces)]
+        self.changed: set[str] = set()  # segments that decoding does not give back
 
-    def encode(self, whole: list[str]) -> list[np.ndarray]:
-        if self.vocabulary is None:
-            self.vocabulary = Vocabulary(self.path)
+    def learn(self, segments) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
+            self.changed.clear()
             self.vocabulary.goes.clear()
+        new = [s for s in segments if s not in self.known]
+        for at in range(0, len(new), 100_000):
+            some = new[at : at + 100_000]
+            for s, ids in zip(some, encode_segments(some, self.vocabulary)):
+                self.known[s] = np.array(ids, "<u4").tobytes()
+                if b"".join([self.plain[i] for i in ids]) != s.encode("utf-8", "surrogatepass"):
+                    self.changed.add(s)
+
+    def encode(self, whole: list[str]) -> list[np.ndarray]:
         split = [segments_of(t) for t in whole]
-        new = sorted({s for x in split for s in x if s not in self.known})
-        for s, ids in zip(new, encode_segments(new, self.vocabulary)):
-            self.known[s] = np.array(ids, "<u4").tobytes()
+        self.learn(set().union(*split))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, x)), "<u4") for x in split]
 
     def decode(self, ids: np.ndarray) -> str:
-        if self.vocabulary is None:
-            self.vocabulary = Vocabulary(self.path)
-        v = self.vocabulary
-        back = {i: bytes([x]) for x, i in v.bytes.items()}
-        raw = b"".join(back[i] if i in back else v.pieces[i].encode() for i in ids.tolist())
-        return raw.decode("utf-8", "replace").replace(SPACE, " ")[1:]
+        return b"".join(map(self.plain.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(SPACE, " ")[1:]
+
+
+@functools.lru_cache(maxsize=2)
+def remembered(path: str) -> Encoder:
+    """The memory of this worker process, which later tasks find filled."""
+    return Encoder(path)
 
 
 def encode_documents(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_chars, n_pieces, the checksum of the ids (32-bit, little-endian), whether decoding gives the text back, and the ids, if asked for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        encoder = Encoder(path)
-        table = None
-        for b in slices(batches, 1500):
+        encoder = remembered(path)
+        for b in slices(batches, 1000):
             whole = texts(b.column("text"))
-            ids = encoder.encode(whole)
-            if table is None:
-                v = encoder.vocabulary
-                back = {i: bytes([x]) for x, i in v.bytes.items()}
-                table = [back[i] if i in back else p.encode() for i, p in enumerate(v.pieces)]
-            plain = [b"".join(map(table.__getitem__, x.tolist())).decode("utf-8", "replace").replace(SPACE, " ")[1:] for x in ids]
-            out = {"doc_id": b.column("doc_id"), "n_chars": [len(t) for t in whole], "n_pieces": [len(x) for x in ids], "ids_crc32": [zlib.crc32(x.tobytes()) for x in ids], "round_trip": [p == t.replace(SPACE, " ") for p, t in zip(plain, whole)]}
-            yield out | ({"ids": [x.tolist() for x in ids]} if keep_ids else {})
+            split = [segments_of(t) for t in whole]
+            encoder.learn(set().union(*split))
+            known, changed = encoder.known, encoder.changed
+            ids = [b"".join(map(known.__getitem__, x)) for x in split]
+            # decoding is the pieces' texts in order, so a text comes back if all its segments do
+            same = [not changed or changed.isdisjoint(x) for x in split]
+            out = {"doc_id": b.column("doc_id"), "n_chars": [len(t) for t in whole], "n_pieces": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids], "round_trip": same}
+            yield out | ({"ids": [np.frombuffer(x, "<u4").tolist() for x in ids]} if keep_ids else {})
 
     schema = "doc_id long, n_chars long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if keep_ids else "")
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), rows, schema)
+
+
+def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id and text of rows with ids; null ids give empty text, unknown ids are left out."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        encoder = remembered(path)
+        for b in slices(batches, 1000):
+            lists = [[i for i in x or [] if i is not None and 0 <= i < len(encoder.plain)] for x in b.column("ids").to_pylist()]
+            yield {"doc_id": b.column("doc_id"), "text": [encoder.decode(np.array(x, np.int64)) for x in lists]}
+
+    return map_arrow(encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids"), rows, "doc_id long, text string")
