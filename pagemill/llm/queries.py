@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import ann, extract, packing, pieces, pii, quality, tokens, warczip
+from pagemill.llm import ann, extract, interpolate, neardup, packing, pieces, pii, quality, tokens, warczip
 from pagemill.llm.base import table
 
 
@@ -17,6 +17,10 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interpolate.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warczip.round_trip(table(spark, sf_dir, "pages"))
 
@@ -30,6 +34,10 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
 
+def op5_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.similar(table(spark, sf_dir, "documents"))
+
+
 def op6_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
 
@@ -52,7 +60,7 @@ def op10_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_warc_zip, op3_quality_forest, op4_token_counts, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text)}
+    return {f.__name__: f for f in (op1_deleted_interpolation, op2_warc_zip, op3_quality_forest, op4_token_counts, op5_forest_join, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text)}
 
 
 def oracle_sql() -> dict[str, str]:
