@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
-The distinct segments of a batch of texts (a run of space marks and what follows
-up to the next one, which no piece crosses) are laid end to end and a suffix
+A text is cut wherever two neighbouring characters stand together in no piece, as
+no merge crosses there. The distinct segments of a batch of texts are laid end to end and a suffix
 array of that text is built to the depth of the longest piece. All pieces are
 searched in it at once by bisection; each gives the range of its occurrences.
 The occurrences are the edges of one lattice; sorted by position they are relaxed
@@ -24,7 +24,6 @@ a null doc_id stays null; other columns are ignored; an empty table gives no row
 from __future__ import annotations
 
 import functools
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -36,8 +35,8 @@ from pyspark.sql import functions as F
 from pagemill.llm.base import map_arrow, slices, texts
 
 SPACE = "▁"
-SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-REMEMBERED = 600_000
+#: Segments that a worker remembers at most; beyond that it starts anew.
+REMEMBERED = 1_000_000
 
 
 class Vocabulary:
@@ -61,6 +60,15 @@ class Vocabulary:
                 self.usable.append(i)
                 if len(parts) == 2:
                     self.halves[i] = (parts[0], parts[1])
+        # classes of characters as the first and as the second of two inside a piece, and which classes meet
+        pairs = sorted({(x, y) for p in self.id for x, y in zip(p, p[1:])})
+        left, right = sorted({x for x, _ in pairs}), sorted({y for _, y in pairs})
+        self.as_first, self.as_second = np.zeros(0x110000, np.uint16), np.zeros(0x110000, np.uint16)
+        self.as_first[[ord(c) for c in left]] = np.arange(1, len(left) + 1)
+        self.as_second[[ord(c) for c in right]] = np.arange(1, len(right) + 1)
+        self.inside = np.zeros((len(left) + 1, len(right) + 1), bool)
+        for x, y in pairs:
+            self.inside[self.as_first[ord(x)], self.as_second[ord(y)]] = True
         self.depth = max((len(self.pieces[i]) for i in self.usable), default=1)
         self.goes: dict[int, bool] = {}
 
@@ -230,8 +238,23 @@ def relax(joined: str, start: int, stop: int, first_edge: list[int], edge_end: l
     return ids
 
 
-def segments_of(text: str) -> list[str]:
-    return SEGMENT.findall(SPACE + text.replace(" ", SPACE)) if text else []
+def segments_of(whole: list[str], vocabulary: Vocabulary) -> list[list[str]]:
+    """The segments of each text, which begins with a space mark of its own."""
+    marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in whole]
+    joined = "\n".join(marked)
+    if not joined:
+        return [[] for _ in whole]
+    code = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+    begin = np.cumsum([0] + [len(t) + 1 for t in marked])
+    border = np.ones(len(code) + 2, bool)
+    border[1 : len(code)] = ~vocabulary.inside[vocabulary.as_first[code[:-1]], vocabulary.as_second[code[1:]]]
+    border[begin[:-1]] = border[begin[1:] - 1] = True  # texts and the line ends between them stand alone
+    border[len(code) + 1] = False
+    cut = np.flatnonzero(border)
+    edges = cut.tolist()
+    parts = [joined[a:b] for a, b in zip(edges, edges[1:])]
+    first, last = np.searchsorted(cut, begin[:-1]).tolist(), np.searchsorted(cut, begin[1:] - 1).tolist()
+    return [parts[a:b] for a, b in zip(first, last)]
 
 
 class Encoder:
@@ -258,7 +281,7 @@ class Encoder:
                     self.changed.add(s)
 
     def encode(self, whole: list[str]) -> list[np.ndarray]:
-        split = [segments_of(t) for t in whole]
+        split = segments_of(whole, self.vocabulary)
         self.learn(set().union(*split))
         return [np.frombuffer(b"".join(map(self.known.__getitem__, x)), "<u4") for x in split]
 
@@ -279,7 +302,7 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = True) -> DataF
         encoder = remembered(path)
         for b in slices(batches, 1000):
             whole = texts(b.column("text"))
-            split = [segments_of(t) for t in whole]
+            split = segments_of(whole, encoder.vocabulary)
             encoder.learn(set().union(*split))
             known, changed = encoder.known, encoder.changed
             ids = [b"".join(map(known.__getitem__, x)) for x in split]
