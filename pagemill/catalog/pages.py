@@ -27,25 +27,22 @@ def records(spark, sf_dir, **more):
     return plan.index_record(html.with_html(pages(spark, sf_dir)), load_time(), **more)
 
 
-u = F.col("url")
-
-
 @query(f"SELECT page_id, {NORM} AS url_s, lower(split_part(url, '://', 1)) AS url_protocol_s, length({NORM})::BIGINT AS url_chars_i FROM pages")
 def url_core(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", U.normal_form(u).alias("url_s"), U.scheme(u).alias("url_protocol_s"), F.length(U.normal_form(u)).cast("long").alias("url_chars_i"))
+    return pages(spark, sf_dir).select("page_id", U.normal_form(F.col("url")).alias("url_s"), U.scheme(F.col("url")).alias("url_protocol_s"), F.length(U.normal_form(F.col("url"))).cast("long").alias("url_chars_i"))
 
 
 @query(f"""SELECT page_id, {HOST} AS host_s, split_part({HOST}, '.', -1) AS host_dnc_s, split_part({HOST}, '.', -2) AS host_organization_s,
  split_part({HOST}, '.', -2) || '.' || split_part({HOST}, '.', -1) AS host_organizationdnc_s, regexp_extract({HOST}, '^(.*)\\.[^.]*\\.[^.]*$', 1) AS host_subdomain_s FROM pages""")
 def url_host_parts(spark, sf_dir):
-    h = U.host(u)
+    h = U.host(F.col("url"))
     return pages(spark, sf_dir).select("page_id", h.alias("host_s"), U.domain_class(h).alias("host_dnc_s"), U.organization(h).alias("host_organization_s"), U.organization_domain(h).alias("host_organizationdnc_s"), U.subdomain(h).alias("host_subdomain_s"))
 
 
 @query(f"""SELECT page_id, len(list_filter(string_split(regexp_extract({PATH}, '^(.*)/[^/]*$', 1), '/'), lambda s: s <> ''))::BIGINT AS url_paths_count_i,
  array_to_string(list_filter(string_split(regexp_extract({PATH}, '^(.*)/[^/]*$', 1), '/'), lambda s: s <> ''), '|') AS url_paths FROM pages""")
 def url_paths(spark, sf_dir):
-    s = U.path_segments(u)
+    s = U.path_segments(F.col("url"))
     return pages(spark, sf_dir).select("page_id", F.size(s).cast("long").alias("url_paths_count_i"), F.array_join(s, "|").alias("url_paths"))
 
 
@@ -53,36 +50,36 @@ def url_paths(spark, sf_dir):
  array_to_string(list_transform(list_filter(string_split({QUERY}, '&'), lambda s: s <> ''), lambda s: regexp_extract(s, '^([^=]*)', 1)), '|') AS keys,
  array_to_string(list_transform(list_filter(string_split({QUERY}, '&'), lambda s: s <> ''), lambda s: regexp_extract(s, '^[^=]*=(.*)$', 1)), '|') AS vals FROM pages""")
 def url_params(spark, sf_dir):
-    p = U.parameters(u)
+    p = U.parameters(F.col("url"))
     return pages(spark, sf_dir).select("page_id", F.size(p).cast("long").alias("url_parameter_i"), F.array_join(F.map_keys(p), "|").alias("keys"), F.array_join(F.map_values(p), "|").alias("vals"))
 
 
 @query(f"""SELECT page_id, regexp_replace(regexp_extract({PATH}, '([^/]*)$', 1), '\\.[^.]*$', '') AS stem, lower(regexp_extract(regexp_extract({PATH}, '([^/]*)$', 1), '\\.([^.]*)$', 1)) AS ext FROM pages""")
 def url_file(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", U.file_stem(u).alias("stem"), U.file_extension(u).alias("ext"))
+    return pages(spark, sf_dir).select("page_id", U.file_stem(F.col("url")).alias("stem"), U.file_extension(F.col("url")).alias("ext"))
 
 
 @query(f"SELECT page_id, url LIKE 'http://%' AS http_unique_b, {HOST} LIKE 'www.%' AS www_unique_b, NOT contains({HOST}, '.') AS local_b, CASE WHEN url LIKE 'https%' THEN 443 ELSE 80 END::BIGINT AS port FROM pages")
 def url_flags(spark, sf_dir):
-    h = U.host(u)
-    return pages(spark, sf_dir).select("page_id", (U.scheme(u) == "http").alias("http_unique_b"), h.startswith("www.").alias("www_unique_b"), U.is_local(h).alias("local_b"), U.port(u).cast("long").alias("port"))
+    h = U.host(F.col("url"))
+    return pages(spark, sf_dir).select("page_id", (U.scheme(F.col("url")) == "http").alias("http_unique_b"), h.startswith("www.").alias("www_unique_b"), U.is_local(h).alias("local_b"), U.port(F.col("url")).cast("long").alias("port"))
 
 
 @query(r"SELECT page_id, array_to_string(list_filter(string_split_regex(regexp_replace(url, '(\p{Ll})(\p{Lu})', '\1 \2', 'g'), '[^\p{L}\p{N}]+'), lambda s: s <> ''), ' ') AS tokens FROM pages")
 def url_tokens(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", F.array_join(U.tokens(u), " ").alias("tokens"))
+    return pages(spark, sf_dir).select("page_id", F.array_join(U.tokens(F.col("url")), " ").alias("tokens"))
 
 
 @query(f"""WITH p AS (SELECT page_id, lower(split_part(url, '://', 1)) || '://' || {HOST} AS base, list_filter(string_split(regexp_extract({PATH}, '^(.*)/[^/]*$', 1), '/'), lambda s: s <> '') AS parts FROM pages)
  SELECT page_id, CASE WHEN i = 0 THEN base || '/' ELSE base || '/' || array_to_string(parts[1:i], '/') || '/' END AS sub FROM p, unnest(range(0, len(parts) + 1)) AS t(i)""")
 def url_sub_paths(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", F.explode(U.sub_urls(u)).alias("sub"))
+    return pages(spark, sf_dir).select("page_id", F.explode(U.sub_urls(F.col("url"))).alias("sub"))
 
 
 @query(r"SELECT page_id, regexp_replace(regexp_replace(url, '^http://', 'https://'), '[?].*$', '') AS rewritten FROM pages")
 def url_rewrite(spark, sf_dir):
     rules = [(r"http://.*", "https://"), (r".*[?].*", "")]
-    out = U.rewritten(u, [])
+    out = U.rewritten(F.col("url"), [])
     for pattern, cut, new in ((rules[0][0], "^http://", rules[0][1]), (rules[1][0], "[?].*$", rules[1][1])):
         out = F.when(out.rlike(f"^(?:{pattern})$"), F.regexp_replace(out, cut, new)).otherwise(out)
     return pages(spark, sf_dir).select("page_id", out.alias("rewritten"))
@@ -95,7 +92,7 @@ def url_embedded(spark, sf_dir):
 
 @query("SELECT md5(url_s) AS id, '{\"index\":{\"_index\":\"web\",\"_id\":\"' || md5(url_s) || '\"}}' || chr(10) || '{\"url_s\":\"' || url_s || '\"}' AS line FROM (SELECT " + NORM + " AS url_s FROM pages)")
 def page_md5_bulk_lines(spark, sf_dir):
-    p = pages(spark, sf_dir).select(F.md5(U.normal_form(u)).alias("id"), U.normal_form(u).alias("url_s"))
+    p = pages(spark, sf_dir).select(F.md5(U.normal_form(F.col("url"))).alias("id"), U.normal_form(F.col("url")).alias("url_s"))
     return plan.bulk_lines(p).select(F.get_json_object(F.split_part("value", F.lit("\n"), F.lit(1)), "$.index._id").alias("id"), F.col("value").alias("line"))
 
 
@@ -104,12 +101,12 @@ RULES = [("english", r".*/en/.*"), ("german", r".*/de/.*"), ("secure", r"https:/
 
 @query("SELECT page_id, array_to_string(list_filter([" + ", ".join(f"CASE WHEN regexp_full_match(url, '{p}') THEN '{n}' END" for n, p in RULES) + "], lambda x: x IS NOT NULL), ',') AS collections FROM pages")
 def collections_match(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", F.array_join(matching_rules(u, RULES), ",").alias("collections"))
+    return pages(spark, sf_dir).select("page_id", F.array_join(matching_rules(F.col("url"), RULES), ",").alias("collections"))
 
 
 @query(f"WITH p AS (SELECT page_id, {NORM} AS url_s FROM pages) SELECT page_id, regexp_replace(url_s, '[?].*$', '') = url_s AS canonical, CASE WHEN regexp_replace(url_s, '[?].*$', '') = url_s THEN 'parsed' ELSE 'noncanonical' END AS status FROM p")
 def canonical_split(spark, sf_dir):
-    p = pages(spark, sf_dir).select("page_id", U.normal_form(u).alias("url_s")).withColumn("canonical_s", F.regexp_replace("url_s", "[?].*$", ""))
+    p = pages(spark, sf_dir).select("page_id", U.normal_form(F.col("url")).alias("url_s")).withColumn("canonical_s", F.regexp_replace("url_s", "[?].*$", ""))
     return p.select("page_id", plan.is_canonical(p).alias("canonical"), F.when(plan.is_canonical(p), "parsed").otherwise("noncanonical").alias("status"))
 
 
@@ -176,4 +173,4 @@ def rss_items(spark, sf_dir):
 @query("SELECT page_id, CASE WHEN url LIKE 'http://%' THEN 'c1' END AS crawl_id_s, CASE WHEN url LIKE 'http://%' THEN 'u7' END AS user_id_s FROM pages")
 def enriched_records(spark, sf_dir):
     crawls = spark.createDataFrame([("http", "c1", "u7"), ("https", "", "")], "job string, crawl_id string, user_id string")
-    return plan.enriched(pages(spark, sf_dir).select("page_id", U.scheme(u).alias("job")), crawls, "job").select("page_id", "crawl_id_s", "user_id_s")
+    return plan.enriched(pages(spark, sf_dir).select("page_id", U.scheme(F.col("url")).alias("job")), crawls, "job").select("page_id", "crawl_id_s", "user_id_s")

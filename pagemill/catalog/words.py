@@ -16,40 +16,37 @@ def docs(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
-t = F.col("text")
-
-
 @query("SELECT doc_id, CASE WHEN text = '' THEN 0 ELSE length(text) - length(replace(text, ' ', '')) + 1 END::BIGINT AS wordcount_i FROM documents")
 def doc_wordcount(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.word_count(t).alias("wordcount_i"))
+    return docs(spark, sf_dir).select("doc_id", T.word_count(F.col("text")).alias("wordcount_i"))
 
 
 @query("SELECT doc_id, len(string_split(text, chr(10)))::BIGINT AS lines, string_split(text, chr(10))[-1] AS last_line FROM documents")
 def doc_lines(spark, sf_dir):
-    lines = F.split(t, "\n")
+    lines = F.split(F.col("text"), "\n")
     return docs(spark, sf_dir).select("doc_id", F.size(lines).cast("long").alias("lines"), F.element_at(lines, -1).alias("last_line"))
 
 
 @query(r"""WITH s AS (SELECT doc_id, list_filter(list_transform(string_split(regexp_replace(regexp_replace(text, '[\x00- ]+', ' ', 'g'), '([.!?][^\p{L}\p{Nd}.!?])', '\1' || chr(1), 'g'), chr(1)), lambda x: trim(x)), lambda x: x <> '') AS s FROM documents)
  SELECT doc_id, len(s)::BIGINT AS sentences, s[1] AS first_sentence FROM s""")
 def doc_sentences(spark, sf_dir):
-    s = T.sentences(t)
+    s = T.sentences(F.col("text"))
     return docs(spark, sf_dir).select("doc_id", F.size(s).cast("long").alias("sentences"), F.try_element_at(s, F.lit(1)).alias("first_sentence"))
 
 
 @query(r"SELECT doc_id, trim(regexp_replace(text, '[\x00- ]+', ' ', 'g')) AS line FROM documents")
 def clean_line(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.clean_line(t).alias("line"))
+    return docs(spark, sf_dir).select("doc_id", T.clean_line(F.col("text")).alias("line"))
 
 
 @query("SELECT doc_id, replace(replace(replace(replace(replace(lower(trim(text)), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'), ',', ' ') AS term FROM documents")
 def normalize_term(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", T.normalized_term(t).alias("term"))
+    return docs(spark, sf_dir).select("doc_id", T.normalized_term(F.col("text")).alias("term"))
 
 
 @query("""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(list_transform(CASE WHEN contains(text, ',') THEN string_split(text, ',') WHEN contains(text, ';') THEN string_split(text, ';') ELSE string_split_regex(text, '\\s+') END, lambda x: trim(x)), lambda x: x <> ''))), '|') AS keywords FROM documents""")
 def keywords_split(spark, sf_dir):
-    return docs(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(T.keywords(t)), "|").alias("keywords"))
+    return docs(spark, sf_dir).select("doc_id", F.array_join(F.array_sort(T.keywords(F.col("text"))), "|").alias("keywords"))
 
 
 CHARSETS = {"utf8": "UTF-8", "UTF_8": "UTF-8", "iso8859_1": "ISO-8859-1", "cp1252": "windows-1252", "x": None, "us-ascii": "US-ASCII", "latin1": "ISO-8859-1", "koi8-r": "KOI8-R"}
@@ -67,7 +64,7 @@ def bytes_pretty(spark, sf_dir):
 
 @query()
 def dates_in_content(spark, sf_dir):
-    found = times.dates_in_text(dt.date(2020, 6, 1))(t)
+    found = times.dates_in_text(dt.date(2020, 6, 1))(F.col("text"))
     return docs(spark, sf_dir).select("doc_id", found.alias("dates_in_content_dts")).withColumn("dates_in_content_count_i", F.size("dates_in_content_dts"))
 
 
