@@ -63,5 +63,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_deleted_interpolation, op2_warc_zip, op3_quality_forest, op4_token_counts, op5_forest_join, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text)}
 
 
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Twenty bits of the hexadecimal digest are four digits of base 32.
+DIGEST = "list_reduce(list_transform(range(0, 8), lambda i: " + " || ".join(f"substring('{BASE32}', ((('0x' || substring(h, (5 * i + 1)::BIGINT, 5))::INTEGER >> {k}) & 31) + 1, 1)" for k in (15, 10, 5, 0)) + "), lambda a, b: a || b)"
+SQL = {
+    "op2_warc_zip": f"""WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages), d AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha1(html) AS h FROM p),
+ m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS first FROM d)
+ SELECT page_id, payload_bytes, {DIGEST} AS payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < first THEN first END AS refers_to FROM m""",
+    "op7_onebit_search": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS n FROM v),
+ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) / (q.n * c.n) AS score FROM n q JOIN n c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 AND q.n > 0 AND c.n > 0),
+ r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s) SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)

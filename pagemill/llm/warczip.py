@@ -12,7 +12,7 @@ input, so an attempt that is repeated leaves the same package.
 
 Equal payloads: the row of largest page_id is written as response, all others as
 revisit records that refer to it and keep the HTTP headers, so the length stays
-known. Of rows with equal id and payload one is the response.
+known. Rows that repeat the largest id are all responses.
 
 Defined results: null html is an empty payload; a null page_id ranks below all
 others and is returned as null; a null url becomes an empty target; payloads below
@@ -216,18 +216,19 @@ def gzipped(data: bytes) -> bytes:
 
 
 def roles(pages: DataFrame, least: int = 0) -> DataFrame:
-    """Rows that are revisits: rid and the page id they refer to. ``pages`` has rid, page_id and html."""
-    slim = pages.select("rid", F.coalesce("page_id", F.lit(NO_ID)).alias("pid"), F.length(F.col("html").cast("binary")).alias("bytes"), F.sha1(F.col("html").cast("binary")).alias("digest")).where(F.col("bytes") >= least)
-    first = slim.groupBy("digest").agg(F.max(F.struct("pid", "rid")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "first")
-    return slim.join(first, "digest").where("rid <> first.rid").select("rid", F.col("first.pid").alias("refers"))
+    """(pid, digest) of the revisits with the page id they refer to. ``pages`` has pid, digest and bytes."""
+    slim = pages.select("pid", "bytes", "digest").where(F.col("bytes") >= least).drop("bytes")
+    first = slim.groupBy("digest").agg(F.max("pid").alias("refers"), F.min("pid").alias("least")).where("least < refers").select("digest", "refers")
+    return slim.join(first, "digest").where("pid < refers").select("pid", "digest", "refers").distinct()
 
 
 def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes: int = 48 << 20) -> DataFrame:
     """Writes packages and returns a row for each: path, records."""
-    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumn("rid", F.monotonically_increasing_id())
+    body = F.col("html").cast("binary")
+    pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumns({"pid": F.coalesce("page_id", F.lit(NO_ID)), "bytes": F.octet_length("html"), "digest": F.sha1(body)})
     revisits = written(roles(pages, least), "revisits")
-    few = revisits.limit(100_001).count() <= 100_000  # 1.6 MB at most; else a shuffle join
-    dealt = pages.join(F.broadcast(revisits) if few else revisits, "rid", "left").select("page_id", "url", "html", F.col("refers").isNotNull().alias("again"), F.when(F.col("refers") != NO_ID, F.col("refers")).alias("refers"))
+    few = revisits.limit(50_001).count() <= 50_000  # 3 MB at most; else a shuffle join
+    dealt = pages.join(F.broadcast(revisits) if few else revisits, ["pid", "digest"], "left").select("page_id", "url", "html", F.col("refers").isNotNull().alias("again"), F.when(F.col("refers") != NO_ID, F.col("refers")).alias("refers"))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         context = TaskContext.get()
