@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pagemill.llm.base import map_arrow, slices, texts, written
 from pagemill.llm.graph import components
 
-TREES, DEEPEST = 32, 8
+TREES, DEEPEST = 48, 8
 BLOCK = 200
 REMEMBERED = 1_000_000
 U = np.uint64
@@ -110,8 +110,8 @@ def signatures(docs: DataFrame, n: int, length: int) -> DataFrame:
             for doc, text in zip(b.column("doc_id").to_pylist(), texts(b.column("text"))):
                 s = shingles(text)
                 if len(s):
-                    print_ = np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8")
-                    ids.append(doc), first.append(int(print_[0])), second.append(int(print_[1])), labels.append(forest(s))
+                    h1, h2 = fingerprint(s)
+                    ids.append(doc), first.append(h1), second.append(h2), labels.append(forest(s))
             flat = pa.array(np.concatenate(labels) if labels else np.zeros(0, np.int64))
             yield {"doc_id": ids, "h1": first, "h2": second, "labels": pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * TREES), flat)}
 
@@ -126,7 +126,7 @@ def matches(classes: DataFrame) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            key, rep = b.column("label").to_numpy(), b.column("rep").to_numpy()
+            key, rep = b.column("label").to_numpy(), b.column("h1").to_numpy()
             starts = np.concatenate([[key[0] != last], key[1:] != key[:-1]])
             at = np.maximum.accumulate(np.where(starts, np.arange(len(key)), -1))
             root = np.where(at >= 0, rep[np.maximum(at, 0)], first)
@@ -135,8 +135,8 @@ def matches(classes: DataFrame) -> DataFrame:
             yield {"a": pairs[:, 0], "b": pairs[:, 1]}
             last, first = key[-1], root[-1]
 
-    spread = classes.select("rep", F.explode("labels").alias("label"))
-    return map_arrow(spread.repartition("label").sortWithinPartitions("label", "rep"), runs, "a long, b long").distinct()
+    spread = classes.select("h1", F.explode("labels").alias("label"))
+    return map_arrow(spread.repartition("label").sortWithinPartitions("label", "h1"), runs, "a long, b long").distinct()
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
@@ -169,9 +169,9 @@ def linked(sets: list[np.ndarray], similarity: float) -> np.ndarray:
     return out
 
 
-def spanning(rep: np.ndarray, link: np.ndarray) -> np.ndarray:
+def spanning(node: np.ndarray, link: np.ndarray) -> np.ndarray:
     """For each class the least class that its links lead to."""
-    root = rep.copy()
+    root = node.copy()
     while True:
         near = np.where(link, root[None, :], np.iinfo(np.int64).max).min(1, initial=np.iinfo(np.int64).max)
         new = np.minimum(root, near)
@@ -180,8 +180,13 @@ def spanning(rep: np.ndarray, link: np.ndarray) -> np.ndarray:
         root = new
 
 
+def fingerprint(s: np.ndarray) -> tuple[int, int]:
+    return tuple(np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8").tolist())
+
+
 def verified(candidates: DataFrame, n: int, similarity: float) -> DataFrame:
-    """rep, links (documents), root: of each two blocks of a component. Rows stand sorted by component and blocks."""
+    """node, links (documents), root: of each two blocks of a component. Rows stand sorted by component, blocks and node;
+    a row whose text is not that of its node (its id stands for several texts) is passed over."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingles = Shingles(n)
@@ -190,7 +195,7 @@ def verified(candidates: DataFrame, n: int, similarity: float) -> DataFrame:
         def close() -> Iterator[dict]:
             if len(held) < 2:
                 return
-            rep = np.array([h[0] for h in held])
+            node = np.array([h[0] for h in held])
             block = np.array([h[1] for h in held])
             copies = np.array([h[2] for h in held])
             link = linked([h[3] for h in held], similarity)
@@ -198,42 +203,49 @@ def verified(candidates: DataFrame, n: int, similarity: float) -> DataFrame:
                 link &= block[:, None] != block[None, :]
             some = link.any(1)
             if some.any():
-                yield {"rep": rep[some], "links": (link @ copies)[some], "root": spanning(rep, link)[some]}
+                yield {"node": node[some], "links": (link @ copies)[some], "root": spanning(node, link)[some]}
 
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("comp", "lo", "hi", "rep", "block", "copies", "text")]
-            for comp, lo, hi, rep, block, copies, text in zip(*cols):
+            cols = [b.column(c).to_pylist() for c in ("comp", "lo", "hi", "node", "h2", "block", "copies", "text")]
+            for comp, lo, hi, node, h2, block, copies, text in zip(*cols):
                 if (comp, lo, hi) != key:
                     if key is not None:
                         yield from close()
                     key, held = (comp, lo, hi), []
-                held.append((rep, block, copies, shingles(text)))
+                if held and held[-1][0] == node:
+                    continue
+                s = shingles(text)
+                if fingerprint(s) == (node, h2):
+                    held.append((node, block, copies, s))
         if key is not None:
             yield from close()
 
-    return map_arrow(candidates, rows, "rep long, links long, root long")
+    return map_arrow(candidates, rows, "node long, links long, root long")
 
 
-def similar(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.9999) -> DataFrame:
+def similar(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.999999) -> DataFrame:
     """doc_id, class_id (least doc_id of the group that links join), rep_id (least doc_id with the same shingles), n_links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     known = docs.where("doc_id is not null")
     length = prefix_length(similarity, recall)
     signed = written(signatures(known, n, length), "signatures")
     classes = written(signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")), "classes")
+    # in the graph a class goes by half of its fingerprint
     members = components(matches(classes), "candidates")
     sizes = members.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    members = written(members.join(sizes, "root").join(classes.select("rep", "copies"), F.col("node") == F.col("rep")).select("rep", F.col("root").alias("comp"), "blocks", "copies", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int").alias("block")), "members")
-    few = members.limit(200_001).count() <= 200_000  # 8 MB at most; beyond it the texts are shuffled to their rows
-    first = known.join(F.broadcast(members) if few else members, F.col("doc_id") == F.col("rep")).dropDuplicates(["rep"]) if not few else known.join(F.broadcast(members), F.col("doc_id") == F.col("rep"))
-    pairs = first.select("rep", "comp", "copies", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    pairs = pairs.select("comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "rep", "block", "copies", "text")
-    pairs = pairs.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi", "rep")
+    members = members.join(sizes, "root").join(classes.select("h1", "h2", "rep", "copies"), F.col("node") == F.col("h1"))
+    members = written(members.select("node", "h2", "rep", F.col("root").alias("comp"), "blocks", "copies", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block")), "members")
+    few = members.limit(200_001).count() <= 200_000  # 12 MB at most; beyond it the texts are shuffled to their rows
+    first = known.join(F.broadcast(members) if few else members, F.col("doc_id") == F.col("rep"))
+    pairs = first.select("node", "h2", "comp", "copies", "block", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    pairs = pairs.select("comp", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "node", "h2", "block", "copies", "text")
+    pairs = pairs.repartition("comp", "lo", "hi").sortWithinPartitions("comp", "lo", "hi", "node")
     found = written(verified(pairs, n, similarity), "links")
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")), "groups")
-    judged = classes.select("h1", "h2", "rep", "copies").join(links, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-    judged = judged.select("h1", "h2", "rep", F.coalesce("root", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    links = found.groupBy(F.col("node").alias("h1")).agg(F.sum("links").alias("links"))
+    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "groups").withColumnRenamed("node", "h1")
+    named = roots.join(classes.select("h1", "rep"), "h1").groupBy("root").agg(F.min("rep").alias("class_id"))
+    judged = classes.select("h1", "h2", "rep", "copies").join(links, "h1", "left").join(roots.join(named, "root").select("h1", "class_id"), "h1", "left")
+    judged = judged.select("h1", "h2", "rep", F.coalesce("class_id", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
     own = signed.select("doc_id", "h1", "h2").join(judged, ["h1", "h2"]).select("doc_id", "class_id", F.col("rep").alias("rep_id"), "n_links")
     rest = docs.where("doc_id is null or not text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
     return own.unionByName(rest)
