@@ -35,7 +35,7 @@ from pagemill.llm.graph import components
 
 TREES, DEEPEST = 48, 8
 BLOCK = 200
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 U = np.uint64
 
 

@@ -36,7 +36,7 @@ from pagemill.llm.base import map_arrow, slices, texts
 
 SPACE = "▁"
 #: Segments that a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 800_000
 
 
 class Vocabulary:
