@@ -171,9 +171,9 @@ def doubled_keys(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy((F.col("event_id") % 100).alias("k")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-@query("SELECT c_custkey, c_name FROM customer ORDER BY lower(c_name), c_custkey LIMIT 50")
+@query("SELECT c_custkey, c_name FROM customer ORDER BY lower(c_name), c_custkey")
 def caseless_order(spark, sf_dir):
-    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").orderBy(F.lower("c_name"), "c_custkey").limit(50)
+    return table(spark, sf_dir, "customer").select("c_custkey", "c_name").orderBy(F.lower("c_name"), "c_custkey")
 
 
 @query("SELECT user_id, array_to_string(list_sort(list(event_id))[-5:], ',') AS last_five FROM events GROUP BY user_id")

@@ -44,7 +44,8 @@ def rss_items(df: DataFrame) -> DataFrame:
 
 def rdf_nodes(df: DataFrame) -> DataFrame:
     """(subject, predicate, object) rows as one RDF description per subject."""
-    parts = F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("<"), F.col("predicate"), F.lit(">"), _escape(F.col("object")), F.lit("</"), F.col("predicate"), F.lit(">")))), "")
+    each = lambda x: F.concat(F.lit("<"), x["predicate"], F.lit(">"), _escape(x["object"]), F.lit("</"), x["predicate"], F.lit(">"))
+    parts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("predicate", "object"))), each), "")
     return df.groupBy("subject").agg(parts.alias("p")).select(F.concat(F.lit('<rdf:Description rdf:about="'), _escape(F.col("subject")), F.lit('">'), F.col("p"), F.lit("</rdf:Description>")).alias("value"))
 
 
