@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import gc
 import re
 import uuid
@@ -22,6 +24,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@functools.cache
+def _libc():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.malloc_trim  # noqa: B018  only glibc has it
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so that a worker's size follows what it holds now."""
+    pa.default_memory_pool().release_unused()
+    if _libc():
+        _libc().malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow over whole partitions; ``rows`` yields dicts of column lists or Arrow arrays."""
     ship.ensure(df.sparkSession)
@@ -32,6 +51,8 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
         gc.set_threshold(500_000, 20, 50)  # large dicts of strings hold no cycles; walking them often costs more than the work
         for out in rows(batches):
             yield pa.RecordBatch.from_arrays([x if isinstance(x := out[n], pa.Array) else pa.array(x, t) for n, t in zip(names, types)], names=names)
+            del out
+            give_back()
 
     return df.mapInArrow(run, schema)
 

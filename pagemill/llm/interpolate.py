@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pagemill.llm.base import crc_mod, map_arrow, slices, texts, written
 from pagemill.llm.neardup import U, mixed
 
-CHUNK_BYTES = 5 << 20
+CHUNK_BYTES = 4 << 20
 END, START = b" end", b" start"  # no word holds a blank
 STEPS, LOWEST = 4, 40  # an octave has so many steps; estimates below 2 ** -LOWEST count as that
 BUCKETS = 40
