@@ -264,7 +264,10 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
                 z.add(MEMBER, chunks())
                 z.add(INDEX, [b"".join(index)])
                 z.close()
-            store.move(path, f"{root}/{name}")
+            if store.get_file_info(f"{root}/{name}").type == arrow_fs.FileType.NotFound:
+                store.move(path, f"{root}/{name}")
+            else:  # another attempt of this task was done first, with the same bytes
+                store.delete_file(path)
             made.append((name, len(index)))
         yield {"name": [n for n, _ in made], "records": [k for _, k in made]}
 

@@ -61,6 +61,10 @@ def test_scores_against_counts(spark, docs):
     assert all(math.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_no_documents(none):
+    assert interpolate.score_documents(none).count() == 0
+
+
 def test_many_chunks_and_ranges_change_nothing(spark, docs, monkeypatch):
     one = keyed(interpolate.score_documents(docs).collect(), "doc_id", "n_tokens", "n_known")
     assert keyed(interpolate.score_documents(docs, max_range_bytes=2000).collect(), "doc_id", "n_tokens", "n_known") == one
