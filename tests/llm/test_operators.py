@@ -506,7 +506,9 @@ def test_boilerplate_of_a_host(spark):
     """Runs that pages of a host share go, unique runs stay, other hosts and copied articles are left alone."""
     rows = [(k, f"http://a/{k}", page(f"<div>{MENU}</div><div>own words of page number {k} here</div>")) for k in range(6)]
     rows += [(10, "http://b/1", page(f"<div>{MENU}</div>")), (11, "http://c/1", page(f"<article><p>{MENU}</p></article>")), (12, "http://c/2", page(f"<article><p>{MENU}</p></article>")), (None, None, page(f"<div>{MENU}</div>"))]
-    got = {r.page_id: r.text for r in extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in extract.main_text(df).collect()}
+    assert {r.page_id: r.text for r in extract.main_text(df, group_pages=2).collect()} == got  # a large host is treated alike
     assert got == {k: f"own words of page number {k} here" for k in range(6)} | {10: MENU, 11: MENU, 12: MENU, None: MENU}
 
 
