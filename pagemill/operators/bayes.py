@@ -19,19 +19,29 @@ def train(feats: DataFrame, labels: DataFrame, id_col: str, category: str) -> tu
     return by_feature, labels.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
 
 
+MOST_CATEGORIES = 1000
+
+
 def classify(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, category: str, ids: DataFrame) -> DataFrame:
     """All categories of each document with log score; the weight of a word is (0.5 + total * p) / (1 + total),
-    where total counts it over all categories and p is its share among the category's documents. Unknown words weigh the same for all."""
+    where total counts it over all categories and p is its share among the category's documents. Unknown words weigh the same for all.
+
+    The categories, which become columns of the plan, are at most ``MOST_CATEGORIES``. Each word has one row with its
+    weights in all of them, so words meet the model in one join, which Spark may split where a word is very common."""
     by_feature, by_category = model
-    cats = by_category.withColumnRenamed("n", "docs")
-    total = by_feature.groupBy("feature").agg(F.sum("n").alias("total"))
-    grid = total.join(F.broadcast(cats)).join(by_feature, ["feature", category], "left")
-    p = F.coalesce(F.col("n"), F.lit(0)) / F.col("docs")
-    weight = grid.select("feature", category, F.log((0.5 + F.col("total") * p) / (1.0 + F.col("total"))).alias("w"))
-    known = feats.join(weight, "feature").groupBy(id_col, category).agg(F.sum("w").alias("w"))
-    all_docs = cats.agg(F.sum("docs").alias("all_docs"))
-    prior = cats.join(F.broadcast(all_docs)).select(category, F.log(F.col("docs") / F.col("all_docs")).alias("prior"))
-    return ids.select(id_col).join(F.broadcast(prior)).join(known, [id_col, category], "left").select(id_col, category, (F.col("prior") + F.coalesce("w", F.lit(0.0))).alias("score"))
+    kinds = by_category.dtypes[by_category.columns.index(category)][1]
+    cats = sorted((r[category], r["n"]) for r in by_category.where(F.col(category).isNotNull()).limit(MOST_CATEGORIES + 1).collect())
+    if len(cats) > MOST_CATEGORIES:
+        raise ValueError(f"more than {MOST_CATEGORIES} categories")
+    all_docs = sum(n for _, n in cats)
+    counts = [F.sum(F.when(F.col(category) == F.lit(c), F.col("n"))).alias(f"n{i}") for i, (c, _) in enumerate(cats)]
+    words = by_feature.groupBy("feature").agg(F.sum("n").alias("total"), *counts)
+    weight = [F.log((0.5 + F.col("total") * (F.coalesce(F.col(f"n{i}"), F.lit(0)) / F.lit(n))) / (1.0 + F.col("total"))).alias(f"w{i}") for i, (_, n) in enumerate(cats)]
+    known = feats.join(words.select("feature", *weight), "feature").groupBy(id_col).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(cats))])
+    rows = [F.struct(F.lit(c).cast(kinds).alias(category), (F.log(F.lit(n / all_docs)) + F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias("score")) for i, (c, n) in enumerate(cats)]
+    if not rows:
+        return ids.select(id_col, F.lit(None).cast(kinds).alias(category), F.lit(0.0).alias("score")).where("false")
+    return ids.select(id_col).join(known, id_col, "left").select(id_col, F.explode(F.array(*rows)).alias("_r")).select(id_col, f"_r.{category}", "_r.score")
 
 
 def best(classified: DataFrame, id_col: str, category: str) -> DataFrame:
