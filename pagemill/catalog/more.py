@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pagemill.functions import codec, html, jsonld
+from pagemill.functions import text as T
 from pagemill.operators import documents as D
-from pagemill.operators import feeds, patterns
+from pagemill.operators import feeds, lookup, patterns
 from pagemill.plans import index as plan
 from pagemill.plans import sinks
 from pagemill.queries import load_time, query, table
+from pagemill.sources import lookups
 
 B64 = "rtrim(translate(base64(unhex(md5(c_name))), '+/', '-_'), '=')"
 
@@ -102,3 +104,37 @@ def rdf_nodes(spark, sf_dir):
 def dublin_core(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select(F.col("source").alias("title"), F.lit(None).cast("string").alias("creator"), F.lit("").alias("publisher"), F.col("lang").alias("subject"), "text", F.col("doc_id").cast("string").alias("url"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
     return sinks.dublin_core(d).select(F.regexp_extract("value", "<dc:identifier>([^<]*)", 1).cast("long").alias("doc_id"), "value")
+
+
+@query("""SELECT 'locations' AS vocabulary, n_name AS term, lower(n_name) AS synonym FROM nation""")
+def places_vocabulary(spark, sf_dir):
+    from pagemill.catalog.words import gazetteer
+
+    return lookup.places_vocabulary(gazetteer(spark, sf_dir)).drop("objectlink")
+
+
+@query("SELECT 'nations' AS vocabulary, n_name || ':' || lower(n_name) || CASE WHEN n_regionkey = 1 THEN '#http://r/1' ELSE '' END AS value FROM nation WHERE n_regionkey <> 2")
+def vocabulary_edit(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    v = n.select(F.lit("nations").alias("vocabulary"), F.col("n_name").alias("term"), F.lower("n_name").alias("synonym"), F.lit(None).cast("string").alias("objectlink"))
+    linked = v.join(n.where("n_regionkey = 1").select(F.col("n_name").alias("term")), "term", "left_semi").select("vocabulary", "term", "synonym", F.lit("http://r/1").alias("objectlink"))
+    return lookup.vocabulary_lines(lookup.delete(lookup.put(v, linked), n.where("n_regionkey = 2").select(F.col("n_name").alias("term"))))
+
+
+@query("SELECT DISTINCT lower(event_type) AS key FROM events WHERE lower(event_type) IN ('click', 'view')")
+def key_list(spark, sf_dir):
+    keys = lookups.key_list(table(spark, sf_dir, "events").select(F.upper("event_type").alias("value")))
+    return keys.join(spark.createDataFrame([("click",), ("view",)], "key string"), "key", "left_semi")
+
+
+@query("SELECT doc_id, 'content-length: ' || n_chars || chr(13) || chr(10) || 'content-type: text/' || lang AS header, 'text/' || lang AS content_type FROM documents")
+def header_lines(spark, sf_dir):
+    h = F.create_map(F.lit("content-type"), F.concat(F.lit("text/"), F.col("lang")), F.lit("content-length"), F.col("n_chars").cast("string"))
+    d = table(spark, sf_dir, "documents").select("doc_id", T.header_text(h).alias("header"))
+    return d.select("doc_id", "header", F.try_element_at(T.headers_of(F.col("header")), F.lit("content-type")).alias("content_type"))
+
+
+@query("SELECT source, CASE WHEN count(DISTINCT lang) = 1 THEN min(lang) WHEN bool_or(lang = 'fr') THEN 'fr' ELSE min(lang) END AS lang FROM documents GROUP BY source")
+def language_pick(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("l"))
+    return d.select("source", T.picked_language(F.col("l"), F.lit("fr")).alias("lang"))

@@ -91,3 +91,21 @@ def robots_mask(meta: Column, header: Column) -> Column:
         named = high.contains(word) | high.contains("none") if word in ("noindex", "nofollow") else high.contains(word)
         out = out.bitwiseOR(F.when(named, 1 << bit).otherwise(0))
     return out
+
+
+def header_text(headers: Column) -> Column:
+    """A map of headers as lines, names sorted."""
+    return F.array_join(F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.concat(e["key"], F.lit(": "), e["value"])), "\r\n")
+
+
+def headers_of(text: Column) -> Column:
+    """Header lines as a map with small-letter names; of repeated names the last value."""
+    lines = F.filter(F.split(text, r"\r?\n"), lambda x: x.contains(":"))
+    pairs = F.transform(lines, lambda x: F.struct(F.lower(F.trim(F.substring_index(x, ":", 1))).alias("k"), F.trim(F.regexp_extract(x, "^[^:]*:(.*)$", 1)).alias("v")))
+    keys = F.array_distinct(F.transform(pairs, lambda p: p["k"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.transform(F.filter(pairs, lambda p: p["k"] == k), lambda p: p["v"]), -1)))
+
+
+def picked_language(declared: Column, domain: Column) -> Column:
+    """The only declared language, else that of the top-level domain if declared, else the first."""
+    return F.when(F.size(declared) == 1, F.element_at(declared, 1)).when(F.array_contains(declared, domain), domain).otherwise(F.try_element_at(declared, F.lit(1)))

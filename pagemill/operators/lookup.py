@@ -62,3 +62,26 @@ def find_places(asked: DataFrame, name: str, gazetteer: DataFrame) -> DataFrame:
     g = gazetteer.select(F.lower("name").alias("_k"), F.col("name").alias("place"), "id", "lat", "lon", "population")
     hit = asked.select(name).distinct().join(g, F.lower(F.col(name)) == F.col("_k")).drop("_k")
     return hit.withColumn("rank", F.row_number().over(Window.partitionBy(name).orderBy(F.col("population").desc(), "id")))
+
+
+def put(vocab: DataFrame, additions: DataFrame) -> DataFrame:
+    """A vocabulary with further rows; those of a term that is there already replace its object link."""
+    new = additions.groupBy("vocabulary", "term").agg(F.max("objectlink").alias("new"))
+    both = vocab.unionByName(additions).groupBy("vocabulary", "term", "synonym").agg(F.max("objectlink").alias("objectlink"))
+    return both.join(new, ["vocabulary", "term"], "left").select("vocabulary", "term", "synonym", F.coalesce("new", "objectlink").alias("objectlink"))
+
+
+def delete(vocab: DataFrame, terms: DataFrame) -> DataFrame:
+    return vocab.join(terms.select("term"), "term", "left_anti").select(vocab.columns)
+
+
+def vocabulary_lines(vocab: DataFrame) -> DataFrame:
+    """Lines that the reader takes, one per term."""
+    syn = F.array_join(F.array_sort(F.collect_set("synonym")), ",")
+    return vocab.groupBy("vocabulary", "term").agg(syn.alias("s"), F.max("objectlink").alias("l")).select("vocabulary", F.concat(F.col("term"), F.lit(":"), F.col("s"), F.when(F.col("l").isNotNull(), F.concat(F.lit("#"), F.col("l"))).otherwise(F.lit(""))).alias("value"))
+
+
+def places_vocabulary(gazetteer: DataFrame) -> DataFrame:
+    """Places as a vocabulary: each name with the point of its largest place."""
+    best = gazetteer.groupBy(F.lower("name").alias("k")).agg(F.max_by(F.struct("name", "lat", "lon"), F.struct("population", -F.col("id"))).alias("p"))
+    return best.select(F.lit("locations").alias("vocabulary"), F.col("p.name").alias("term"), T.normalized_term(F.col("p.name")).alias("synonym"), F.concat(F.lit("geo:"), F.col("p.lat").cast("string"), F.lit(","), F.col("p.lon").cast("string")).alias("objectlink"))

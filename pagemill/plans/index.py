@@ -2,7 +2,8 @@
 
 Input rows have url, the struct ``page`` of pagemill.functions.html and, if there,
 mime, charset, http_status, headers (map, small keys), depth and referrer. All
-columns are native expressions over them. null means that a record lacks a column.
+columns are native expressions over them. null means that a record lacks a column;
+ip_s always is, as no names are looked up on the network.
 """
 
 from __future__ import annotations
@@ -94,7 +95,7 @@ def index_record(docs: DataFrame, load_time: Column, collections: list[tuple[str
     modified = F.least(F.coalesce(times.http_date(header("last-modified")), times.http_date(header("date")), load_time), F.coalesce(times.epoch_or_date(meta("date", "dc.date", "last-modified"), load_time), load_time))
     is_image = mime.startswith("image/")
     first = {
-        "id": F.md5("_url"), "url_s": F.col("_url"), "host_s": own, "host_dnc_s": U.domain_class(own), "host_organization_s": U.organization(own), "host_organizationdnc_s": U.organization_domain(own), "host_subdomain_s": U.subdomain(own),
+        "id": F.md5("_url"), "url_s": F.col("_url"), "ip_s": F.lit(None).cast("string"), "host_s": own, "host_dnc_s": U.domain_class(own), "host_organization_s": U.organization(own), "host_organizationdnc_s": U.organization_domain(own), "host_subdomain_s": U.subdomain(own),
         "url_chars_i": F.length("_url"), "url_protocol_s": U.scheme(F.col("_url")), "url_paths_count_i": F.size(U.path_segments(F.col("_url"))), "url_paths_sxt": U.path_segments(F.col("_url")),
         "url_file_name_s": U.file_stem(F.col("_url")), "url_file_name_tokens_t": F.array_join(U.tokens(U.file_stem(F.col("_url"))), " "), "url_file_ext_s": U.file_extension(F.col("_url")),
         "url_parameter_i": F.size(U.parameters(F.col("_url"))), "url_parameter_key_sxt": F.when(F.size(U.parameters(F.col("_url"))) > 0, F.map_keys(U.parameters(F.col("_url")))), "url_parameter_value_sxt": F.when(F.size(U.parameters(F.col("_url"))) > 0, F.map_values(U.parameters(F.col("_url")))),
@@ -135,7 +136,7 @@ def index_record(docs: DataFrame, load_time: Column, collections: list[tuple[str
         "coordinate_p": F.when((p("lat") != 0) & (p("lon") != 0), F.concat_ws(",", p("lat"), p("lon"))), "coordinate_lat_d": F.when((p("lat") != 0) & (p("lon") != 0), p("lat")), "coordinate_lon_d": F.when((p("lat") != 0) & (p("lon") != 0), p("lon")),
         "load_date_dt": load_time, "fresh_date_dt": times.fresh_until(load_time, modified), "referrer_url_s": given("referrer", "string"), "publisher_t": meta("copyright", "dc.publisher"), "language_s": p("language"),
         "size_i": F.greatest(F.length("_url"), F.coalesce(header("content-length").try_cast("int"), F.lit(0))), "audiolinkscount_i": media("audio"), "videolinkscount_i": media("video"), "applinkscount_i": media("app"),
-        "ld_s": F.when(F.size(ld) > 0, F.concat(F.lit("["), F.array_join(ld, ","), F.lit("]"))), "ld_context_sxt": F.filter(F.transform(ld, lambda x: F.get_json_object(x, "$['@context']")), lambda x: x.isNotNull()),
+        "ld_o": F.when(F.size(ld) > 0, F.element_at(ld, 1)), "ld_s": F.when(F.size(ld) > 0, F.concat(F.lit("["), F.array_join(ld, ","), F.lit("]"))), "ld_context_sxt": F.filter(F.transform(ld, lambda x: F.get_json_object(x, "$['@context']")), lambda x: x.isNotNull()),
     }
     if run_date is not None:
         base = base.withColumn("_dates", times.dates_in_text(run_date)(p("text")))

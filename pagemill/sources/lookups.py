@@ -89,3 +89,13 @@ def pattern_models(df: DataFrame) -> DataFrame:
 def fixed_records(spark: SparkSession, path: str, length: int) -> DataFrame:
     """Records of equal length with their place in the file."""
     return spark.read.format("binaryFile").load(path).select("path", F.posexplode(F.transform(F.sequence(F.lit(0), F.floor((F.octet_length("content") - 1) / length).cast("int")), lambda i: F.substring(F.col("content"), i * length + 1, F.lit(length)))).alias("index", "record"))
+
+
+def key_list(df: DataFrame) -> DataFrame:
+    """Distinct small-letter keys of an append-only list."""
+    return without_comments(df).select(F.lower("value").alias("key")).distinct()
+
+
+def files(spark: SparkSession, path: str, pattern: str = ".*") -> DataFrame:
+    """path, length and time of files under a folder whose whole path matches; their contents are not read."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length", "modificationTime").where(F.col("path").rlike(f"^(?:{pattern})$"))
