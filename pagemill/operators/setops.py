@@ -26,10 +26,12 @@ def adjacent_unique(df: DataFrame, order: list[str], key: str) -> DataFrame:
 
 
 def rotate(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first n rows of an endless repetition of the sorted table. The table is numbered in one task, so it is meant for small ones; the rounds are not."""
+    """The first n rows of an endless repetition of the sorted table. At most n of its rows are numbered, in one task."""
     size = df.count()
     if not size:
         return df.withColumn("position", F.lit(0).cast("long"))
+    if size > n:
+        df = df.orderBy(*order).limit(n)
     numbered = df.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1)
     rounds = -(-n // size)
     return numbered.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("position", (F.col("_round") * size + F.col("_n")).cast("long")).where(F.col("position") < n).drop("_n", "_round")
