@@ -115,25 +115,34 @@ class Chunk:
     def __init__(self, train: bytes, lengths: bytes, words: bytes, tokens: bytes):
         self.train = np.frombuffer(train, np.uint8).astype(bool)
         self.lengths = np.frombuffer(lengths, np.uint32).astype(np.int64)
-        self.tokens = unsqueeze(tokens, np.uint32).astype(np.int64)
+        self.tokens = unsqueeze(tokens, np.uint32)
         words = np.frombuffer(words, np.uint64)
         self.ends = np.cumsum(self.lengths)
-        before = np.empty_like(self.tokens)
-        before[1:] = self.tokens[:-1]
-        before[self.ends - self.lengths] = 1
-        self.before = before
-        self.order = np.argsort(words, kind="stable")
-        self.rank = np.empty(len(words), np.int64)
-        self.rank[self.order] = np.arange(len(words))
-        self.words = words[self.order]
-        self.pairs, self.which = np.unique(mixed(words[before] * U(0x9E3779B97F4A7C15) + words[self.tokens]), return_inverse=True)
-        self.kept = np.repeat(self.train, self.lengths)
+        self.before = np.empty_like(self.tokens)
+        self.before[1:] = self.tokens[:-1]
+        self.before[self.ends - self.lengths] = 1
+        order = np.argsort(words, kind="stable")
+        self.rank = np.empty(len(words), np.int32)
+        self.rank[order] = np.arange(len(words), dtype=np.int32)
+        self.words = words[order]
+        code = words[self.before]
+        code *= U(0x9E3779B97F4A7C15)
+        code += words[self.tokens]
+        code = mixed(code)
+        order = np.argsort(code, kind="stable")
+        code = code[order]
+        first = np.ones(len(code), bool)
+        np.not_equal(code[1:], code[:-1], out=first[1:])
+        self.pairs = code[first]
+        self.which = np.empty(len(code), np.int32)
+        self.which[order] = np.cumsum(first, dtype=np.int32) - 1
 
     def own(self) -> tuple[np.ndarray, np.ndarray]:
         """Counts in the chunk's training documents: of words, where the start counts as a word, and of bigrams."""
-        words = np.bincount(self.rank[self.tokens[self.kept]], minlength=len(self.words))
+        kept = np.repeat(self.train, self.lengths)
+        words = np.bincount(self.rank[self.tokens[kept]], minlength=len(self.words))
         words[self.rank[1]] = int(self.train.sum())
-        return words, np.bincount(self.which[self.kept], minlength=len(self.pairs))
+        return words, np.bincount(self.which[kept], minlength=len(self.pairs))
 
 
 def partial_counts(made: DataFrame, ranges: int) -> DataFrame:
@@ -145,7 +154,8 @@ def partial_counts(made: DataFrame, ranges: int) -> DataFrame:
             for i in range(b.num_rows):
                 c = Chunk(*(b.column(k)[i].as_py() for k in ("train", "lengths", "words", "tokens")))
                 out: dict[str, list] = {k: [] for k in ("chunk", "kind", "range", "keys", "counts")}
-                for kind, keys, n in ((0, c.words, c.own()[0]), (1, c.pairs, c.own()[1])):
+                own = c.own()
+                for kind, keys, n in ((0, c.words, own[0]), (1, c.pairs, own[1])):
                     edges = np.searchsorted(keys >> shift if ranges > 1 else np.zeros(len(keys), np.uint64), np.arange(ranges + 1).astype(np.uint64))
                     for r in np.flatnonzero(np.diff(edges)).tolist():
                         part = slice(edges[r], edges[r + 1])
@@ -272,11 +282,18 @@ def scored(met: DataFrame, n: int, v: int, weight: np.ndarray) -> DataFrame:
         for b in batches:
             for docs, c, words, pairs in unpacked(b):
                 context, own = words[c.rank[c.before]], words[c.rank[c.tokens]]
-                w = weight[bucket(context)]
-                p = w[:, 0] / (v + 1) + w[:, 1] * ratio(own, n) + w[:, 2] * ratio(pairs[c.which], context)
-                base = np.log10((own + 0.1) / (n + 0.1 * (v + 1)))
+                at = bucket(context)
+                p = ratio(pairs[c.which], context)
+                p *= weight[at, 2]
+                p += weight[at, 1] * ratio(own, n)
+                p += weight[at, 0] / (v + 1)
                 starts = c.ends - c.lengths
-                yield {"doc_id": docs, "held_out": ~c.train, "n_tokens": c.lengths, "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(docs), n), "base_score": np.add.reduceat(base, starts), "score": np.add.reduceat(np.log10(p), starts)}
+                score = np.add.reduceat(np.log10(p, out=p), starts)
+                np.add(own, 0.1, out=p)
+                p /= n + 0.1 * (v + 1)
+                base = np.add.reduceat(np.log10(p, out=p), starts)
+                yield {"doc_id": docs, "held_out": ~c.train, "n_tokens": c.lengths, "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(docs), n), "base_score": base, "score": score}
+                del c, words, pairs, context, own, at, p
 
     return map_arrow(met, rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
