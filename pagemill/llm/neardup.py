@@ -118,25 +118,51 @@ def signatures(docs: DataFrame, n: int, length: int) -> DataFrame:
     return map_arrow(docs, rows, "doc_id long, h1 long, h2 long, labels array<long>")
 
 
+def run_roots(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of rows sorted by key and node: which begin a run of one key, and the first node of each row's run."""
+    starts = np.concatenate([[True], key[1:] != key[:-1]])
+    return starts, node[np.maximum.accumulate(np.where(starts, np.arange(len(key)), 0))]
+
+
 def matches(classes: DataFrame) -> DataFrame:
-    """Edges between classes whose labels begin alike in some tree: each to the least of its run of the sorted labels."""
+    """Edges between classes whose labels begin alike in some tree: each to the least of its run of the sorted labels.
+
+    A batch is sorted and its runs are joined before the shuffle, so that of a label only one row for each batch moves,
+    however many classes share it; the edges made so far ride along, dealt out by their node."""
+
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = b.column("labels").flatten().to_numpy()
+            node = np.repeat(b.column("h1").to_numpy(), TREES)
+            order = np.lexsort((node, key))
+            key, node = key[order], node[order]
+            starts, root = run_roots(key, node)
+            other = root != node
+            edge = np.unique(np.stack([node[other], root[other]], 1), axis=0)
+            roots = np.concatenate([np.zeros(int(starts.sum()), np.int64), edge[:, 1]])
+            yield {"label": np.concatenate([key[starts], edge[:, 0]]), "node": np.concatenate([node[starts], edge[:, 0]]), "root": pa.array(roots, mask=np.arange(len(roots)) < int(starts.sum()))}
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         last, first = None, 0  # a run may go on in the next batch
         for b in batches:
+            made = b.filter(b.column("root").is_valid())
+            yield {"a": made.column("node"), "b": made.column("root")}
+            b = b.filter(b.column("root").is_null())
             if not b.num_rows:
                 continue
-            key, rep = b.column("label").to_numpy(), b.column("h1").to_numpy()
-            starts = np.concatenate([[key[0] != last], key[1:] != key[:-1]])
-            at = np.maximum.accumulate(np.where(starts, np.arange(len(key)), -1))
-            root = np.where(at >= 0, rep[np.maximum(at, 0)], first)
-            other = root != rep
-            pairs = np.unique(np.stack([rep[other], root[other]], 1), axis=0)
+            key, node = b.column("label").to_numpy(), b.column("node").to_numpy()
+            _, root = run_roots(key, node)
+            if key[0] == last:
+                root = np.where(key == last, first, root)
+            other = root != node
+            pairs = np.unique(np.stack([node[other], root[other]], 1), axis=0)
             yield {"a": pairs[:, 0], "b": pairs[:, 1]}
             last, first = key[-1], root[-1]
 
-    spread = classes.select("h1", F.explode("labels").alias("label"))
-    return map_arrow(spread.repartition("label").sortWithinPartitions("label", "h1"), runs, "a long, b long").distinct()
+    spread = map_arrow(classes.select("h1", "labels"), collapse, "label long, node long, root long")
+    return map_arrow(spread.repartition("label").sortWithinPartitions("label", "node"), runs, "a long, b long").distinct()
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
