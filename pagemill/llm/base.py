@@ -41,8 +41,9 @@ def give_back() -> None:
         _libc().malloc_trim(0)
 
 
-def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
-    """mapInArrow over whole partitions; ``rows`` yields dicts of column lists or Arrow arrays."""
+def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str, large: bool = False) -> DataFrame:
+    """mapInArrow over whole partitions; ``rows`` yields dicts of column lists or Arrow arrays. Freed memory is given
+    back at the end of a task, and after each batch if batches are ``large`` (with many small objects that takes long)."""
     ship.ensure(df.sparkSession)
     names = [f.name for f in _schema(schema)]
     types = [_arrow(f.dataType) for f in _schema(schema)]
@@ -52,7 +53,9 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
         for out in rows(batches):
             yield pa.RecordBatch.from_arrays([x if isinstance(x := out[n], pa.Array) else pa.array(x, t) for n, t in zip(names, types)], names=names)
             del out
-            give_back()
+            if large:
+                give_back()
+        give_back()
 
     return df.mapInArrow(run, schema)
 

@@ -106,7 +106,7 @@ def chunks(docs: DataFrame) -> DataFrame:
                 yield to.close()
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), crc_mod().cast("int").alias("rest"))
-    return map_arrow(docs, rows, SCHEMA)
+    return map_arrow(docs, rows, SCHEMA, large=True)
 
 
 class Chunk:
@@ -163,7 +163,7 @@ def partial_counts(made: DataFrame, ranges: int) -> DataFrame:
                             out[k].append(v)
                 yield out
 
-    return map_arrow(made.select("chunk", "train", "lengths", "words", "tokens"), rows, "chunk long, kind int, range int, keys binary, counts binary")
+    return map_arrow(made.select("chunk", "train", "lengths", "words", "tokens"), rows, "chunk long, kind int, range int, keys binary, counts binary", large=True)
 
 
 def totals(parts: DataFrame) -> DataFrame:
@@ -200,7 +200,7 @@ def totals(parts: DataFrame) -> DataFrame:
         if held:
             yield from close()
 
-    return map_arrow(parts.repartition("kind", "range").sortWithinPartitions("kind", "range"), rows, "chunk long, kind int, range int, totals binary, tokens long, types long")
+    return map_arrow(parts.repartition("kind", "range").sortWithinPartitions("kind", "range"), rows, "chunk long, kind int, range int, totals binary, tokens long, types long", large=True)
 
 
 def meet(made: DataFrame, answers: DataFrame) -> DataFrame:
@@ -250,7 +250,7 @@ def histogram(met: DataFrame, n: int) -> DataFrame:
                 cell, times = np.unique((bucket(context) * wide + step_of(two)) * wide + step_of(one), return_counts=True)
                 yield {"cell": cell, "times": times}
 
-    return map_arrow(met, rows, "cell long, times long").groupBy("cell").agg(F.sum("times").alias("times"))
+    return map_arrow(met, rows, "cell long, times long", large=True).groupBy("cell").agg(F.sum("times").alias("times"))
 
 
 def weights(cells: np.ndarray, times: np.ndarray, uniform: float, rounds: int = 100) -> np.ndarray:
@@ -295,7 +295,7 @@ def scored(met: DataFrame, n: int, v: int, weight: np.ndarray) -> DataFrame:
                 yield {"doc_id": docs, "held_out": ~c.train, "n_tokens": c.lengths, "n_known": np.add.reduceat((own > 0).astype(np.int64), starts), "train_tokens": np.full(len(docs), n), "base_score": base, "score": score}
                 del c, words, pairs, context, own, at, p
 
-    return map_arrow(met, rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return map_arrow(met, rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", large=True)
 
 
 def score_documents(docs: DataFrame, max_range_bytes: int = RANGE_BYTES) -> DataFrame:

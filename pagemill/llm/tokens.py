@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pagemill.llm.base import WORD, map_arrow, slices, texts
 
 #: Runs that a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 900_000
 #: Runs of printable ASCII and of Latin-1 letters, none of which the normalizer composes, and how the splitter takes them apart in lower case.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
