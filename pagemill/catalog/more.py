@@ -138,3 +138,16 @@ def header_lines(spark, sf_dir):
 def language_pick(spark, sf_dir):
     d = table(spark, sf_dir, "documents").groupBy("source").agg(F.array_sort(F.collect_set("lang")).alias("l"))
     return d.select("source", T.picked_language(F.col("l"), F.lit("fr")).alias("lang"))
+
+
+@query("SELECT event_id, event_id % 7 IN (0, 3) AS valid, event_id % 2 = 0 AS forbids, event_id % 3 = 0 AS cookies FROM events")
+def response_checks(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 7 == 0, 200).when(F.col("event_id") % 7 == 3, 203).otherwise(404).alias("s"), F.when(F.col("event_id") % 2 == 0, "NoIndex").alias("x"), F.when(F.col("event_id") % 3 == 0, "a=b").otherwise("").alias("c"))
+    return e.select("event_id", plan.valid_response(F.col("s"), F.col("x"), F.col("c")).alias("r")).select("event_id", "r.*")
+
+
+@query("SELECT quality, count(*) AS n FROM (SELECT * FROM labels ORDER BY doc_id DESC LIMIT 50) GROUP BY quality")
+def bayes_memory(spark, sf_dir):
+    from pagemill.operators import bayes
+
+    return bayes.recent(table(spark, sf_dir, "labels"), "doc_id", 50).groupBy("quality").agg(F.count(F.lit(1)).alias("n"))

@@ -19,6 +19,11 @@ def train(feats: DataFrame, labels: DataFrame, id_col: str, category: str) -> tu
     return by_feature, labels.groupBy(category).agg(F.count(F.lit(1)).alias("n"))
 
 
+def recent(labels: DataFrame, order: str, memory: int = 1000) -> DataFrame:
+    """The labelled rows that a bounded memory still has: the last so many."""
+    return labels.orderBy(F.col(order).desc()).limit(memory)
+
+
 MOST_CATEGORIES = 1000
 
 

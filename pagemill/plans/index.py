@@ -48,6 +48,12 @@ def document_type(ext: Column, mime: Column) -> Column:
     return out.when(mime.startswith("text/html"), "h").when(mime.startswith("text/"), "t").when(mime.startswith("image/"), "i").when(mime.startswith("audio/"), "m").when(mime.startswith("video/"), "M").when(mime == "application/pdf", "p").otherwise("u")
 
 
+def valid_response(status: Column, x_robots: Column, set_cookie: Column) -> Column:
+    """A struct: whether a response is complete, whether it forbids indexing, whether it sets cookies."""
+    robots = F.lower(F.coalesce(x_robots, F.lit("")))
+    return F.struct(status.isin(200, 203).alias("valid"), (robots.contains("noindex") | robots.contains("none")).alias("forbids"), (F.coalesce(set_cookie, F.lit("")) != "").alias("cookies"))
+
+
 def words_of(s: Column) -> Column:
     return F.size(F.split(s, " "))
 
