@@ -10,10 +10,10 @@ text is whole even where elements are not.
 
 from __future__ import annotations
 
-import datetime as dt
+import json
 import re
 from collections import Counter
-from urllib.parse import urljoin, urlsplit
+from urllib.parse import urljoin
 
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -104,11 +104,27 @@ def size_of(s: str | None) -> int | None:
     return 0 if s.strip()[:1] >= ":" else None
 
 
+def new_item(a: dict[str, str]) -> dict:
+    """A linked-data node from the attributes of microdata or RDFa."""
+    kind = a.get("itemtype") or a.get("typeof") or ""
+    out: dict = {}
+    if "/" in kind:
+        out["@context"], _, kind = kind.rpartition("/")
+    elif a.get("vocab"):
+        out["@context"] = a["vocab"]
+    if kind:
+        out["@type"] = kind
+    if a.get("itemid") or a.get("resource") or a.get("about"):
+        out["@id"] = a.get("itemid") or a.get("resource") or a.get("about")
+    return out
+
+
 class Element:
-    __slots__ = ("name", "attrs", "parts")
+    __slots__ = ("name", "attrs", "parts", "item")
 
     def __init__(self, name: str, attrs: dict[str, str]):
         self.name, self.attrs, self.parts = name, attrs, []
+        self.item = new_item(attrs) if "itemscope" in attrs or "typeof" in attrs else None
 
     def source(self) -> str:
         opts = "".join(f' {k}="{v}"' for k, v in self.attrs.items())
@@ -162,6 +178,7 @@ class Reader:
                 if top and top.name == name:
                     stack.pop()
                     self.closed(top)
+                    self.learn(top.attrs, top.item, "".join(top.parts), stack)
                     if stack:
                         stack[-1].parts.append(top.source())
                 elif top:
@@ -172,6 +189,8 @@ class Reader:
             attrs = self.attributes(token[1 + len(name) :].rstrip(">"))
             if name in SINGLE:
                 self.single(name, attrs)
+                if stack:
+                    self.learn(attrs, None, "", stack)
             if name in PAIR:
                 self.properties(attrs)
                 stack.append(Element(name, attrs))
@@ -215,6 +234,17 @@ class Reader:
         elif prop in ("startDate", "endDate") and content:
             self.put("start_dates" if prop == "startDate" else "end_dates", content)
 
+    def learn(self, a: dict[str, str], item: dict | None, inner: str, above: list[Element]) -> None:
+        """A property goes to the nearest open item; an item that is no property is a node of the page."""
+        names = (a.get("itemprop") or a.get("property") or "").split()
+        owner = next((e.item for e in reversed(above) if e.item is not None), None)
+        if names and owner is not None:
+            value = item if item is not None else a.get("content") or a.get("datetime") or (self.resolve(a.get("href") or a.get("src") or "") if a.get("href") or a.get("src") else plain(inner))
+            for n in names:
+                owner.setdefault(n, []).append(value)
+        elif item:
+            self.put("ld", json.dumps(item, ensure_ascii=False))
+
     def single(self, name: str, a: dict[str, str]) -> None:
         self.properties(a)
         if name == "img" and a.get("src"):

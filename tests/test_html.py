@@ -1,6 +1,7 @@
 """The page reader and the index record on small pages."""
 
 import datetime as dt
+import json
 
 import pytest
 from hypothesis import given, settings
@@ -34,6 +35,15 @@ def test_reader(page, want):
         assert got[k] == v
 
 
+def test_microdata_and_rdfa():
+    page = """<div itemscope itemtype="http://schema.org/Person"><span itemprop="name">Ann</span><a itemprop="url" href="/a">x</a><div itemprop="address" itemscope itemtype="http://schema.org/Place"><meta itemprop="city" content="Ulm"></div></div>
+    <p vocab="http://schema.org" typeof="Event"><b property="name">Fair</b></p><i itemprop="lost">no item</i>"""
+    ld = [json.loads(x) for x in html.parse(page, "http://h/")["ld"]]
+    assert ld[0] == {"@context": "http://schema.org", "@type": "Person", "name": ["Ann"], "url": ["http://h/a"], "address": [{"@context": "http://schema.org", "@type": "Place", "city": ["Ulm"]}]}
+    assert ld[1] == {"@context": "http://schema.org", "@type": "Event", "name": ["Fair"]}
+    assert len(ld) == 2
+
+
 def test_references():
     assert html.decode("space&nbsp;t&auml;st &foo; &amp;lt; &#65;&#x42;") == "space täst &foo; < AB"
 
