@@ -121,9 +121,9 @@ def pack(docs: DataFrame, path: str, size: int = 2048, end_id: int = 1, window:
 
         for b in slices(batches, 500):
             split = [WORD.findall(t) for t in texts(b.column("text"))]
-            known.learn(set().union(*split))
+            pieces = known.learn(set().union(*split))
             for doc, words in zip(b.column("doc_id").to_pylist(), split):
-                ids = memoryview(b"".join(map(known.__getitem__, words)) + end)
+                ids = memoryview(b"".join(map(pieces.__getitem__, words)) + end)
                 waiting.append(Piece(doc, ids, 0, len(ids) // 4))
                 tokens += len(ids) // 4
             if tokens >= window:

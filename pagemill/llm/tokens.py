@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 from pagemill.llm.base import WORD, map_arrow, slices, texts
 
-#: Runs that a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 900_000
+#: Runs of a generation; a worker remembers two at most, and what it meets again moves to the younger one.
+REMEMBERED = 600_000
 #: Runs of printable ASCII and of Latin-1 letters, none of which the normalizer composes, and how the splitter takes them apart in lower case.
 PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
@@ -47,7 +47,28 @@ def load(path: str):
     return t
 
 
-class Pieces(dict):
+class Memory:
+    """A map of bounded size that forgets what has not been met for long."""
+
+    def __init__(self):
+        self.now, self.old = {}, {}
+
+    def unknown(self, keys) -> list:
+        """Keys that are in neither generation; all others are in the younger one after this."""
+        if len(self.now) > REMEMBERED:
+            self.old, self.now = self.now, {}
+        now, get, out = self.now, self.old.get, []
+        for k in keys:
+            if k not in now:
+                v = get(k)
+                if v is None:
+                    out.append(k)
+                else:
+                    now[k] = v
+        return out
+
+
+class Pieces:
     """What the tokenizer gives for each run: how many ids, or the ids as bytes.
 
     A plain run is split here as the tokenizer does, so that forms
@@ -57,9 +78,8 @@ class Pieces(dict):
     """
 
     def __init__(self, path: str, ids: bool = False):
-        super().__init__()
-        self.ids, self.tokenizer, self.parts = ids, load(path), {}
-        self.empty = b"" if ids else 0
+        self.ids, self.tokenizer = ids, load(path)
+        self.runs, self.parts = Memory(), Memory()
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 and self._splits_alike() else None
 
@@ -70,6 +90,9 @@ class Pieces(dict):
         one = self.tokenizer.encode(probe, add_special_tokens=False).ids
         return one == [i for e in self.tokenizer.encode_batch(mine, add_special_tokens=False) for i in e.ids]
 
+    def __getitem__(self, run: str):
+        return self.runs.now[run]
+
     def _value(self, ids):
         return np.asarray(ids, "<u4").tobytes() if self.ids else len(ids)
 
@@ -82,29 +105,29 @@ class Pieces(dict):
             starts = np.concatenate([[0], ends[:-1] + 1])
             if self.ids:
                 raw = ids.tobytes()
-                self.parts.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts.tolist(), ends.tolist()))
+                self.parts.now.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(some, starts.tolist(), ends.tolist()))
             else:
-                self.parts.update(zip(some, (ends - starts).tolist()))
+                self.parts.now.update(zip(some, (ends - starts).tolist()))
 
-    def learn(self, words) -> None:
-        if len(self) > REMEMBERED:
-            self.clear()
-            self.parts.clear()
-        new = [w for w in words if w not in self]
+    def learn(self, words) -> dict:
+        """The younger generation of runs, in which all these words are now."""
+        new = self.runs.unknown(words)
+        now = self.runs.now
         easy = PLAIN.fullmatch if self.mark is not None else lambda w: None
         plain = [w for w in new if easy(w) and "<|" not in w]
         other = list(set(new).difference(plain)) if len(plain) < len(new) else []
         split = [SPLIT.findall(w.lower()) for w in plain]
-        parts = self.parts
-        self._encode_parts(list({x for s in split for x in s if x not in parts}))
+        self._encode_parts(self.parts.unknown({x for s in split for x in s}))
+        parts = self.parts.now
         if self.ids:
-            self.update((w, parts[s[0]] if len(s) == 1 else b"".join([parts[x] for x in s])) for w, s in zip(plain, split))
+            now.update((w, parts[s[0]] if len(s) == 1 else b"".join([parts[x] for x in s])) for w, s in zip(plain, split))
         else:
-            self.update((w, sum([parts[x] for x in s])) for w, s in zip(plain, split))
+            now.update((w, sum([parts[x] for x in s])) for w, s in zip(plain, split))
         for at in range(0, len(other), 4096):
             some = other[at : at + 4096]
             for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[w] = self._value(e.ids)
+                now[w] = self._value(e.ids)
+        return now
 
 
 @functools.lru_cache(maxsize=2)
@@ -121,8 +144,8 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
         for b in slices(batches, 500):
             whole = texts(b.column("text"))
             often = [Counter(WORD.findall(t)) for t in whole]
-            pieces.learn(set().union(*often))
-            n = [sum(map(mul, c.values(), map(pieces.__getitem__, c))) for c in often]
+            known = pieces.learn(set().union(*often))
+            n = [sum(map(mul, c.values(), map(known.__getitem__, c))) for c in often]
             yield {"doc_id": b.column("doc_id"), "n_bytes": [len(t.encode()) for t in whole], "n_tokens": n, "over_limit": [x > limit for x in n], "n_pretokens": [len(c) for c in often]}
 
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), rows, "doc_id long, n_bytes long, n_tokens long, over_limit boolean, n_pretokens long")
