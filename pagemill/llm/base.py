@@ -41,6 +41,23 @@ def give_back() -> None:
         _libc().malloc_trim(0)
 
 
+_memories: list[tuple[Callable[[], None], tuple[str, ...]]] = []
+
+
+def memory(clear: Callable[[], None], *users: str) -> None:
+    """Says that the modules ``users`` keep something between tasks of a worker, and how to drop it."""
+    _memories.append((clear, users))
+
+
+def begin(module: str) -> None:
+    """At the start of a task: what other operators left in this worker goes, so that stages do not add up."""
+    for clear, users in _memories:
+        if module not in users:
+            clear()
+    gc.set_threshold(500_000, 20, 50)  # large dicts of strings hold no cycles; walking them often costs more than the work
+    give_back()
+
+
 def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str, large: bool = False) -> DataFrame:
     """mapInArrow over whole partitions; ``rows`` yields dicts of column lists or Arrow arrays. Freed memory is given
     back at the end of a task, and after each batch if batches are ``large`` (with many small objects that takes long)."""
@@ -49,7 +66,7 @@ def map_arrow(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator
     types = [_arrow(f.dataType) for f in _schema(schema)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.set_threshold(500_000, 20, 50)  # large dicts of strings hold no cycles; walking them often costs more than the work
+        begin(rows.__module__)
         for out in rows(batches):
             yield pa.RecordBatch.from_arrays([x if isinstance(x := out[n], pa.Array) else pa.array(x, t) for n, t in zip(names, types)], names=names)
             del out

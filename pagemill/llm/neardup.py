@@ -115,7 +115,7 @@ def signatures(docs: DataFrame, n: int, length: int) -> DataFrame:
             flat = pa.array(np.concatenate(labels) if labels else np.zeros(0, np.int64))
             yield {"doc_id": ids, "h1": first, "h2": second, "labels": pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * TREES), flat)}
 
-    return map_arrow(docs, rows, "doc_id long, h1 long, h2 long, labels array<long>")
+    return map_arrow(docs, rows, "doc_id long, h1 long, h2 long, labels array<long>", large=True)
 
 
 def run_roots(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,7 +246,7 @@ def verified(candidates: DataFrame, n: int, similarity: float) -> DataFrame:
         if key is not None:
             yield from close()
 
-    return map_arrow(candidates, rows, "node long, links long, root long")
+    return map_arrow(candidates, rows, "node long, links long, root long", large=True)
 
 
 def similar(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.999999) -> DataFrame:

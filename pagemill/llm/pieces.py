@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.base import map_arrow, slices, texts
+from pagemill.llm.base import map_arrow, memory, slices, texts
 
 SPACE = "▁"
 #: Segments that a worker remembers at most; beyond that it starts anew.
@@ -291,10 +291,13 @@ class Encoder:
 
 @functools.lru_cache(maxsize=2)
 def remembered(path: str) -> Encoder:
-    """The memory of this worker process, which later tasks find filled."""
+    """The memory of this worker process, which later tasks of the same operator find filled."""
     return Encoder(path)
 
 
+memory(remembered.cache_clear, "pagemill.llm.pieces")
+
+
 def encode_documents(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
     """doc_id, n_chars, n_pieces, the checksum of the ids (32-bit, little-endian), whether decoding gives the text back, and the ids, if asked for."""
 

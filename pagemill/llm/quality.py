@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.base import WORD, map_arrow, slices, texts
+from pagemill.llm.base import WORD, begin, map_arrow, slices, texts
 
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
@@ -236,6 +236,7 @@ def filter_documents(docs: DataFrame, forest: Forest | None) -> DataFrame:
     names = docs.columns
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin(__name__)
         for b in slices(batches):
             got = [statistics(t) for t in texts(b.column("text"))]
             if got:

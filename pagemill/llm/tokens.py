@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.llm.base import WORD, map_arrow, slices, texts
+from pagemill.llm.base import WORD, map_arrow, memory, slices, texts
 
 #: Runs of a generation; a worker remembers two at most, and what it meets again moves to the younger one.
 REMEMBERED = 600_000
@@ -132,10 +132,13 @@ class Pieces:
 
 @functools.lru_cache(maxsize=2)
 def remembered(path: str, ids: bool) -> Pieces:
-    """The memory of this worker process, which later tasks find filled."""
+    """The memory of this worker process, which later tasks of the same operator find filled."""
     return Pieces(path, ids)
 
 
+memory(remembered.cache_clear, "pagemill.llm.tokens", "pagemill.llm.packing")
+
+
 def count_tokens(docs: DataFrame, path: str, limit: int = 2048) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit and n_pretokens of each text."""
 
