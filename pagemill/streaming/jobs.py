@@ -57,5 +57,5 @@ def statuses(spark: SparkSession, out: str) -> DataFrame:
 
 
 def windowed_counts(events: DataFrame, ts: str, key: str, length: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Counts by key and event-time window; rows later than the watermark are dropped by Spark. Beyond what the reference has."""
+    """Counts by key and event-time window; rows later than the watermark are dropped by Spark."""
     return events.withWatermark(ts, late).groupBy(F.window(ts, length).alias("w"), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), key, "n")
