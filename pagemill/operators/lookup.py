@@ -20,16 +20,17 @@ def vocabulary(lines: DataFrame, name: Column) -> DataFrame:
 
 
 def word_grams(docs: DataFrame, id_col: str, text: str, most: int = 4) -> DataFrame:
-    """Normalised runs of one to four words with their place."""
+    """Distinct normalised runs of one to so many words; they are made within a row, so its words are not copied for each."""
     words = F.filter(F.split(T.normalized_term(F.regexp_replace(F.col(text), r"[.!?;:()]", " ")), " +"), lambda w: w != "")
     w = docs.select(id_col, words.alias("w")).where(F.size("w") > 0)
-    at = w.select(id_col, "w", F.explode(F.sequence(F.lit(1), F.size("w"))).alias("pos")).select(id_col, "w", "pos", F.explode(F.sequence(F.lit(1), F.least(F.lit(most), F.size("w") - F.col("pos") + 1))).alias("n"))
-    return at.select(id_col, "pos", "n", F.array_join(F.slice("w", F.col("pos"), F.col("n")), " ").alias("gram"))
+    of_length = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.expr("cast(array() as array<string>)"))
+    return w.select(id_col, F.explode(F.array_distinct(F.concat("w", *[of_length(n) for n in range(2, most + 1)]))).alias("gram"))
 
 
 def facets(docs: DataFrame, id_col: str, text: str, vocab: DataFrame) -> DataFrame:
     """(document, vocabulary, terms): the terms of each vocabulary whose synonyms a text holds."""
-    hit = word_grams(docs, id_col, text).join(vocab, F.col("gram") == F.col("synonym"))
+    most = vocab.agg(F.max(F.size(F.split("synonym", " +")))).first()[0] or 1  # no longer runs than any synonym has
+    hit = word_grams(docs, id_col, text, min(most, 4)).join(vocab, F.col("gram") == F.col("synonym"))
     return hit.groupBy(id_col, "vocabulary").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 
