@@ -2,12 +2,14 @@
 
 The patterns give the base spans. A bidirectional LSTM over characters with CRF
 transitions between tags, trained in numpy from labelled spans, adds spans of the
-same kinds. It reads overlapping windows; where windows overlap their tag scores
-are averaged, nearer the middle counting more, and one Viterbi path over the
+same kinds. It reads overlapping windows; where windows overlap their
+tag scores are averaged, nearer the middle counting more, and one Viterbi path over the
 joined stretch decides, so that a span across a window's end is found whole.
 
-A span of the model must hold a digit or an at sign (that is its definition
-here), so stretches of text without either cannot give one and are not read.
+A span of the model must look like its kind (plausible), for which it needs a sign
+for 'at' with a name and a host, or a run of digits. Wherever a text has these, with
+digits or without, it is read, and further while a tag is open at the end of what was
+read; elsewhere no span could be kept.
 
 Defined results: a null text counts as empty and has no spans; texts of any length
 are read whole; rows are independent; a null doc_id stays null; other columns are
@@ -39,7 +41,13 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-MARKS = re.compile(r"[0-9@]")
+DIGIT = re.compile(r"[0-9]")
+AT = re.compile(r"@|[\[(]at[\])]")
+NAMED = re.compile(r"[\w.%+-]")
+HOST = re.compile(r" ?[\w-]+(?: ?(?:\.|[\[(]dot[\])]) ?[\w-]+)+")
+RUN = re.compile(r"[0-9](?:[\x20()./-]{0,3}[0-9])+")
+#: About these training looks more often.
+MARKS = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
 
 
 def luhn(digits: str) -> bool:
@@ -67,7 +75,7 @@ def base_spans(text: str) -> list[Span]:
             found.append((start, m.end(), "email"))
             end = m.end()
         at = text.find("@", max(at + 1, end))
-    if MARKS.search(text):
+    if DIGIT.search(text):
         for m in IP.finditer(text):
             if all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in m[0].split(".")):
                 found.append((*m.span(), "ip"))
@@ -94,9 +102,14 @@ N_CODES = len(ALPHABET) + 3
 UPPER_FLAG = N_CODES
 
 
+@functools.cache
+def classes() -> np.ndarray:
+    """The class of each code point: 1 another letter, 2 anything else; capitals share the class of the small letter."""
+    return np.array([CODE.get(c.lower(), 1 if c.isalpha() else 2) for c in map(chr, range(0x110000))], np.uint8)
+
+
 def codes(text: str) -> np.ndarray:
-    """A class for each character: 1 another letter, 2 anything else; capitals share the class of the small letter."""
-    return np.array([CODE.get(c.lower(), 1 if c.isalpha() else 2) for c in text], np.int64)
+    return classes()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
 
 
 @dataclass
@@ -170,6 +183,37 @@ def emissions(model: Tagger, x: np.ndarray, keep: bool = False):
     return both @ model.out + model.bias, both, kf, kb
 
 
+def read_windows(model: Tagger, x: np.ndarray) -> np.ndarray:
+    """Tag scores (time, tags, rows) of code windows (time, rows): emissions without what training keeps. Arrays lie
+    with the rows last, and sigmoids are tanh of halved weights, so that a step is a few passes over memory."""
+    t, n = x.shape
+    h = model.wh[0].shape[0]
+    half = np.repeat(np.array([0.5, 1], np.float32), [3 * h, h])
+    out = np.empty((t, len(TAGS), n), np.float32)
+    for back, (wx, wh, b) in enumerate(zip(model.wx, model.wh, model.b)):
+        wx, wh = (wx + b) * half, np.ascontiguousarray((wh * half).T)
+        w_out = np.ascontiguousarray(model.out[back * h : back * h + h].T)
+        state, cell, z, old = (np.zeros((k * h, n), np.float32) for k in (1, 1, 4, 1))
+        for i in range(t - 1, -1, -1) if back else range(t):
+            np.matmul(wh, state, out=z)
+            z += wx[x[i]].T
+            np.tanh(z, out=z)
+            g = z[: 3 * h]
+            g += 1
+            g *= 0.5
+            np.multiply(g[:h], z[3 * h :], out=old)
+            cell *= g[h : 2 * h]
+            cell += old
+            np.tanh(cell, out=state)
+            state *= g[2 * h :]
+            if back:
+                out[i] += w_out @ state
+            else:
+                np.matmul(w_out, state, out=out[i])
+    out += model.bias[:, None]
+    return out
+
+
 def log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     top = x.max(axis, keepdims=True)
     return np.squeeze(top, axis) + np.log(np.exp(x - top).sum(axis))
@@ -207,14 +251,14 @@ def tags_of(n: int, spans: list[Span]) -> np.ndarray:
 
 
 def train(rows: list[tuple[str, list[Span]]], width: int = 48, hidden: int = 16, epochs: int = 5, batch: int = 64, rate: float = 0.02, seed: int = 3) -> Tagger:
-    """Adam on windows around the labelled spans and other marks of the rows. The same rows give the same model."""
+    """Adam on windows around the labelled spans and other marks of the rows, and anywhere. The same rows give the same model."""
     rng = np.random.default_rng(seed)
     xs, ys = [], []
     for text, spans in rows:
         x, y = codes(text), tags_of(len(text), spans)
-        starts = {max(0, min(len(text) - width, m.start() - int(rng.integers(4, width - 4)))) for m in MARKS.finditer(text)} or {0}
-        starts = sorted(starts)
-        for s in [starts[int(i)] for i in rng.choice(len(starts), min(3, len(starts)), replace=False)]:
+        marks = [m.start() for m in MARKS.finditer(text)] + [p for a, b, _ in spans for p in (a, (a + b) // 2, b - 1)] + [int(rng.integers(len(text)))]
+        starts = sorted({max(0, min(len(text) - width, p - int(rng.integers(4, width - 4)))) for p in marks})
+        for s in [starts[int(i)] for i in rng.choice(len(starts), min(4, len(starts)), replace=False)]:
             w, v = x[s : s + width], y[s : s + width]
             xs.append(np.pad(w, (0, width - len(w)))), ys.append(np.pad(v, (0, width - len(v))))
     x, y = np.array(xs).T, np.array(ys).T
@@ -246,65 +290,138 @@ def train(rows: list[tuple[str, list[Span]]], width: int = 48, hidden: int = 16,
     return model
 
 
-def viterbi(scores: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    best, back = scores[0], np.empty(scores.shape, np.int64)
-    for i in range(1, len(scores)):
-        all_ = best[:, None] + trans
-        back[i] = all_.argmax(0)
-        best = all_.max(0) + scores[i]
-    path = np.empty(len(scores), np.int64)
-    path[-1] = best.argmax()
-    for i in range(len(scores) - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
-    return path
+def viterbi(scores: np.ndarray, trans: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
+    """The best tag path of each text, from the rows of scores that are its own; a step goes on in all texts at once."""
+    order = np.argsort(-lengths, kind="stable")
+    start, length = starts[order], lengths[order]
+    k, longest = len(trans), int(length[0])
+    open_ = np.searchsorted(-length, -np.arange(longest), side="left")  # texts longer than i
+    place = np.concatenate([[0], np.cumsum(open_)])
+    back = np.empty((k, place[-1]), np.uint8)
+    best = np.ascontiguousarray(scores[start].T)
+    steps = [np.ascontiguousarray(trans[j][:, None]) for j in range(k)]
+    ends = np.empty(len(order), np.int64)
+    for i in range(1, longest):
+        n, was = open_[i], best.shape[1]
+        if n < was:
+            ends[n:was] = best[:, n:].argmax(0)
+            best = best[:, :n]
+        top = best[0] + steps[0]
+        which = back[:, place[i] : place[i] + n]
+        which[:] = 0
+        for j in range(1, k):
+            other = best[j] + steps[j]
+            np.copyto(which, j, where=other > top)
+            np.maximum(top, other, out=top)
+        top += scores[start[:n] + i].T
+        best = top
+    ends[: best.shape[1]] = best.argmax(0)
+    path = np.empty(place[-1], np.uint8)
+    tag = ends
+    for i in range(longest - 1, -1, -1):
+        n = open_[i]
+        path[place[i] : place[i] + n] = tag[:n]
+        if i:
+            tag[:n] = back[tag[:n], np.arange(place[i], place[i] + n)]
+    out: list[np.ndarray] = [np.zeros(0, np.uint8)] * len(order)
+    for r, (at, n) in enumerate(zip(order.tolist(), length.tolist())):
+        out[at] = path[place[:n] + r]
+    return out
+
+
+def spans_of(path: np.ndarray) -> list[Span]:
+    tagged = np.flatnonzero(path)
+    if not len(tagged):
+        return []
+    tags = path[tagged].astype(np.int64)
+    goes_on = (np.diff(tagged) == 1) & (tags[1:] % 2 == 0) & ((tags[1:] - 1) // 2 == (tags[:-1] - 1) // 2)
+    first = np.flatnonzero(np.concatenate([[True], ~goes_on]))
+    last = np.append(first[1:], len(tagged)) - 1
+    return [(int(tagged[f]), int(tagged[e]) + 1, KINDS[(int(tags[f]) - 1) // 2]) for f, e in zip(first, last)]
+
+
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Where spans can lie that look like their kind: each span that is plausible() lies within one of these. An e-mail
+    address has a sign for 'at' with a name before it and a host with a dot after it; the others are runs of digits."""
+    out = []
+    for m in AT.finditer(text) if "@" in text or "at]" in text or "at)" in text else ():
+        a = end = m.start() - (m.start() > 0 and text[m.start() - 1] == " ")
+        while a and NAMED.match(text[a - 1]):
+            a -= 1
+        host = HOST.match(text, m.end())
+        if a < end and host:
+            out.append((a, host.end()))
+    for m in RUN.finditer(text) if DIGIT.search(text) else ():
+        if (n := len(digits_of(m[0]))) >= 9 or n >= 4 and m[0].count(".") >= 3:
+            out.append((max(0, m.start() - 2), m.end()))
+    return out
 
 
 def stretches(text: str, width: int) -> list[tuple[int, int]]:
-    """The parts of a text within half a window of a digit or an at sign."""
-    out: list[list[int]] = []
-    for m in MARKS.finditer(text):
-        a, b = max(0, m.start() - width // 2), min(len(text), m.end() + width // 2)
+    """The candidates with a window on both sides, from and to ends of windows."""
+    step, out = width // 2, []
+    for a, b in sorted(candidates(text)):
+        a, b = max(0, a // step - 2) * step, min(len(text), (-(-b // step) + 2) * step)
         if out and a <= out[-1][1]:
-            out[-1][1] = b
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append((a, b))
+    return out
+
 
+def paths(model: Tagger, whole: list[str], parts: list[tuple[int, int, int]], width: int, rows: int = 1024) -> list[np.ndarray]:
+    """The tags of parts (text, from, to) that begin and end with windows of their text: windows with half overlap,
+    whose scores are the same whatever part they are read for, joined scores, one path per part."""
+    out: list[np.ndarray] = []
+    step = width // 2
+    taper = (1 + np.minimum(np.arange(width), np.arange(width)[::-1])).astype(np.float32)
+    held, flat, size = [], [], 0  # first window, first row and rows of each part
+    for k, (i, a, b) in enumerate(parts):
+        low = max(0, a - step)
+        c = codes(whole[i][low : b + step])
+        n = max(1, -(-(len(c) - step) // step))  # windows
+        held.append((size // step, size + a - low, b - a))
+        flat.append(np.pad(c, (0, (n + 1) * step - len(c))))
+        size += len(flat[-1])
+        if size <= 1_000_000 and k + 1 < len(parts):
+            continue
+        ahead = np.concatenate(flat)
+        n = len(ahead) // step - 1
+        at = np.arange(n)[:, None] * step + np.arange(width)
+        total = np.zeros((len(ahead), len(TAGS)), np.float32)
+        weight = np.zeros(len(ahead), np.float32)
+        real = np.ones(n, bool)
+        real[[s - 1 for s, _, _ in held if s]] = False  # a window over the end of a part belongs to none
+        real = np.flatnonzero(real)
+        for w in range(0, len(real), rows):
+            some = real[w : w + rows]
+            scores = read_windows(model, ahead[at[some]].T) * taper[:, None, None]
+            for half in (slice(0, step), slice(step, width)):
+                where = at[some][:, half]
+                total[where] += scores[half].transpose(2, 0, 1)
+                weight[where] += taper[half]
+        total /= np.maximum(weight, 1e-9)[:, None]
+        _, first, length = np.array(held).T
+        out += viterbi(total, model.trans, first, length)
+        held, flat, size = [], [], 0
+    return out
 
-def model_spans(model: Tagger, whole: list[str], width: int = 48) -> list[list[Span]]:
-    """Spans that the model finds in each text: windows with half overlap, joined scores, one path per stretch."""
-    parts = [(i, a, b) for i, t in enumerate(whole) for a, b in stretches(t, width)]
+
+def model_spans(model: Tagger, whole: list[str], width: int = 48, everywhere: bool = False) -> list[list[Span]]:
+    """Spans that the model finds in each text: around the candidates, a part growing while a tag is open at its end, or ``everywhere``."""
     found: list[list[Span]] = [[] for _ in whole]
-    step, taper = width // 2, (1 + np.minimum(np.arange(width), np.arange(width)[::-1])).astype(np.float32)
-    for at in range(0, len(parts), 256):
-        some = parts[at : at + 256]
-        windows, place = [], []
-        for j, (i, a, b) in enumerate(some):
-            c = codes(whole[i][a:b])
-            for s in range(0, max(1, len(c) - step), step):
-                windows.append(np.pad(c[s : s + width], (0, max(0, width - len(c[s : s + width])))))
-                place.append((j, s))
-        total = [np.zeros((b - a, len(TAGS)), np.float32) for _, a, b in some]
-        weight = [np.zeros(b - a, np.float32) for _, a, b in some]
-        for w in range(0, len(windows), 512):
-            scores = emissions(model, np.array(windows[w : w + 512]).T)[0]
-            for k, (j, s) in enumerate(place[w : w + 512]):
-                n = min(width, len(weight[j]) - s)
-                total[j][s : s + n] += scores[:n, k] * taper[:n, None]
-                weight[j][s : s + n] += taper[:n]
-        for (i, a, b), sums, w in zip(some, total, weight):
-            path = viterbi(sums / np.maximum(w, 1e-9)[:, None], model.trans)
-            k = 0
-            while k < len(path):
-                if path[k] == 0:
-                    k += 1
-                    continue
-                kind, s = (path[k] - 1) // 2, k
-                k += 1
-                while k < len(path) and path[k] == 2 * kind + 2:
-                    k += 1
-                found[i].append((a + s, a + k, KINDS[kind]))
-    return found
+    parts = [(i, a, b) for i, t in enumerate(whole) if t for a, b in ([(0, len(t))] if everywhere else stretches(t, width))]
+    while parts:
+        longer = []
+        for (i, a, b), path in zip(parts, paths(model, whole, parts, width)):
+            more, n = -(-(b - a) // width) * width, len(whole[i])
+            new = max(0, a - more) if path[0] else a, min(n, b + more) if path[-1] else b
+            if new != (a, b):
+                longer.append((i, *new))
+            else:
+                found[i] += [(a + s, a + e, k) for s, e, k in spans_of(path)]
+        parts = longer
+    return [sorted(set(x)) for x in found]
 
 
 def plausible(text: str, span: Span) -> bool:
@@ -315,7 +432,7 @@ def plausible(text: str, span: Span) -> bool:
     if a and b - a and text[a - 1].isalnum() or b < len(text) and text[b].isalnum():
         return False
     if kind == "email":
-        return bool(re.fullmatch(r"[\w.%+-]+ ?(?:@|[\[(]at[\])]) ?[\w-]+(?: ?(?:\.|[\[(]dot[\])]) ?[\w-]+)+", s)) and bool(MARKS.search(s))
+        return bool(re.fullmatch(r"[\w.%+-]+ ?(?:@|[\[(]at[\])]) ?[\w-]+(?: ?(?:\.|[\[(]dot[\])]) ?[\w-]+)+", s))
     if kind == "ip":
         parts = re.fullmatch(r"([0-9]{1,3}) ?[.] ?([0-9]{1,3}) ?[.] ?([0-9]{1,3}) ?[.] ?([0-9]{1,3})", s)
         return bool(parts) and all(int(x) <= 255 for x in parts.groups())
@@ -324,13 +441,19 @@ def plausible(text: str, span: Span) -> bool:
     return 9 <= d <= 15 and bool(re.fullmatch(r"(?:\+|00|\()?[0-9](?:[ ().-]{0,2}[0-9])+", s)) and bool(re.search(r"[ ().-]|^00", s)) and not re.search(r"[0-9]{6}", s[2:])
 
 
+def trimmed(text: str, span: Span) -> Span:
+    """Without the stop or comma of the sentence around it."""
+    a, b, kind = span
+    return a, a + len(text[a:b].rstrip(" .,;:!?")), kind
+
+
 def find_spans(model: Tagger | None, whole: list[str]) -> list[tuple[list[Span], list[Span]]]:
     """Base spans and all spans of each text. A span of the model that touches a base span gives way to it."""
     out = []
     extra = model_spans(model, whole) if model else [[] for _ in whole]
     for text, more in zip(whole, extra):
         base = base_spans(text)
-        kept = [s for s in more if plausible(text, s) and not any(s[0] < b and a < s[1] for a, b, _ in base)]
+        kept = [s for s in (trimmed(text, s) for s in more) if plausible(text, s) and not any(s[0] < b and a < s[1] for a, b, _ in base)]
         out.append((base, sorted(base + kept, key=lambda s: (s[0], KINDS.index(s[2])))))
     return out
 
@@ -343,8 +466,9 @@ SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io l
 def labelled_rows(n: int = 1500, seed: int = 11) -> list[tuple[str, list[Span]]]:
     """Invented lines with marked personal data in many forms, and with numbers, keys, dates and versions that are none."""
     r = random.Random(seed)
-    word = lambda: "".join(r.choices(SYLLABLES, k=r.randint(1, 4)))
-    name = lambda: re.sub(r"[^a-z]", "a", word())
+    word = lambda: "".join(r.choices(SYLLABLES, k=r.randint(1, 4))) if r.random() < 0.8 else letters()
+    letters = lambda: "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(2, 14)))
+    name = lambda: re.sub(r"[^a-z]", "a", word()) if r.random() < 0.6 else letters()
     num = lambda k: "".join(r.choices("0123456789", k=k))
 
     def card() -> str:
@@ -354,8 +478,11 @@ def labelled_rows(n: int = 1500, seed: int = 11) -> list[tuple[str, list[Span]]]
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
     def email() -> str:
-        at, dot = r.choice([("@", "."), ("@", "."), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" @ ", "."), ("[at]", ".")])
-        return f"{name()}{r.choice(['.', '_', ''])}{num(2)}{at}{name()}{r.choice(['', num(1)])}{dot}{name()}{dot}{r.choice(['com', 'org', 'net', 'de'])}"
+        at, dot = r.choice([("@", "."), (" [at] ", " [dot] "), ("(at)", "(dot)"), (" (at) ", " (dot) "), (" @ ", "."), ("[at]", "."), (" (at) ", ".")])
+        own = name() + r.choice(["", name() + name(), num(2) + name() + name(), r.choice(["", ".", "_"]) + num(2), r.choice([".", "_", "-"]) + name(), r.choice([".", "_"]) + name() + num(2)])
+        host = dot.join([name() + r.choice(["", "", num(1)]), *(name() for _ in range(r.choice([0, 0, 1])))])
+        own = r.choice([own, own, own, num(r.randint(1, 3)) + own])
+        return f"{own}{at}{host}{dot}{r.choice(['com', 'org', 'net', 'de'])}"
 
     def phone() -> str:
         return r.choice([f"+1 ({num(3)}) {num(3)}-{num(4)}", f"({num(3)}) {num(3)}-{num(4)}", f"+{num(2)} {num(3)} {num(4)} {num(3)}", f"{num(3)}-{num(3)}-{num(4)}", f"00{num(2)} {num(2)} {num(4)} {num(4)}", f"+{num(11)}"])
@@ -366,7 +493,7 @@ def labelled_rows(n: int = 1500, seed: int = 11) -> list[tuple[str, list[Span]]]
     other = [
         lambda: num(r.randint(1, 12)), lambda: f"version {r.randint(1, 9)}.{r.randint(0, 9)}", lambda: f"{r.randint(1900, 2030)}-{r.randint(1, 12):02}-{r.randint(1, 28):02}",
         lambda: f"password={''.join(r.choices('0123456789abcdef', k=18))}", lambda: "AKIA" + "".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", k=16)),
-        lambda: f'token = "{"".join(r.choices("0123456789abcdef", k=40))}"', lambda: f"{r.randint(1, 999)},{num(3)}.{num(2)}", lambda: f"[{r.randint(1, 99)}] {word()}", lambda: f"@{name()}", lambda: f"{num(2)}:{num(2)}:{num(2)}", lambda: f"{r.randint(1, 20)}.{r.randint(1, 20)}.{r.randint(1, 20)}",
+        lambda: f'token = "{"".join(r.choices("0123456789abcdef", k=40))}"', lambda: f"{r.randint(1, 999)},{num(3)}.{num(2)}", lambda: f"[{r.randint(1, 99)}] {word()}", lambda: f"@{name()}", lambda: f"({word()}) {word()} [{word()}]", lambda: f"{word()} {r.choice(['(at)', '[at]', '@', '(dot)', '[dot]'])} {word()} {word()}, {word()}", lambda: f"{num(2)}:{num(2)}:{num(2)}", lambda: f"{r.randint(1, 20)}.{r.randint(1, 20)}.{r.randint(1, 20)}",
     ]
     makers = {"email": email, "ip": ip, "card": card, "phone": phone}
     rows = []

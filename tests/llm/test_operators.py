@@ -431,6 +431,50 @@ def test_windows_are_joined():
         assert any(k == "email" for _, _, k in pii.find_spans(model, [t])[0][1])
 
 
+def test_addresses_without_digits():
+    model = pii.default_tagger()
+    for t, want in [
+        ("write to jane (at) mail (dot) org today", "jane (at) mail (dot) org"),
+        ("mail me: jane(at)mail(dot)org.", "jane(at)mail(dot)org"),
+        ("see max.mustermann (at) example.org or call", "max.mustermann (at) example.org"),
+        ("contact 42lauraverylongusernameindeedthatgoeson (at) mail (dot) org now", "42lauraverylongusernameindeedthatgoeson (at) mail (dot) org"),
+    ]:
+        assert [(t[a:b], k) for a, b, k in pii.find_spans(model, [t])[0][1]] == [(want, "email")]
+        assert pii.base_spans(t) == []
+    found = n = 0
+    for t, spans in pii.labelled_rows(600, seed=99):
+        want = [s for s in spans if s[2] == "email" and not re.search("[0-9@]", t[s[0] : s[1]])]
+        n += len(want)
+        found += len(set(want) & set(pii.find_spans(model, [t])[0][1])) if want else 0
+    assert n > 20 and found > 0.85 * n
+
+
+def test_nothing_is_lost_by_reading_around_candidates(spark, sf_dir):
+    model = pii.default_tagger()
+    whole = [t for t, _ in pii.labelled_rows(500, seed=77)] + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(150).collect()]
+    kept = lambda found: [[s for s in (pii.trimmed(t, s) for s in x) if pii.plausible(t, s)] for t, x in zip(whole, found)]
+    got = kept(pii.model_spans(model, whole))
+    assert sum(map(len, got)) > 200 and got == kept(pii.model_spans(model, whole, everywhere=True))
+
+
+def test_whole_texts_have_one_best_path():
+    r = np.random.default_rng(4)
+    scores, trans = r.normal(size=(100, 9)), r.normal(size=(9, 9))
+    starts, lengths = np.array([0, 10, 11, 50]), np.array([10, 1, 39, 50])
+    for got, a, n in zip(pii.viterbi(scores, trans, starts, lengths), starts, lengths):
+        best, back = scores[a], []
+        for x in scores[a + 1 : a + n]:
+            back.append((best[:, None] + trans).argmax(0))
+            best = (best[:, None] + trans).max(0) + x
+        path = [int(best.argmax())]
+        for b in back[::-1]:
+            path.append(int(b[path[-1]]))
+        assert got.tolist() == path[::-1]
+    x = r.integers(0, pii.N_CODES, (48, 70))
+    model = pii.new_tagger(16, 1)
+    assert np.allclose(pii.read_windows(model, x).transpose(0, 2, 1), pii.emissions(model, x)[0], atol=1e-4)
+
+
 def test_detect(spark, docs, none):
     model = pii.default_tagger()
     extra = spark.createDataFrame([(90, "write to a.b@c.de or +1 (988) 555-2485 or 1.2.3.4 or 4111 1111 1111 1111.")], "doc_id long, text string")
