@@ -28,6 +28,7 @@ from pagemill.llm.base import WORD, begin, map_arrow, slices, texts
 SYMBOLS = re.compile(r"[#*$%&|<>]")
 UPPER = re.compile(r"[A-ZÀ-ÖØ-Þ]")
 MARK = re.compile(r"[!?]")
+DIGIT = re.compile(r"[0-9]")
 WINDOW = 5
 STATS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, features array<double>"
 
@@ -76,7 +77,8 @@ def repeated_lines(text: str) -> int:
 
 
 def statistics(text: str) -> tuple[int, int, int, int, int, bool, list[float]]:
-    """The contract's counts, the base verdict, and the features of the forest."""
+    """The contract's counts, the base verdict, and the features of the forest: shares of symbols, repeated words, capitals
+    and marks, length of words, share of repeated lines, number of words, share of digits."""
     words = WORD.findall(text)
     n = len(words)
     chars = sum(map(len, words))
@@ -84,7 +86,11 @@ def statistics(text: str) -> tuple[int, int, int, int, int, bool, list[float]]:
     dup, repeat = repeated_lines(text), repeated_words(words)
     failed = n < 10 or 100 * repeat > 20 * n
     per_word = 1 / max(n, 1)
-    features = [symbols * per_word, repeat * per_word, len(UPPER.findall(text)) / max(chars, 1), len(MARK.findall(text)) * per_word]
+    lines = sum(1 for line in text.split("\n") if WORD.search(line)) if dup else 1
+    features = [
+        symbols * per_word, repeat * per_word, len(UPPER.findall(text)) / max(chars, 1), len(MARK.findall(text)) * per_word,
+        math.log2(1 + chars * per_word), dup / lines, math.log2(1 + n), len(DIGIT.findall(text)) / max(chars, 1),
+    ]
     return n, chars, symbols, dup, repeat, failed, features
 
 
@@ -206,7 +212,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, keep: float
     usual = good & ~got["base_failed"].to_numpy(bool)
     if usual.sum() < 8:
         return None
-    forest = grow(x[usual], x.std(0))
+    # a range on both sides, so that a vector that lies apart in one feature only parts from the others early, too
+    forest = grow(x[usual], np.maximum(x.std(0), np.ptp(x[usual], axis=0)))
     held = ~got["base_failed"].to_numpy(bool)
     forest.threshold = calibrate(forest.scores(x[held]), good[held], keep)
     return forest

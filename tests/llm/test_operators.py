@@ -216,6 +216,24 @@ def test_verdicts_on_labelled_rows(spark):
     assert own[own.quality == 0].kept.mean() < 0.1 and own[own.quality == 1].kept.mean() > 0.99
 
 
+def test_documents_odd_in_one_statistic(spark):
+    """Long tokens, one-letter words, repeated lines without repeated windows, digits: each alone is enough."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    forest, r = quality.fit(docs, labels), random.Random(1)
+    word = lambda: "".join(r.choices("etaoinsrhl", k=r.randint(2, 8)))
+    odd = {
+        "long": lambda: " ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(80, 300))) for _ in range(r.randint(12, 100))),
+        "short": lambda: " ".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(r.randint(60, 800))),
+        "lines": lambda: "\n".join(x for _ in range(r.randint(15, 100)) for x in (" ".join(word() for _ in range(30)), "read more here")),
+        "digits": lambda: " ".join(str(r.randint(1, 10 ** r.randint(1, 6))) for _ in range(r.randint(60, 300))),
+    }
+    for make in odd.values():
+        got = [quality.statistics(make()) for _ in range(40)]
+        assert not any(g[5] for g in got)
+        assert (forest.scores(np.array([g[6] for g in got])) > forest.threshold).mean() > 0.9
+
+
 def test_filter_keeps_columns(spark, docs, none):
     out = quality.filter_documents(docs, None)
     assert out.columns == docs.columns and 0 < out.count() < docs.count()
