@@ -574,6 +574,19 @@ def test_boilerplate_of_a_host(spark):
     assert got == {k: f"own words of page number {k} here" for k in range(6)} | {10: MENU, 11: MENU, 12: MENU, None: MENU}
 
 
+def test_copies_on_a_host_stay(spark):
+    """Copies of a page, a print version, and a passage of two pages are content; what pages of different content repeat is not."""
+    r = random.Random(2)
+    story, passage = words(r, 80), words(r, 20)
+    bodies = [f"<div>{MENU}</div><div>{story}</div>"] * 4 + [f"<div>{story}</div><div>printed</div>"]
+    bodies += [f"<div>{MENU}</div><div>{words(r, 30)} {passage}</div>" for _ in range(2)] + [f"<div>{MENU}</div><div>{words(r, 30)}</div>" for _ in range(3)]
+    alone = [f"<div>{story}</div>"] * 3
+    df = spark.createDataFrame([(k, f"http://a/{k}", page(b)) for k, b in enumerate(bodies)] + [(50 + k, f"http://m/{k}", page(b)) for k, b in enumerate(alone)], "page_id long, url string, html string")
+    want = {k: re.sub("</?div>", "", b.replace(f"<div>{MENU}</div>", "").replace("</div><div>", "\n")) for k, b in [*enumerate(bodies), *enumerate(alone, 50)]}
+    for size in (1000, 2):
+        assert {x.page_id: x.text for x in extract.main_text(df, group_pages=size).collect()} == want
+
+
 def test_covered_tokens_against_all_windows():
     r = random.Random(8)
     streams = [r.choices("abc", k=r.randint(0, 30)) for _ in range(12)]
