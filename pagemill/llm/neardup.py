@@ -1,11 +1,10 @@
-"""Similarity join of word five-grams with a MinHash LSH forest and exact verification.
+"""Similarity join of word five-grams with banded MinHash and exact verification.
 
 Texts with the same set of word shingles form one class, whose least doc_id
-stands for it. Each class has a label in every tree: a row of MinHash values. All
-labels of a tree are sorted; classes whose labels begin alike stand together. The
-length of the prefix that counts as a match starts at the whole label and is
-shortened until two sets of just the wanted similarity meet in some tree
-with the wanted probability. Classes that match are candidates; the components of
+stands for it. Each class has a key in every band: the hash of a row of MinHash
+values. The length of the row is fixed beforehand: the longest, up to ``DEEPEST``, with
+which two sets of just the wanted similarity share a key in some band with the
+wanted probability (6 in 48 bands at 0.8). Classes that match are candidates; the components of
 the candidate graph are dealt out in blocks, and each two blocks of a component are
 compared in full: exact intersections by products of incidence matrices. So each
 link is counted exactly once, and no pair leaves the task that verified it.
@@ -80,7 +79,7 @@ class Shingles:
 
 
 class Forest:
-    """Label prefixes of sets: for each tree the hash of the first values of its label."""
+    """Keys of sets: for each band (tree) the hash of its values, of which only ``length`` are drawn."""
 
     def __init__(self, length: int, trees: int = TREES, seed: int = 1):
         rng = np.random.default_rng(seed)
