@@ -99,22 +99,23 @@ class Forest:
         return code.view(np.int64)
 
 
-def signatures(docs: DataFrame, n: int, length: int) -> DataFrame:
-    """doc_id, two halves of the set's fingerprint, labels; texts without words are left out."""
+def signatures(docs: DataFrame, n: int, length: int, extra: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns of longs that go along, two halves of the set's fingerprint, labels; texts without words are left out."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingles, forest = Shingles(n), Forest(length)
         for b in slices(batches, 1000):
-            ids, first, second, labels = [], [], [], []
-            for doc, text in zip(b.column("doc_id").to_pylist(), texts(b.column("text"))):
+            ids, first, second, labels, where = [], [], [], [], []
+            for at, (doc, text) in enumerate(zip(b.column("doc_id").to_pylist(), texts(b.column("text")))):
                 s = shingles(text)
                 if len(s):
+                    where.append(at)
                     h1, h2 = fingerprint(s)
                     ids.append(doc), first.append(h1), second.append(h2), labels.append(forest(s))
             flat = pa.array(np.concatenate(labels) if labels else np.zeros(0, np.int64))
-            yield {"doc_id": ids, "h1": first, "h2": second, "labels": pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * TREES), flat)}
+            yield {"doc_id": ids, "h1": first, "h2": second, "labels": pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1, dtype=np.int32) * TREES), flat)} | {c: b.column(c).take(pa.array(where, pa.int64())) for c in extra}
 
-    return map_arrow(docs, rows, "doc_id long, h1 long, h2 long, labels array<long>", large=True)
+    return map_arrow(docs, rows, "doc_id long, " + "".join(f"{c} long, " for c in extra) + "h1 long, h2 long, labels array<long>", large=True)
 
 
 def run_roots(key: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,9 +252,16 @@ def verified(candidates: DataFrame, n: int, similarity: float) -> DataFrame:
 def similar(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.999999) -> DataFrame:
     """doc_id, class_id (least doc_id of the group that links join), rep_id (least doc_id with the same shingles), n_links."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    own = grouped(docs, similarity, n, recall).select("doc_id", "class_id", F.col("rep").alias("rep_id"), "n_links")
+    rest = docs.where("doc_id is null or not text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
+    return own.unionByName(rest)
+
+
+def grouped(docs: DataFrame, similarity: float, n: int, recall: float, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Of rows with doc_id and words: doc_id, the columns that go along, rep, class_id, n_links, and the group, by a number of its own."""
     known = docs.where("doc_id is not null")
     length = prefix_length(similarity, recall)
-    signed = written(signatures(known, n, length), "signatures")
+    signed = written(signatures(known, n, length, extra), "signatures")
     classes = written(signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")), "classes")
     # in the graph a class goes by half of its fingerprint
     members = components(matches(classes), "candidates")
@@ -269,15 +277,31 @@ def similar(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float
     links = found.groupBy(F.col("node").alias("h1")).agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), "groups").withColumnRenamed("node", "h1")
     named = roots.join(classes.select("h1", "rep"), "h1").groupBy("root").agg(F.min("rep").alias("class_id"))
-    judged = classes.select("h1", "h2", "rep", "copies").join(links, "h1", "left").join(roots.join(named, "root").select("h1", "class_id"), "h1", "left")
-    judged = judged.select("h1", "h2", "rep", F.coalesce("class_id", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    own = signed.select("doc_id", "h1", "h2").join(judged, ["h1", "h2"]).select("doc_id", "class_id", F.col("rep").alias("rep_id"), "n_links")
-    rest = docs.where("doc_id is null or not text rlike '[^\\\\x20\\\\x09-\\\\x0D]'").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("rep_id"), F.lit(0).cast("long").alias("n_links"))
-    return own.unionByName(rest)
-
-
-def one_of_each(docs: DataFrame, similarity: float = 0.8, n: int = 5) -> DataFrame:
-    """The documents, of each group of near duplicates only the one of least id. All columns stay."""
-    gone = written(similar(docs, similarity, n).where("doc_id <> class_id").select("doc_id"), "dropped")
-    few = gone.limit(500_001).count() <= 500_000  # 4 MB at most
-    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    judged = classes.select("h1", "h2", "rep", "copies").join(links, "h1", "left").join(roots.join(named, "root").select("h1", "root", "class_id"), "h1", "left")
+    judged = judged.select("h1", "h2", "rep", F.coalesce("root", "h1").alias("group"), F.coalesce("class_id", "rep").alias("class_id"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return signed.select("doc_id", *extra, "h1", "h2").join(judged, ["h1", "h2"]).select("doc_id", *extra, "rep", "class_id", "n_links", "group")
+
+
+def one_of_each(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.999999) -> DataFrame:
+    """The documents, of each group of near duplicates only one row, of the least id. All columns stay. A row goes by its
+    id and the hash of its text, since an id may stand on several texts."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    named = named.withColumn("print", F.xxhash64("text"))
+    own = written(grouped(named, similarity, n, recall, ("print",)).select("doc_id", "print", "class_id", "group"), "groups-of-rows")
+    least = own.where("doc_id = class_id").groupBy("group").agg(F.min("print").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = written(least, "least")
+    several = own.where("doc_id = class_id").join(least, "group")
+    gone = own.where("doc_id <> class_id").select("doc_id", "print").unionByName(several.where("print <> first").select("doc_id", "print"))
+    again = written(several.where("print = first").groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id", "print"), "repeated")
+    gone = written(gone.unionByName(again), "dropped")
+    row = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_print": F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))})
+
+    def sent(rows: DataFrame) -> DataFrame:
+        rows = rows.select(F.col("doc_id").alias("_id"), F.col("print").alias("_print"))
+        return F.broadcast(rows) if rows.limit(500_001).count() <= 500_000 else rows  # 8 MB at most
+
+    kept = row.join(sent(gone), ["_id", "_print"], "left_anti").select(docs.columns)
+    if again.isEmpty():
+        return kept
+    one = row.join(sent(again), ["_id", "_print"], "left_semi").dropDuplicates(["_id", "_print"])
+    return kept.unionByName(one.select(docs.columns))

@@ -322,6 +322,17 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert kept == {c for _, c, _ in brute_links(rows)}
 
 
+def test_one_row_of_each_group_with_repeated_ids(spark):
+    r = random.Random(4)
+    a, b, c = (words(r, 50) for _ in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c), (3, c + " end"), (4, c), (None, a), (None, a), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = keyed(neardup.one_of_each(df).collect(), "doc_id", "text")
+    ours = [x for x in got if x[0] == 3]
+    assert len(ours) == 1 and ours[0] in rows
+    assert [x for x in got if x[0] != 3] == sorted([(1, a), (2, b), (None, a), (None, a), (5, "")], key=repr)
+
+
 def test_prefixes_are_shortened_to_the_recall():
     for target in (0.9, 0.99, 0.999999):
         n = neardup.prefix_length(0.8, target)
