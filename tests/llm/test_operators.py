@@ -444,46 +444,83 @@ def test_base_spans():
     assert pii.base_spans("1" * 200_000) == []  # in linear time
 
 
+def spans_found(model, text):
+    return [(text[a:b], k) for a, b, k in pii.find_spans(model, [text])[0][1]]
+
+
 def test_model_on_held_out_lines():
     model = pii.default_tagger()
     held = pii.labelled_rows(300, seed=99)
-    found = pii.model_spans(model, [t for t, _ in held])
+    found = [[(a, b, k) for a, b, k, score in x if score >= model.cuts[k]] for x in pii.model_spans(model, [t for t, _ in held])]
     right = sum(len(set(a) & set(b)) for a, (_, b) in zip(found, held))
-    assert right / sum(map(len, found)) > 0.85 and right / sum(len(b) for _, b in held) > 0.85
+    assert right / sum(map(len, found)) > 0.9 and right / sum(len(b) for _, b in held) > 0.9
+
+
+def test_training_learns_the_forms():
+    """A short training on few rows already tags most characters of other rows as it should."""
+    model = pii.train(pii.labelled_rows(800), epochs=8)
+    held = pii.labelled_rows(100, seed=98)
+    found = pii.model_spans(model, [t for t, _ in held])
+    touched = sum(any(k == s[2] and a < s[1] and s[0] < b for a, b, k, _ in x) for x, (_, gold) in zip(found, held) for s in gold)
+    assert touched > 0.7 * sum(len(gold) for _, gold in held)
+
+
+#: Written by hand, in forms that the base patterns miss.
+MISSED = [
+    ("jane (at) mail (dot) org", "email"), ("jane(at)mail(dot)org", "email"), ("max.mustermann (at) example.org", "email"), ("anna [at] mail [dot] com", "email"), ("bob(at)example(dot)org", "email"),
+    ("42lauraverylongusernameindeedthatgoeson (at) mail (dot) org", "email"), ("(917) 555-0182", "phone"), ("415-555-0134", "phone"), ("192 . 168 . 4 . 17", "ip"),
+]
+
+
+def test_whole_documents_with_forms_that_the_patterns_miss(spark, sf_dir):
+    """Each form, put in the middle of a document, is found there, and nothing else is found that was not before."""
+    model = pii.default_tagger()
+    whole = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").collect() if len(r.text.split()) > 50 and not pii.base_spans(r.text)][: 3 * len(MISSED)]
+    caught = 0
+    for i, text in enumerate(whole):
+        form, kind = MISSED[i % len(MISSED)]
+        at = text.index(" ", len(text) // 2)
+        changed = text[:at] + f" you can write to {form} if you like" + text[at:]
+        assert pii.base_spans(changed) == []
+        before, after = spans_found(model, text), spans_found(model, changed)
+        caught += (form, kind) in after
+        assert len(after) <= len(before) + 1
+    assert caught >= 0.85 * len(whole)
+
+
+def test_the_model_alone_finds_what_the_patterns_find(spark):
+    model = pii.default_tagger()
+    whole = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    hit = n = added = 0
+    for (base, every), spans in zip(pii.find_spans(model, whole), pii.model_spans(model, whole)):
+        added += len(every) - len(base)
+        for s in base:
+            n += 1
+            hit += any(k == s[2] and a <= s[0] + 1 and b >= s[1] - 1 and score >= model.cuts[k] for a, b, k, score in spans)
+    assert n > 50 and hit >= 0.85 * n and added <= 5
 
 
 def test_windows_are_joined():
-    """A span is found whole wherever it lies, also across the ends of windows."""
+    """A span is found whole wherever it lies, also across the ends of windows and of pieces."""
     model = pii.default_tagger()
-    for pad in range(0, 60, 7):
-        t = "th " * pad + "anna.bee.42@mail.example.com and so on"
-        assert any(k == "email" for _, _, k in pii.find_spans(model, [t])[0][1])
+    for pad in range(0, 130, 3):
+        t = "and so on " * pad + "anna.bee.42@mail.example.com and so on"
+        assert any(k == "email" and t[a:b] == "anna.bee.42@mail.example.com" for a, b, k, _ in pii.model_spans(model, [t])[0])
 
 
-def test_addresses_without_digits():
+def test_pieces_of_very_long_texts(monkeypatch):
     model = pii.default_tagger()
-    for t, want in [
-        ("write to jane (at) mail (dot) org today", "jane (at) mail (dot) org"),
-        ("mail me: jane(at)mail(dot)org.", "jane(at)mail(dot)org"),
-        ("see max.mustermann (at) example.org or call", "max.mustermann (at) example.org"),
-        ("contact 42lauraverylongusernameindeedthatgoeson (at) mail (dot) org now", "42lauraverylongusernameindeedthatgoeson (at) mail (dot) org"),
-    ]:
-        assert [(t[a:b], k) for a, b, k in pii.find_spans(model, [t])[0][1]] == [(want, "email")]
-        assert pii.base_spans(t) == []
-    found = n = 0
-    for t, spans in pii.labelled_rows(600, seed=99):
-        want = [s for s in spans if s[2] == "email" and not re.search("[0-9@]", t[s[0] : s[1]])]
-        n += len(want)
-        found += len(set(want) & set(pii.find_spans(model, [t])[0][1])) if want else 0
-    assert n > 20 and found > 0.85 * n
-
-
-def test_nothing_is_lost_by_reading_around_candidates(spark, sf_dir):
+    t = "".join(f"some words here jane{i} (at) mail (dot) org and more of them\n" for i in range(400))
+    one = [s[:3] for s in pii.model_spans(model, [t])[0]]
+    monkeypatch.setattr(pii, "PIECE", 3000)
+    assert [s[:3] for s in pii.model_spans(model, [t])[0]] == one and len(one) == 400
+
+
+def test_no_place_is_ruled_out_wrongly(spark, sf_dir):
     model = pii.default_tagger()
     whole = [t for t, _ in pii.labelled_rows(500, seed=77)] + [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").limit(150).collect()]
-    kept = lambda found: [[s for s in (pii.trimmed(t, s) for s in x) if pii.plausible(t, s)] for t, x in zip(whole, found)]
-    got = kept(pii.model_spans(model, whole))
-    assert sum(map(len, got)) > 200 and got == kept(pii.model_spans(model, whole, everywhere=True))
+    got = [[s[:3] for s in x] for x in pii.model_spans(model, whole)]
+    assert sum(map(len, got)) > 200 and got == [[s[:3] for s in x] for x in pii.model_spans(model, whole, everywhere=True)]
 
 
 def test_whole_texts_have_one_best_path():
