@@ -1,6 +1,7 @@
 """Each operator against a brute-force version, on small tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
 
 import hashlib
+import html
 import math
 import random
 import re
@@ -600,7 +601,8 @@ MENU = "Home page and news and all about us and where to find the shop in town"
     [
         ("<nav>x</nav><article><h1>A &amp; B</h1><p>one\n two</p></article><footer>f</footer>", "A & B\none two"),
         ("<header>h</header><main><p>a<p>b<ul><li>c<li>d</ul></main><aside>s</aside>", "a\nb\nc\nd"),
-        ('<article><p>a</p><div class="ad">buy</div><div id="comments"><p>hey</p></div><p>b</p></article>', "a\nb"),
+        ('<article><p>a</p><div id="comments"><p>hey</p></div><p>b</p><div class="side-by-side skip">c</div><div class="ad">buy</div></article>', "a\nb\nc"),
+        ("<article>a <math><mi>x</mi></math> b <svg><text>s</text></svg><p hidden>h</p><noscript><p>n</p></noscript></article>", "a x b s\nh\nn"),
         ("<article><p><b>open<br><p>next</p></article>", "open\nnext"),
         ("<article><p>x</p><script>if (a<b) {'</p>'}</script><style>p{}</style><form>f</form><p>y&nbsp;z</p></article>", "x\ny z"),
         ("", ""), (None, ""), ("<article></article>", ""), ("<p>bare", "bare"), ('<article><p title="a>b">k</p></article>', "k"),
@@ -612,14 +614,20 @@ def test_structure(spark, html, want):
     assert len(r) == 1 and r[0].text == want and r[0].n_chars == len(want)
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def texts_of(df, **how):
+    return {r.page_id: r.text for r in extract.main_text(df, **how).collect()}
+
+
 def test_boilerplate_of_a_host(spark):
     """Runs that pages of a host share go, unique runs stay, other hosts and copied articles are left alone."""
     rows = [(k, f"http://a/{k}", page(f"<div>{MENU}</div><div>own words of page number {k} here</div>")) for k in range(6)]
     rows += [(10, "http://b/1", page(f"<div>{MENU}</div>")), (11, "http://c/1", page(f"<article><p>{MENU}</p></article>")), (12, "http://c/2", page(f"<article><p>{MENU}</p></article>")), (None, None, page(f"<div>{MENU}</div>"))]
-    df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    got = {r.page_id: r.text for r in extract.main_text(df).collect()}
-    assert {r.page_id: r.text for r in extract.main_text(df, group_pages=2).collect()} == got  # a large host is treated alike
-    assert got == {k: f"own words of page number {k} here" for k in range(6)} | {10: MENU, 11: MENU, 12: MENU, None: MENU}
+    df = spark.createDataFrame(rows, PAGES)
+    assert texts_of(df) == {k: f"own words of page number {k} here" for k in range(6)} | {10: MENU, 11: MENU, 12: MENU, None: MENU}
+    assert texts_of(df, repetition=False)[0] == f"{MENU}\nown words of page number 0 here"
 
 
 def test_copies_on_a_host_stay(spark):
@@ -629,24 +637,69 @@ def test_copies_on_a_host_stay(spark):
     bodies = [f"<div>{MENU}</div><div>{story}</div>"] * 4 + [f"<div>{story}</div><div>printed</div>"]
     bodies += [f"<div>{MENU}</div><div>{words(r, 30)} {passage}</div>" for _ in range(2)] + [f"<div>{MENU}</div><div>{words(r, 30)}</div>" for _ in range(3)]
     alone = [f"<div>{story}</div>"] * 3
-    df = spark.createDataFrame([(k, f"http://a/{k}", page(b)) for k, b in enumerate(bodies)] + [(50 + k, f"http://m/{k}", page(b)) for k, b in enumerate(alone)], "page_id long, url string, html string")
+    df = spark.createDataFrame([(k, f"http://a/{k}", page(b)) for k, b in enumerate(bodies)] + [(50 + k, f"http://m/{k}", page(b)) for k, b in enumerate(alone)], PAGES)
     want = {k: re.sub("</?div>", "", b.replace(f"<div>{MENU}</div>", "").replace("</div><div>", "\n")) for k, b in [*enumerate(bodies), *enumerate(alone, 50)]}
-    for size in (1000, 2):
-        assert {x.page_id: x.text for x in extract.main_text(df, group_pages=size).collect()} == want
+    assert texts_of(df) == want
 
 
-def test_covered_tokens_against_all_windows():
+def test_places_and_bars(spark):
+    """A place whose blocks are mostly repeated goes with its unique blocks, in an article too; a bar on most pages of a host
+    goes from articles; a passage of a few articles stays. Many shards give the same."""
+    r = random.Random(3)
+    ads, bar, passage = [words(r, 6) for _ in range(4)], words(r, 12), words(r, 30)
+    rows, want = [], {}
+    for k in range(120):
+        own = [words(r, 40), passage if k % 12 == 0 else words(r, 15)]
+        ad = words(r, 6) if k == 7 else ads[k % 4]
+        rows.append((k, f"http://a/{k}", page(f'<div class="box">{ad}</div><article><h1>title {k}</h1><p>{own[0]}</p><div class="promo">{ad}</div><p>{bar}</p><p>{own[1]}</p></article>')))
+        want[k] = "\n".join([f"title {k}", *own])
+    df = spark.createDataFrame(rows, PAGES)
+    assert texts_of(df) == want
+    assert texts_of(df, shard_pages=40) == want
+    off = texts_of(df, repetition=False)
+    assert all(off[k] != want[k] for k in want)
+
+
+def test_the_array_decides_on_the_pages(spark):
+    """On the given pages the articles remain, and without the array every page would keep an advert."""
+    df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got, off = texts_of(df), texts_of(df, repetition=False)
+    want = {r.page_id: " ".join(html.unescape(re.sub("<[^>]+>", " ", re.search("<article>(.*?)</article>", r.html, re.S)[1])).split()) for r in df.collect()}
+    assert sum(" ".join(got[k].split()) == want[k] for k in want) >= 0.95 * len(want)
+    assert sum(off[k] != got[k] for k in want) >= 0.9 * len(want)
+
+
+def test_odd_pages(spark):
+    odd = [(None, None, None), (None, None, None), (1, "", ""), (1, "http://h/1", page("<p>a</p>")), (1, "http://h/1", page("<p>a</p>")), (2, "no url", page("<p>" + "long text " * 50_000 + "</p>"))]
+    df = spark.createDataFrame([(*x, "y", 5) for x in odd], PAGES + ", text string, host string")
+    got = keyed(extract.main_text(df).collect(), "page_id", "text", "n_chars")
+    assert got == sorted([(None, "", 0)] * 2 + [(1, "", 0)] + [(1, "a", 1)] * 2 + [(2, ("long text " * 50_000).strip(), 499_999)], key=repr)
+    assert extract.main_text(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_repeated_against_all_windows():
     r = random.Random(8)
-    streams = [r.choices("abc", k=r.randint(0, 30)) for _ in range(12)]
-    owners = [k // 2 for k in range(12)]
-    k = 4
-    where = {}
-    for s, o in zip(streams, owners):
-        for i in range(len(s) - k + 1):
-            where.setdefault(tuple(s[i : i + k]), set()).add(o)
-    for s, got in zip(streams, extract.covered_tokens(streams, owners, k)):
-        want = np.zeros(len(s), bool)
-        for i in range(len(s) - k + 1):
-            if len(where[tuple(s[i : i + k])]) > 1:
-                want[i : i + k] = True
-        assert got.tolist() == want.tolist()
+    for _ in range(30):
+        pages_ = [["".join(r.choices("ab", k=1)) if r.random() < 0.2 else " ".join(r.choices("abc", k=r.randint(1, 12))) for _ in range(r.randint(0, 4))] for _ in range(r.randint(1, 12))]
+        owners, contents = [r.randint(0, 8) for _ in pages_], [r.randint(0, 6) for _ in pages_]
+        streams = [extract.stream_of(b) for b in pages_]
+        times, whole = extract.repeated(streams, owners, contents, 4)
+
+        def different(found):
+            least = {}
+            for i in found:
+                least[owners[i]] = min(least.get(owners[i], 99), contents[i])
+            return len(set(least.values()))
+
+        windows = [[tuple(s[i : i + 4]) for i in range(len(s) - 3)] for s in streams]
+        for i, s in enumerate(streams):
+            want = [different([j for j, w in enumerate(windows) if s_ in w]) for s_ in windows[i]]
+            assert times[i][: len(want)].tolist() == [max(w, 1) for w in want] and (times[i][len(want) :] == 1).all()
+            cover = extract.covered(times[i], 2, 4)
+            at = 1
+            for k, b in enumerate(pages_[i]):
+                n = b.count(" ") + 1
+                equal = n < 4 and different([j for j, p in enumerate(pages_) if b in p]) > 1
+                if n != 3:
+                    assert whole[i][k] == (equal or bool(cover[at : at + n].all()))
+                at += n + 1
