@@ -102,9 +102,11 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.R
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that the driver and all executors see: under spark.checkpoint.dir, which is set here only if it is unset."""
+    """A new folder that the driver and all executors see: under spark.checkpoint.dir. Where that is unset, a local session gets a temporary one, any other an error."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         import tempfile
 
         root = "file://" + tempfile.mkdtemp(prefix="pagemill-shared-")
@@ -112,11 +114,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the shared folder and read again: cuts the lineage and is computed once."""
     spark = df.sparkSession
     path = shared_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
