@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import ann, extract, interpolate, neardup, packing, pieces, pii, quality, tokens, warczip
 from pagemill.llm.queries import tokenizer_file
@@ -334,11 +335,65 @@ def test_one_row_of_each_group_with_repeated_ids(spark):
     assert [x for x in got if x[0] != 3] == sorted([(1, a), (2, b), (None, a), (None, a), (5, "")], key=repr)
 
 
-def test_prefixes_are_shortened_to_the_recall():
-    for target in (0.9, 0.99, 0.999999):
-        n = neardup.prefix_length(0.8, target)
-        assert 1 - (1 - 0.8**n) ** neardup.TREES >= target
-        assert n == neardup.DEEPEST or 1 - (1 - 0.8 ** (n + 1)) ** neardup.TREES < target
+def depths_of(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    signed = neardup.signatures(df, 5)
+    classes = signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels")).cache()
+    depths = []
+    assert neardup.all_links(df, classes, 0.8, 5, 0.999999, depths).count() > 0
+    return depths
+
+
+def test_prefixes_are_shortened_as_the_data_ask(spark):
+    """Where copies are close whole labels do; where they are at the limit the prefix must be shorter."""
+    r = random.Random(6)
+    close, apart = [], []
+    for i in range(30):
+        base = words(r, 300)
+        close += [(2 * i, base), (2 * i + 1, base + " end")]
+        w = base.split(" ")
+        for at in (40, 80, 120, 160, 200, 240):
+            w[at] = "changed"  # 30 shingles of 296 differ on both sides: 0.816
+        apart += [(2 * i, base), (2 * i + 1, " ".join(w))]
+    assert depths_of(spark, close) == [7]
+    assert len(depths := depths_of(spark, apart)) > 1 and depths[-1] < 7
+    df = spark.createDataFrame(apart, "doc_id long, text string")
+    assert keyed(neardup.similar(df).collect(), "doc_id", "class_id", "n_links") == sorted(brute_links(apart), key=repr)
+
+
+def test_prefix_trees(spark):
+    """Edges of the trie join just the classes whose labels share a prefix."""
+    r = np.random.default_rng(5)
+    labels = (np.arange(neardup.TREES) << 56) | r.integers(0, 3, (40, neardup.TREES, 7)) @ (256 ** np.arange(6, -1, -1))
+    classes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(labels)], "h1 long, labels array<long>").repartition(3)
+    edges = [tuple(e) for e in neardup.trie(classes, 3).select("a", "b", "depth").collect()]
+    for depth in (7, 6, 5, 4, 3):
+        root = list(range(40))
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b, d in edges:
+            if d >= depth:
+                assert any(x >> 8 * (7 - d) == y >> 8 * (7 - d) for x in labels[a] for y in labels[b])
+                root[find(a)] = find(b)
+        got = [find(i) for i in range(40)]
+        want = list(range(40))
+        for i in range(40):
+            for j in range(i):
+                if (labels[i] >> 8 * (7 - depth) == labels[j] >> 8 * (7 - depth)).any():
+                    a, b = want[i], want[j]
+                    want = [b if x == a else x for x in want]
+        assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+
+
+def test_recall_of_the_forest(spark):
+    """Links at and above the threshold, against brute force over all pairs of a whole table."""
+    rows = [(x.doc_id, x.text) for x in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert keyed(neardup.similar(df).collect(), "doc_id", "class_id", "n_links") == sorted(brute_links(rows), key=repr)
 
 
 # 6
