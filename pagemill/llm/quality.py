@@ -5,6 +5,9 @@ vectors of labelled rows of good quality; a vector that they isolate after few s
 those rows. The score from which a document is rejected is calibrated on
 labelled rows of both kinds.
 
+Half of the labelled good rows grow the trees, the threshold is calibrated on the others and the bad ones. An id
+with labels of both kinds is left out.
+
 Defined results: a null text counts as empty; an empty text has no words and
 fails the base rule; repeated rows are judged alike; a null doc_id is kept as it
 is; other columns are ignored; an empty table gives no rows. Without usable
@@ -194,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, keep: float
     """A forest from at most ``max_rows`` labelled rows, those of least hash of the id: the bound of what comes to the driver."""
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        .where("doc_id is not null and quality is not null").dropDuplicates(["doc_id"])
+        .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     )
     wanted = {r[0]: r[1] for r in chosen.collect()}
@@ -203,18 +206,21 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000, keep: float
     spark = docs.sparkSession
     few = spark.createDataFrame(list(wanted.items()), "doc_id long, quality int")
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(few.select("doc_id")), "doc_id", "left_semi")
-    got = rule_statistics(some).select("doc_id", "features", "base_failed").dropDuplicates(["doc_id"]).toPandas()
+    got = rule_statistics(some).select("doc_id", "features", "base_failed").toPandas()
     if not len(got):
         return None
-    got = got.sort_values("doc_id")
+    # of texts that share an id the one with the least features
+    got = got.assign(features=got["features"].map(tuple)).sort_values(["doc_id", "features"]).drop_duplicates("doc_id")
     x = np.array(got["features"].tolist(), float)
     good = np.array([wanted[int(d)] == 1 for d in got["doc_id"]])
     usual = good & ~got["base_failed"].to_numpy(bool)
     if usual.sum() < 8:
         return None
     # a range on both sides, so that a vector that lies apart in one feature only parts from the others early, too
-    forest = grow(x[usual], np.maximum(x.std(0), np.ptp(x[usual], axis=0)))
-    held = ~got["base_failed"].to_numpy(bool)
+    # every other good row grows the trees; the threshold comes from the rows that did not
+    grown = usual & (np.cumsum(usual) % 2 == 0)
+    forest = grow(x[grown], np.maximum(x.std(0), np.ptp(x[usual], axis=0)))
+    held = ~got["base_failed"].to_numpy(bool) & ~grown
     forest.threshold = calibrate(forest.scores(x[held]), good[held], keep)
     return forest
 

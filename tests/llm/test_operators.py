@@ -210,6 +210,30 @@ def test_forest_finds_what_lies_outside():
     assert odd[2000:].mean() > 0.95 and odd[:2000].mean() <= 0.005
 
 
+def test_path_lengths_against_walks():
+    r = np.random.default_rng(2)
+    x = r.normal(size=(200, 3))
+    forest = quality.grow(x, np.ptp(x, axis=0), n_trees=20, sample=64)
+    for row in (*x[:20], np.array([9.0, -9.0, 9.0])):
+        total = 0.0
+        for feature, cut, left, depth in zip(forest.feature, forest.cut, forest.left, forest.depth):
+            at = 0
+            while feature[at] >= 0:
+                at = left[at] + int(row[feature[at]] >= cut[at])
+            total += depth[at]
+        assert math.isclose(forest.scores(row[None])[0], 2 ** (-total / 20 / forest.norm))
+
+
+def test_labels_that_clash_are_left_out(spark):
+    r = random.Random(1)
+    rows = [(i, words(r, 40) + ("###" * (i % 5 == 0) * 20)) for i in range(100)]
+    docs_ = spark.createDataFrame(rows + [(3, "other text " * 20)], "doc_id long, text string")
+    labels = [(i, int(i % 5 != 0)) for i in range(100)]
+    a = quality.fit(docs_, spark.createDataFrame(labels + [(7, 0), (7, 1)], "doc_id long, quality int"))
+    b = quality.fit(docs_.repartition(7), spark.createDataFrame([(7, 0)] + labels[::-1], "doc_id long, quality int").repartition(3))
+    assert a.threshold == b.threshold and (a.cut == b.cut).all()
+
+
 def test_verdicts_on_labelled_rows(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
