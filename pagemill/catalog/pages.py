@@ -78,11 +78,8 @@ def url_sub_paths(spark, sf_dir):
 
 @query(r"SELECT page_id, regexp_replace(regexp_replace(url, '^http://', 'https://'), '[?].*$', '') AS rewritten FROM pages")
 def url_rewrite(spark, sf_dir):
-    rules = [(r"http://.*", "https://"), (r".*[?].*", "")]
-    out = U.rewritten(F.col("url"), [])
-    for pattern, cut, new in ((rules[0][0], "^http://", rules[0][1]), (rules[1][0], "[?].*$", rules[1][1])):
-        out = F.when(out.rlike(f"^(?:{pattern})$"), F.regexp_replace(out, cut, new)).otherwise(out)
-    return pages(spark, sf_dir).select("page_id", out.alias("rewritten"))
+    rules = [(r"http://(.*)", "https://$1"), (r"([^?]*)[?].*", "$1")]
+    return pages(spark, sf_dir).select("page_id", U.rewritten(F.col("url"), rules).alias("rewritten"))
 
 
 @query("SELECT page_id, 'http://b.org/' || page_id AS inner_url FROM pages")

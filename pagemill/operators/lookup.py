@@ -28,9 +28,15 @@ def word_grams(docs: DataFrame, id_col: str, text: str, most: int = 4) -> DataFr
 
 
 def facets(docs: DataFrame, id_col: str, text: str, vocab: DataFrame) -> DataFrame:
-    """(document, vocabulary, terms): the terms of each vocabulary whose synonyms a text holds."""
-    most = vocab.agg(F.max(F.size(F.split("synonym", " +")))).first()[0] or 1  # no longer runs than any synonym has
-    hit = word_grams(docs, id_col, text, min(most, 4)).join(vocab, F.col("gram") == F.col("synonym"))
+    """(document, vocabulary, terms): the terms of each vocabulary whose synonyms a text holds, of any number of words.
+
+    The vocabulary meets the distinct words of a text by the first word of each synonym; only where that is found the synonym is looked for."""
+    words = F.filter(F.split(T.normalized_term(F.regexp_replace(F.col(text), r"[.!?;:()]", " ")), " +"), lambda w: w != "")
+    w = docs.select(id_col, words.alias("w"))
+    starts = vocab.select(F.split_part("synonym", F.lit(" "), F.lit(1)).alias("word"), F.struct("vocabulary", "term", "synonym").alias("s"))
+    wanted = w.select(id_col, F.explode(F.array_distinct("w")).alias("word")).join(starts, "word").groupBy(id_col).agg(F.collect_set("s").alias("s"))
+    run = w.select(id_col, F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("run"))
+    hit = run.join(wanted, id_col).select(id_col, F.explode(F.filter("s", lambda x: F.contains("run", F.concat(F.lit(" "), x["synonym"], F.lit(" "))))).alias("s")).select(id_col, "s.*")
     return hit.groupBy(id_col, "vocabulary").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 

@@ -157,8 +157,9 @@ def graph_record(index: DataFrame, *keys: str) -> DataFrame:
 
 def edges(index: DataFrame) -> DataFrame:
     """(source, target, kind, text) of each listed link."""
-    one = lambda kind: index.select(F.col("url_s").alias("source"), F.explode(F.arrays_zip(F.col(f"{kind}links_sxt").alias("u"), F.col(f"{kind}links_anchortext_txt").alias("t"))).alias("l")).select("source", F.col("l.u").alias("target"), F.lit(kind).alias("kind"), F.col("l.t").alias("text"))
-    return one("inbound").unionByName(one("outbound"))
+    listed = lambda kind: F.coalesce(F.transform(F.arrays_zip(F.col(f"{kind}links_sxt").alias("u"), F.col(f"{kind}links_anchortext_txt").alias("t")), lambda x: F.struct(x["u"].alias("target"), F.lit(kind).alias("kind"), x["t"].alias("text"))), F.array())
+    # both lists in one pass, so that a page is parsed once
+    return index.select(F.col("url_s").alias("source"), F.explode(F.concat(listed("inbound"), listed("outbound"))).alias("l")).select("source", "l.*")
 
 
 def is_canonical(index: DataFrame) -> Column:

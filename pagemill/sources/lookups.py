@@ -41,7 +41,10 @@ def rewrite_rules(df: DataFrame) -> list[tuple[str, str]]:
     import re
 
     out = []
-    for r in without_comments(df).where(~F.col("value").startswith("s/")).limit(10_001).collect():
+    rules = without_comments(df).where(~F.col("value").startswith("s/"))
+    if rules.count() > 20_000:  # they come to the driver
+        raise ValueError("more than 20000 lines of rewrite rules")
+    for r in rules.collect():
         pattern, eq, new = r["value"].partition("=")
         try:
             re.compile(pattern)

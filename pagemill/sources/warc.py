@@ -7,14 +7,16 @@ import io
 import zlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from pagemill import ship
 from pagemill.arrow import map_rows
 from pagemill.formats import parsers
+from pagemill.functions import charsets
 
 SCHEMA = "path string, target_uri string, warc_type string, http_status int, content_type string, headers map<string,string>, payload binary"
 FALLBACK = "http://127.0.0.1"
@@ -37,10 +39,28 @@ def unchunked(body: bytes) -> bytes:
         at = end + 2 + n + 2
 
 
+class Unpacked(io.RawIOBase):
+    """Bytes of a gzip stream as far as they can be unpacked; ``broken`` if that was not to its end."""
+
+    def __init__(self, stream):
+        self.packed, self.broken = gzip.GzipFile(fileobj=stream), False
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, room) -> int:
+        try:
+            got = self.packed.read1(len(room))
+        except (EOFError, zlib.error, gzip.BadGzipFile):
+            self.broken, got = True, b""
+        room[: len(got)] = got
+        return len(got)
+
+
 def opened(stream):
     """Plain bytes of a stream that may be gzip, whatever its name says."""
     buffered = io.BufferedReader(stream) if not hasattr(stream, "peek") else stream
-    return io.BufferedReader(gzip.GzipFile(fileobj=buffered)) if buffered.peek(2)[:2] == b"\x1f\x8b" else buffered
+    return io.BufferedReader(Unpacked(buffered)) if buffered.peek(2)[:2] == b"\x1f\x8b" else buffered
 
 
 def header_lines(stream) -> dict[str, str]:
@@ -60,22 +80,38 @@ def header_lines(stream) -> dict[str, str]:
     return out
 
 
+def damaged(warc: dict[str, str], payload: bytes) -> dict:
+    """What stands for a record that cannot be read: of type "damaged", so no page or document comes of it but a dead letter."""
+    return {"target_uri": warc.get("warc-target-uri", "").strip("<>") or FALLBACK, "warc_type": "damaged", "http_status": None, "content_type": None, "headers": warc, "payload": payload}
+
+
 def records(stream) -> Iterator[dict]:
-    """Records in order; only one is held at a time. A record cut short by the end of the file is dropped."""
+    """Records in order; only one is held at a time. Where a record should begin and does not, or its length is no number, reading goes on at the
+    next line that begins one; a row of type "damaged" stands for what was passed over, and for a record cut short by the end of the file."""
     s = opened(stream)
+    skipped: bytes | None = None
     while True:
         line = s.readline()
-        while line and not line.strip():
+        while line and not line.startswith(b"WARC/"):
+            if line.strip():
+                skipped = (skipped or b"") + line[: 1000 - len(skipped or b"")]
             line = s.readline()
-        if not line.startswith(b"WARC/"):
+        if skipped is None and not line and isinstance(getattr(s, "raw", None), Unpacked) and s.raw.broken:
+            skipped = b""
+        if skipped is not None:
+            yield damaged({}, skipped)
+            skipped = None
+        if not line:
             return
         warc = header_lines(s)
-        try:
-            n = int(warc.get("content-length", "0"))
-        except ValueError:
-            return
+        length = warc.get("content-length", "0")
+        if not length.isascii() or not length.isdigit():
+            yield damaged(warc, b"")
+            continue
+        n = int(length)
         block = s.read(n)
         if len(block) < n:
+            yield damaged(warc, block[:1000])
             return
         kind, status, mime, headers, payload = warc.get("warc-type", ""), None, None, {}, block
         if block.startswith(b"HTTP/"):
@@ -164,10 +200,26 @@ def to_documents(warc: DataFrame) -> DataFrame:
     return parsers.parse_documents(responses(warc).select(F.col("target_uri").alias("url"), F.lower(F.trim(F.substring_index("content_type", ";", 1))).alias("mime"), F.nullif(charset, F.lit("")).alias("charset"), F.col("payload").alias("content")))
 
 
+def decoded(payload: Column, content_type: Column) -> Column:
+    """Text of a page's bytes: by the byte order mark, else the charset of the header, else of the markup's first kilobyte, else UTF-8 if the bytes
+    are that, else windows-1252. Bytes that the charset does not know become the replacement character; an unknown charset counts as none."""
+
+    @F.pandas_udf("string")
+    def text(payload: pd.Series, content_type: pd.Series) -> pd.Series:
+        return pd.Series([None if p is None else charsets.text_of(bytes(p), c) for p, c in zip(payload, content_type)])
+
+    return text(payload, content_type)
+
+
+def dead_letters(warc: DataFrame) -> DataFrame:
+    """(path, source, error) of the records that could not be read."""
+    return warc.where("warc_type = 'damaged'").select("path", F.col("target_uri").alias("source"), F.lit("damaged record").alias("error"))
+
+
 def to_pages(warc: DataFrame) -> DataFrame:
     """HTML responses as rows for the index record."""
     r = responses(warc).where(F.col("content_type").isNull() | F.col("content_type").contains("html"))
-    return r.select(F.col("target_uri").alias("url"), F.decode("payload", "UTF-8").alias("html"), F.lower(F.trim(F.substring_index("content_type", ";", 1))).alias("mime"), "http_status", "headers")
+    return r.select(F.col("target_uri").alias("url"), decoded(F.col("payload"), F.col("content_type")).alias("html"), F.lower(F.trim(F.substring_index("content_type", ";", 1))).alias("mime"), "http_status", "headers")
 
 
 def write_record(url: str, payload: bytes, status: int = 200, mime: str = "text/html", kind: str = "response", extra: str = "") -> bytes:

@@ -40,7 +40,8 @@ def run_batch(jobs: DataFrame, batch: int, out: str, load_time) -> None:
     sinks.text_lines(plan.bulk_lines(own), f"{out}/index/batch={batch}", mode="overwrite")
     sinks.json_lines(plan.graph_record(index, "id"), f"{out}/graph/batch={batch}", mode="overwrite")
     plan.crawler_status(index, load_time).write.mode("overwrite").parquet(f"{out}/status/batch={batch}")
-    letters = warc.to_documents(warc.warc_rows(files)).where("error is not null").select("source", "error")
+    rows = warc.warc_rows(files)
+    letters = warc.to_documents(rows).where("error is not null").select("source", "error").unionByName(warc.dead_letters(rows).select("source", "error"))
     letters.write.mode("overwrite").json(f"{out}/failed/batch={batch}")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pagemill.catalog import files
 from pagemill.formats import parsers
+from pagemill.functions import charsets
 from pagemill.operators import lookup
 from pagemill.sources import lookups, warc
 from pagemill.streaming import jobs
@@ -132,3 +133,32 @@ def test_lookups(spark):
     assert {r.name for r in g.collect()} == {"Köln", "Koeln", "Cologne"}
     p = lookups.opengeodb(text("INSERT INTO geodb_coordinates VALUES (5, 1, 50.1, 8.6, 'x');", "INSERT INTO geodb_textdata VALUES (5, 500100000, 'Frankfurt, Main', 'de');"))
     assert {(r.kind, r.text) for r in p.collect()} == {("point", None), ("name", "Frankfurt, Main")}
+
+
+def test_damaged_records_do_not_hide_the_rest():
+    good = [warc.write_record(f"http://a/{i}", b"<p>x</p>") for i in range(3)]
+    bad = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: <http://bad/>\r\nContent-Length: many\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n"
+    kinds = lambda data: [(r["warc_type"], r["target_uri"]) for r in warc.records(io.BytesIO(data)) if r["warc_type"] != "damaged"]
+    assert kinds(bad + b"".join(good)) == kinds(b"".join(good)) == [("response", f"http://a/{i}") for i in range(3)]
+    assert kinds(good[0] + b"noise\r\nmore noise\r\n" + bad + good[1]) == [("response", "http://a/0"), ("response", "http://a/1")]
+    cut = list(warc.records(io.BytesIO(good[0] + good[1][:-20])))
+    assert [r["warc_type"] for r in cut] == ["response", "damaged"]
+    packed = gzip.compress(good[0]) + b"\x1f\x8bbroken"
+    assert [r["warc_type"] for r in warc.records(io.BytesIO(packed))] == ["response", "damaged"]
+    assert [r["warc_type"] for r in warc.records(io.BytesIO(bad))][0] == "damaged"
+
+
+def test_charsets():
+    text = "grüße"
+    for content, kind, want in [
+        (text.encode("latin-1"), "text/html; charset=ISO-8859-1", text), (text.encode("latin-1"), None, text), (text.encode(), "text/html", text), (b'<meta charset="windows-1251">' + "привет".encode("cp1251"), None, "привет"),
+        (text.encode("utf-16"), "text/html", text), (b"a\xc3", "text/html; charset=utf-8", "a�"), (text.encode(), "text/html; charset=nothing", text), ("日本".encode("shift_jis"), "text/html;charset=Shift_JIS", "日本"), (b"", None, ""),
+    ]:
+        assert charsets.text_of(content, kind).endswith(want)
+
+
+def test_pages_in_other_charsets_do_not_fail_a_job(spark, tmp_path):
+    data = warc.write_record("http://a/1", "<p>grüße</p>".encode("latin-1"), mime="text/html; charset=iso-8859-1") + warc.write_record("http://a/2", b"<p>a\xff\xfe</p>", mime="text/html; charset=utf-8")
+    (tmp_path / "x.warc").write_bytes(data)
+    got = {r.url: r.html for r in warc.to_pages(warc.read_warc(spark, str(tmp_path / "x.warc"))).collect()}
+    assert got == {"http://a/1": "<p>grüße</p>", "http://a/2": "<p>a��</p>"}
