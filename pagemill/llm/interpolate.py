@@ -9,10 +9,14 @@ deleted from the counts that its tokens are looked up in.
 Counts are exact and over all documents. Texts are read once into chunks of
 bounded size, which are written to the shared folder: numbers for the tokens and a 64-bit hash
 for each distinct word. From a chunk come its distinct words and bigrams with
-their counts, as packed arrays, one for each range of hashes. Whoever has a
-range sums the counts and answers each chunk with the totals, in the chunk's own
-order, so nothing is looked up by key again. Both ways a (chunk, n-gram) pair
-moves once, whatever the frequency of the n-gram, so no key is hot.
+their counts, as packed arrays, one for each range of hashes. A group of chunks
+is summed range by range; where there is more than one group, their sums are
+summed in the same way, in finer ranges, and so on. The totals go back down the
+same levels, each answered in the order in which it was asked. A chunk, and the
+sum of a group's range, has a fixed number of ranges, so rows grow in proportion
+to the input and a task holds what one range of one group has. At a level a
+(chunk, n-gram) pair moves once each way, whatever the frequency of the n-gram,
+so no key is hot.
 
 What comes to the driver are N, V and a histogram of the held-out tokens by
 context bucket, bigram estimate and unigram estimate in fine steps, of bounded
@@ -46,8 +50,9 @@ END, START = b" end", b" start"  # no word holds a blank
 STEPS, LOWEST = 4, 40  # an octave has so many steps; estimates below 2 ** -LOWEST count as that
 BUCKETS = 40
 SCHEMA = "chunk long, section boolean, n int, doc_ids array<long>, train binary, lengths binary, words binary, tokens binary"
-#: Bytes of hashes and counts that one range of hashes should have.
-RANGE_BYTES = 16 << 20
+#: How many chunks, or groups of the level below, are summed at once, and by how many bits of the hash a level splits.
+FAN, BITS = 256, 7
+PARTS = "group long, kind int, range long, unit long, keys binary, counts binary"
 
 
 def squeeze(x: np.ndarray) -> bytes:
@@ -58,7 +63,7 @@ def unsqueeze(x: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind)
 
 
-def chunks(docs: DataFrame) -> DataFrame:
+def chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The texts as token numbers. Sections hold the held-out tenth of the training documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -99,7 +104,7 @@ def chunks(docs: DataFrame) -> DataFrame:
             for doc, rest, text in zip(b.column("doc_id").to_pylist(), b.column("rest").to_pylist(), texts(b.column("text"))):
                 to = section if rest == 1 else main
                 to.add(doc, rest != 0, text)
-                if to.size >= CHUNK_BYTES:
+                if to.size >= chunk_bytes:
                     yield to.close()
         for to in (main, section):
             if to.docs:
@@ -145,67 +150,133 @@ class Chunk:
         return words, np.bincount(self.which[kept], minlength=len(self.pairs))
 
 
-def partial_counts(made: DataFrame, ranges: int) -> DataFrame:
+def by_range(keys: np.ndarray, level: int) -> Iterator[tuple[int, slice]]:
+    """The ranges of sorted hashes at a level, by their leading bits."""
+    top = keys >> U(64 - BITS * (level + 1))
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(top)), bool), top[1:] != top[:-1]]))
+    return zip(top[starts].tolist(), map(slice, starts.tolist(), [*starts[1:].tolist(), len(keys)]))
+
+
+def counts_of(packed: bytes, n: int) -> np.ndarray:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    return np.frombuffer(raw, np.uint32 if len(raw) == 4 * n else np.uint64).astype(np.int64)
+
+
+def runs(batches: Iterator[pa.RecordBatch], by: tuple[str, ...], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The rows of each key, which lie together."""
+    key, held = None, []
+    for b in batches:
+        for i in range(b.num_rows):
+            now = tuple(b.column(c)[i].as_py() for c in by)
+            if now != key:
+                if held:
+                    yield key, held
+                key, held = now, []
+            held.append(tuple(b.column(c)[i].as_py() for c in columns))
+    if held:
+        yield key, held
+
+
+def partial_counts(made: DataFrame, groups: int) -> DataFrame:
     """A row for each chunk, kind (0 words, 1 bigrams) and range of hashes."""
-    shift = U(64 - (ranges.bit_length() - 1))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for b in batches:
             for i in range(b.num_rows):
                 c = Chunk(*(b.column(k)[i].as_py() for k in ("train", "lengths", "words", "tokens")))
-                out: dict[str, list] = {k: [] for k in ("chunk", "kind", "range", "keys", "counts")}
+                unit = b.column("chunk")[i].as_py()
+                group = xxhash.xxh3_64_intdigest(str(unit)) % groups
+                out: dict[str, list] = {k: [] for k in ("group", "kind", "range", "unit", "keys", "counts")}
                 own = c.own()
                 for kind, keys, n in ((0, c.words, own[0]), (1, c.pairs, own[1])):
-                    edges = np.searchsorted(keys >> shift if ranges > 1 else np.zeros(len(keys), np.uint64), np.arange(ranges + 1).astype(np.uint64))
-                    for r in np.flatnonzero(np.diff(edges)).tolist():
-                        part = slice(edges[r], edges[r + 1])
-                        for k, v in zip(out, (b.column("chunk")[i].as_py(), kind, r, keys[part].tobytes(), squeeze(n[part].astype(np.uint32)))):
+                    for r, part in by_range(keys, 0):
+                        for k, v in zip(out, (group, kind, r, unit, keys[part].tobytes(), squeeze(n[part].astype(np.uint32)))):
                             out[k].append(v)
                 yield out
 
-    return map_arrow(made.select("chunk", "train", "lengths", "words", "tokens"), rows, "chunk long, kind int, range int, keys binary, counts binary", large=True)
+    return map_arrow(made.select("chunk", "train", "lengths", "words", "tokens"), rows, PARTS, large=True)
+
+
+def summed(held: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Rows of hashes and counts as one: order, sorted hashes, place of each first, total of each, and the hashes of each row."""
+    keys = [np.frombuffer(k, np.uint64) for _, k, _ in held]
+    n = np.concatenate([counts_of(c, len(k)) for k, (_, _, c) in zip(keys, held)])
+    joined = np.concatenate(keys)
+    order = np.argsort(joined, kind="stable")
+    s = joined[order]
+    first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+    return order, s, first, np.add.reduceat(n[order], first), keys
+
+
+def together(parts: DataFrame) -> DataFrame:
+    return parts.repartition("group", "kind", "range").sortWithinPartitions("group", "kind", "range")
 
 
 def totals(parts: DataFrame) -> DataFrame:
-    """For each row of counts the totals of its keys. Rows with chunk -1 hold N and V of a range of words."""
+    """For each row of counts the totals of its keys, where one group is all. Rows with unit -1 hold N and V of a range of words."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        key, held = None, []
-
-        def close() -> Iterator[dict]:
-            keys = [np.frombuffer(k, np.uint64) for _, k, _ in held]
-            n = np.concatenate([unsqueeze(c, np.uint32) for _, _, c in held]).astype(np.int64)
-            joined = np.concatenate(keys)
-            order = np.argsort(joined, kind="stable")
-            s = joined[order]
-            first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
-            total = np.add.reduceat(n[order], first)
-            back = np.empty(len(joined), np.int64)
+        start = np.uint64(xxhash.xxh3_64_intdigest(START))
+        for (kind, r), held in runs(batches, ("kind", "range"), ("unit", "keys", "counts")):
+            order, s, first, total, keys = summed(held)
+            back = np.empty(len(s), np.int64)
             back[order] = np.repeat(total, np.diff(np.append(first, len(s))))
             at = np.cumsum([0] + [len(k) for k in keys])
-            yield {"chunk": [c for c, _, _ in held], "kind": [key[0]] * len(held), "range": [key[1]] * len(held), "totals": [squeeze(back[a:b].astype(np.uint64)) for a, b in zip(at, at[1:])], "tokens": [0] * len(held), "types": [0] * len(held)}
-            if key[0] == 0:
-                start = np.uint64(xxhash.xxh3_64_intdigest(START))
+            yield {"unit": [u for u, _, _ in held], "kind": [kind] * len(held), "range": [r] * len(held), "totals": [squeeze(back[a:b].astype(np.uint64)) for a, b in zip(at, at[1:])], "tokens": [0] * len(held), "types": [0] * len(held)}
+            if kind == 0:
                 real = s[first] != start
-                yield {"chunk": [-1], "kind": [0], "range": [key[1]], "totals": [b""], "tokens": [int(total[real].sum())], "types": [int((total[real] > 0).sum())]}
+                yield {"unit": [-1], "kind": [0], "range": [r], "totals": [b""], "tokens": [int(total[real].sum())], "types": [int((total[real] > 0).sum())]}
+
+    return map_arrow(together(parts), rows, "unit long, kind int, range long, totals binary, tokens long, types long", large=True)
+
+
+def sums(parts: DataFrame, level: int, fan: int) -> DataFrame:
+    """The sums of each group and range as rows of counts of the next level, in its finer ranges; the group is the unit there."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (group, kind, _), held in runs(batches, ("group", "kind", "range"), ("unit", "keys", "counts")):
+            _, s, first, total, _ = summed(held)
+            keys, total = s[first], total.astype(np.uint64)
+            finer = list(by_range(keys, level + 1))
+            k = len(finer)
+            yield {"group": [group // fan] * k, "kind": [kind] * k, "range": [r for r, _ in finer], "unit": [group] * k, "keys": [keys[p].tobytes() for _, p in finer], "counts": [squeeze(total[p]) for _, p in finer]}
+
+    return map_arrow(together(parts), rows, PARTS, large=True)
+
+
+def handed_down(parts: DataFrame, above: DataFrame, answers: DataFrame) -> DataFrame:
+    """For each row of counts the totals of its keys, from what the level above (its rows, and the answers to them) says of the group's sums."""
+    place = (F.col("unit").alias("group"), "kind", F.shiftright("range", BITS).alias("range"))
+    no = F.lit(None).cast("binary")
+    asked = parts.select("group", "kind", "range", F.lit(2).alias("tag"), F.col("unit").alias("at"), "keys", no.alias("totals"))
+    known = above.select(*place, F.lit(0).alias("tag"), F.col("range").alias("at"), "keys", no.alias("totals"))
+    told = answers.select(*place, F.lit(1).alias("tag"), F.col("range").alias("at"), no.alias("keys"), "totals")
+    met = known.union(told).union(asked).repartition("group", "kind", "range").sortWithinPartitions("group", "kind", "range", "tag", "at")
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        for (_, kind, r), held in runs(batches, ("group", "kind", "range"), ("tag", "at", "keys", "totals")):
+            keys = np.concatenate([np.frombuffer(k, np.uint64) for tag, _, k, _ in held if tag == 0])
+            total = np.concatenate([unsqueeze(x, np.uint64) for tag, _, _, x in held if tag == 1])
+            own = [(u, np.searchsorted(keys, np.frombuffer(k, np.uint64))) for tag, u, k, _ in held if tag == 2]
+            yield {"unit": [u for u, _ in own], "kind": [kind] * len(own), "range": [r] * len(own), "totals": [squeeze(total[at]) for _, at in own]}
+
+    return map_arrow(met, rows, "unit long, kind int, range long, totals binary", large=True)
 
-        for b in batches:
-            for i in range(b.num_rows):
-                now = b.column("kind")[i].as_py(), b.column("range")[i].as_py()
-                if now != key:
-                    if held:
-                        yield from close()
-                    key, held = now, []
-                held.append((b.column("chunk")[i].as_py(), b.column("keys")[i].as_py(), b.column("counts")[i].as_py()))
-        if held:
-            yield from close()
 
-    return map_arrow(parts.repartition("kind", "range").sortWithinPartitions("kind", "range"), rows, "chunk long, kind int, range int, totals binary, tokens long, types long", large=True)
+def answered(parts: DataFrame, groups: int, level: int, fan: int) -> tuple[DataFrame, int, int]:
+    """The totals for all rows of counts, and N and V. There are as many levels as the logarithm of the input, to the base of ``fan``."""
+    if groups == 1:
+        answers = written(totals(parts), "totals")
+        n, v = (int(x or 0) for x in answers.where("unit < 0").agg(F.sum("tokens"), F.sum("types")).first())
+        return answers.where("unit >= 0").select("unit", "kind", "range", "totals"), n, v
+    above = written(sums(parts, level, fan), "sums")
+    answers, n, v = answered(above, -(-groups // fan), level + 1, fan)
+    return written(handed_down(parts, above, answers), "totals"), n, v
 
 
 def meet(made: DataFrame, answers: DataFrame) -> DataFrame:
     """Each chunk with the totals of its words and bigrams."""
-    got = answers.where("chunk >= 0").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("kind", "range", "totals"))).alias("got"))
+    got = answers.withColumnRenamed("unit", "chunk").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("kind", "range", "totals"))).alias("got"))
     return made.join(got, "chunk").select("doc_ids", "train", "lengths", "words", "tokens", F.expr("transform(filter(got, x -> x.kind = 0), x -> x.totals)").alias("word_totals"), F.expr("transform(filter(got, x -> x.kind = 1), x -> x.totals)").alias("pair_totals"))
 
 
@@ -298,13 +369,11 @@ def scored(met: DataFrame, n: int, v: int, weight: np.ndarray) -> DataFrame:
     return map_arrow(met, rows, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double", large=True)
 
 
-def score_documents(docs: DataFrame, max_range_bytes: int = RANGE_BYTES) -> DataFrame:
-    made = written(chunks(docs), "chunks")
-    size = made.agg(F.sum(F.length("words")), F.sum(F.length("tokens"))).first()
-    # of twelve bytes for a distinct bigram, and about a byte and a half of packed token for each
-    ranges = 1 << max(3, int(np.ceil(np.log2(max(1, 8 * (size[1] or 0) / max_range_bytes)))))
-    answers = written(totals(partial_counts(made, ranges)), "totals")
-    n, v = (int(x or 0) for x in answers.where("chunk < 0").agg(F.sum("tokens"), F.sum("types")).first())
+def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
+    made = written(chunks(docs, chunk_bytes), "chunks")
+    groups = max(1, -(-made.count() // fan))
+    parts = partial_counts(made, groups)
+    answers, n, v = answered(parts if groups == 1 else written(parts, "counts"), groups, 0, fan)
     held = histogram(meet(made.where("section"), answers), n).toPandas()
     weight = weights(held["cell"].to_numpy(np.int64), held["times"].to_numpy(np.int64), 1 / (v + 1))
     return scored(meet(made, answers), n, v, weight)

@@ -67,9 +67,43 @@ def test_no_documents(none):
     assert interpolate.score_documents(none).count() == 0
 
 
-def test_many_chunks_and_ranges_change_nothing(spark, docs, monkeypatch):
-    one = keyed(interpolate.score_documents(docs).collect(), "doc_id", "n_tokens", "n_known")
-    assert keyed(interpolate.score_documents(docs, max_range_bytes=2000).collect(), "doc_id", "n_tokens", "n_known") == one
+FIXED = np.tile([0.1, 0.3, 0.6], (interpolate.BUCKETS, 1)) + np.linspace(0, 0.05, interpolate.BUCKETS)[:, None] * [1, 1, -2]
+
+
+def by_hand(rows):
+    """(doc_id, score) with the weights ``FIXED``, from counts of bigrams in plain dictionaries."""
+    split = [(d, (t or "").encode().lower().split() + [None]) for d, t, *_ in rows]
+    train = [ws for d, ws in split if zlib.crc32(b"" if d is None else str(d).encode()) % 10]
+    one = Counter(w for ws in train for w in ws)
+    context = Counter(u for ws in train for u in ["start", *ws[:-1]])
+    two = Counter(x for ws in train for x in zip(["start", *ws[:-1]], ws))
+    n, v = sum(one.values()), len(one)
+
+    def p(u, w):
+        c = context[u]
+        l0, l1, l2 = FIXED[math.frexp(c)[1] if c else 0]
+        return (l2 * two[u, w] / c if c else 0) + (l1 * one[w] / n if n else 0) + l0 / (v + 1)
+
+    return sorted(((d, round(sum(math.log10(p(u, w)) for u, w in zip(["start", *ws[:-1]], ws)), 6)) for d, ws in split), key=repr)
+
+
+@pytest.mark.parametrize("chunk_bytes, fan", [(interpolate.CHUNK_BYTES, interpolate.FAN), (300, 256), (300, 8), (300, 2)])
+def test_score_against_counted_bigrams(docs, monkeypatch, chunk_bytes, fan):
+    """Whatever the chunks and the levels in which they are summed, the counts are those of the whole table."""
+    monkeypatch.setattr(interpolate, "weights", lambda *_: FIXED)
+    got = interpolate.score_documents(docs, chunk_bytes, fan).collect()
+    assert sorted(((r.doc_id, round(r.score, 6)) for r in got), key=repr) == by_hand(odd_rows())
+    one = interpolate.score_documents(docs).collect()
+    assert keyed(got, "doc_id", "n_tokens", "n_known", "train_tokens") == keyed(one, "doc_id", "n_tokens", "n_known", "train_tokens")
+
+
+def test_rows_of_counts_grow_with_the_chunks(spark):
+    """A chunk has at most so many rows at a level, however many chunks there are."""
+    r = random.Random(8)
+    rows = spark.createDataFrame([(i, words(r, 400)) for i in range(60)], "doc_id long, text string").repartition(2)
+    few, many = (interpolate.chunks(rows.where(f"doc_id < {n}"), 2000) for n in (20, 60))
+    per = [interpolate.partial_counts(made, 1).count() / made.count() for made in (few, many)]
+    assert max(per) <= 2 << interpolate.BITS and abs(per[0] / per[1] - 1) < 0.1
 
 
 def test_model_beats_the_base_on_held_out_text(spark, sf_dir):
