@@ -18,7 +18,8 @@ Characters that no piece holds become byte pieces.
 
 Defined results: a null text counts as empty and gives no pieces; decoding gives
 back the text (a leading space mark is the encoder's own); rows are independent;
-a null doc_id stays null; other columns are ignored; an empty table gives no rows.
+a null doc_id stays null; a text that holds the space mark itself decodes to a blank
+there, so its round_trip is false; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -265,20 +266,16 @@ class Encoder:
         v = self.vocabulary
         back = {i: bytes([x]) for x, i in v.bytes.items()}
         self.plain = [back[i] if i in back else p.encode() for i, p in enumerate(v.pieces)]
-        self.changed: set[str] = set()  # segments that decoding does not give back
 
     def learn(self, segments) -> None:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-            self.changed.clear()
             self.vocabulary.goes.clear()
         new = [s for s in segments if s not in self.known]
         for at in range(0, len(new), 100_000):
             some = new[at : at + 100_000]
             for s, ids in zip(some, encode_segments(some, self.vocabulary)):
                 self.known[s] = np.array(ids, "<u4").tobytes()
-                if b"".join([self.plain[i] for i in ids]) != s.encode("utf-8", "surrogatepass"):
-                    self.changed.add(s)
 
     def encode(self, whole: list[str]) -> list[np.ndarray]:
         split = segments_of(whole, self.vocabulary)
@@ -299,7 +296,7 @@ memory(remembered.cache_clear, "pagemill.llm.pieces")
 
 
 def encode_documents(docs: DataFrame, path: str, keep_ids: bool = True) -> DataFrame:
-    """doc_id, n_chars, n_pieces, the checksum of the ids (32-bit, little-endian), whether decoding gives the text back, and the ids, if asked for."""
+    """doc_id, n_chars, n_pieces, the checksum of the ids (32-bit, little-endian), whether decoding all its ids gives the text back, and the ids, unless not asked for."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         encoder = remembered(path)
@@ -307,12 +304,13 @@ def encode_documents(docs: DataFrame, path: str, keep_ids: bool = True) -> DataF
             whole = texts(b.column("text"))
             split = segments_of(whole, encoder.vocabulary)
             encoder.learn(set().union(*split))
-            known, changed = encoder.known, encoder.changed
+            known = encoder.known
             ids = [b"".join(map(known.__getitem__, x)) for x in split]
-            # decoding is the pieces' texts in order, so a text comes back if all its segments do
-            same = [not changed or changed.isdisjoint(x) for x in split]
-            out = {"doc_id": b.column("doc_id"), "n_chars": [len(t) for t in whole], "n_pieces": [len(x) // 4 for x in ids], "ids_crc32": [zlib.crc32(x) for x in ids], "round_trip": same}
-            yield out | ({"ids": [np.frombuffer(x, "<u4").tolist() for x in ids]} if keep_ids else {})
+            flat = np.frombuffer(b"".join(ids), "<i4")
+            ends = np.cumsum([0] + [len(x) // 4 for x in ids])
+            same = [encoder.decode(flat[i:j]) == t for i, j, t in zip(ends, ends[1:], whole)]
+            out = {"doc_id": b.column("doc_id"), "n_chars": [len(t) for t in whole], "n_pieces": np.diff(ends), "ids_crc32": [zlib.crc32(x) for x in ids], "round_trip": same}
+            yield out | ({"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))} if keep_ids else {})
 
     schema = "doc_id long, n_chars long, n_pieces long, ids_crc32 long, round_trip boolean" + (", ids array<int>" if keep_ids else "")
     return map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), rows, schema)

@@ -52,7 +52,7 @@ def op8_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), keep_ids=False)
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op10_host_suffix_text(spark: SparkSession, sf_dir: str) -> DataFrame:

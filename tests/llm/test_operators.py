@@ -684,6 +684,13 @@ def test_pieces_are_the_library_s(spark, docs, none):
     assert pieces.encode_documents(none, PIECES_FILE).count() == 0
 
 
+def test_round_trip_is_told_by_decoding(spark):
+    rows = spark.createDataFrame([(1, "plain é text"), (2, "a▁b"), (3, None)], "doc_id long, text string")
+    out = pieces.encode_documents(rows, PIECES_FILE)
+    assert keyed(out.collect(), "doc_id", "round_trip") == [(1, True), (2, False), (3, True)]
+    assert out.where("n_pieces <> size(ids)").count() == 0
+
+
 def test_pieces_on_random_text():
     import sentencepiece
 
