@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagemill.catalog.pages import EDGES
 from pagemill.functions import codec, html, jsonld
 from pagemill.functions import text as T
 from pagemill.operators import documents as D
@@ -68,7 +69,7 @@ def merge_documents(spark, sf_dir):
     return c.groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_set("role")), ",").alias("authors"), F.count(F.lit(1)).alias("parts"), F.min("turn").alias("first_turn"), F.array_join(D.in_order(F.col("text"), F.col("turn")), "\n").alias("text"))
 
 
-@query()
+@query(f"SELECT target, count(*) AS n, max(text) AS description FROM ({EDGES}) GROUP BY target")
 def linked_pages(spark, sf_dir):
     """Link targets over all pages with how often and under which text they are named."""
     e = plan.edges(plan.index_record(html.with_html(table(spark, sf_dir, "pages")), load_time()))

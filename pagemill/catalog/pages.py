@@ -130,7 +130,13 @@ def link_counts(spark, sf_dir):
     return r.select("page_id", *(F.col(c).cast("long").alias(c) for c in counts))
 
 
-@query()
+EDGES = (
+    f"SELECT source, regexp_extract(source, '^([a-z]+://[^/]*)', 1) || target AS target, 'inbound' AS kind, {CLEAN.format('text')} AS text FROM (SELECT {NORM} AS source, "
+    """unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS target, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS text FROM pages)"""
+)
+
+
+@query(EDGES)
 def graph_edges(spark, sf_dir):
     return plan.edges(records(spark, sf_dir))
 
@@ -155,7 +161,7 @@ def html_index_wide(spark, sf_dir):
     return records(spark, sf_dir, collections=RULES, run_date=dt.date(2020, 6, 1))
 
 
-@query()
+@query(f"""SELECT md5(url) AS id, url, 'parsed' AS status, {CLEAN.format("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS comment, TIMESTAMP '2024-01-01 00:00:00' AS updated FROM (SELECT {NORM} AS url, html FROM pages)""")
 def crawler_status(spark, sf_dir):
     return plan.crawler_status(records(spark, sf_dir), load_time())
 

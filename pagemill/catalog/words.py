@@ -68,6 +68,22 @@ def dates_in_content(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", found.alias("dates_in_content_dts")).withColumn("dates_in_content_count_i", F.size("dates_in_content_dts"))
 
 
+ENGLISH, GERMAN = (times.MONTHS[k].title().split() for k in ("en", "de"))
+#: How the day of an order is written, by its key.
+WRITTEN = """CASE o_orderkey % 6 WHEN 0 THEN 'paid ' || {dd} || '.' || {mm} || '.' || {y} WHEN 1 THEN 'sent (' || {y} || '-' || {mm} || '-' || {dd} || ')' WHEN 2 THEN 'on ' || {en} || ' ' || {d} || ', ' || {y} || ' it came'
+ WHEN 3 THEN 'vom ' || {d} || '. ' || {de} || ' ' || {y} || ' an' WHEN 4 THEN {d} || ' ' || {en} || ' ' || {y} ELSE 'order ' || o_orderkey || ' has none' END"""
+EN, DE = ("element_at(array(" + ", ".join(f"'{m}'" for m in names) + "), month(o_orderdate))" for names in (ENGLISH, GERMAN))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 6 < 5 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE '' END AS dates FROM orders")
+def dates_written(spark, sf_dir):
+    """The day of each order in words of a text, found again."""
+    part = lambda form: f"date_format(o_orderdate, '{form}')"
+    text = F.expr(WRITTEN.format(dd=part("dd"), mm=part("MM"), y=part("yyyy"), d=part("d"), en=EN, de=DE))
+    found = times.dates_in_text(dt.date(2020, 6, 1))(text)
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.array_join(F.transform(found, lambda x: x.cast("string")), ",").alias("dates"))
+
+
 # Language codes of two letters that the tables use, with their names.
 LANGUAGES = {"en": "English", "de": "German", "fr": "French", "es": "Spanish", "it": "Italian"}
 
@@ -92,11 +108,14 @@ def bayes_train(spark, sf_dir):
     return model[0]
 
 
-@query(f"""WITH f AS ({FEATURES}), m AS (SELECT quality, feature, count(*) AS n FROM f JOIN labels USING (doc_id) GROUP BY quality, feature),
+SCORES = f"""WITH f AS ({FEATURES}), m AS (SELECT quality, feature, count(*) AS n FROM f JOIN labels USING (doc_id) GROUP BY quality, feature),
  c AS (SELECT quality, count(*) AS docs FROM labels GROUP BY quality), t AS (SELECT feature, sum(n) AS total FROM m GROUP BY feature),
  w AS (SELECT t.feature, c.quality, ln((0.5 + total * (coalesce(n, 0) / docs)) / (1.0 + total)) AS w FROM t CROSS JOIN c LEFT JOIN m ON m.feature = t.feature AND m.quality = c.quality),
  k AS (SELECT doc_id, quality, sum(w) AS w FROM f JOIN w USING (feature) GROUP BY doc_id, quality)
- SELECT d.doc_id, c.quality, round(ln(c.docs / (SELECT sum(docs) FROM c)) + coalesce(k.w, 0), 6) AS score FROM documents d CROSS JOIN c LEFT JOIN k ON k.doc_id = d.doc_id AND k.quality = c.quality""")
+ SELECT d.doc_id, c.quality, ln(c.docs / (SELECT sum(docs) FROM c)) + coalesce(k.w, 0) AS score FROM documents d CROSS JOIN c LEFT JOIN k ON k.doc_id = d.doc_id AND k.quality = c.quality"""
+
+
+@query(f"SELECT doc_id, quality, round(score, 6) AS score FROM ({SCORES})")
 def bayes_classify(spark, sf_dir):
     d = docs(spark, sf_dir)
     feats = bayes.features(d, "doc_id", "text")
@@ -104,7 +123,7 @@ def bayes_classify(spark, sf_dir):
     return bayes.classify(feats, model, "doc_id", "quality", d).select("doc_id", "quality", F.round("score", 6).alias("score"))
 
 
-@query()
+@query(f"SELECT doc_id, quality FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, quality) AS r FROM ({SCORES})) WHERE r = 1")
 def bayes_best(spark, sf_dir):
     d = docs(spark, sf_dir)
     feats = bayes.features(d, "doc_id", "text")
@@ -153,10 +172,12 @@ def synonyms(spark, sf_dir):
 VOCABULARY = ["# colours and kinds", "article:the,der,le", "Verbindung:and,und,et#http://v/and", "Ort=of the,in the"]
 
 
-@query()
+@query(r"""WITH w AS (SELECT doc_id, ' ' || array_to_string(list_filter(string_split(replace(replace(replace(replace(replace(lower(trim(regexp_replace(text, '[.!?;:()]', ' ', 'g'))), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'), ',', ' '), ' '), lambda x: x <> ''), ' ') || ' ' AS run FROM documents),
+ v(term, synonyms) AS (VALUES ('article', ['article', 'the', 'der', 'le']), ('Verbindung', ['verbindung', 'and', 'und', 'et']), ('Ort', ['ort', 'of the', 'in the']))
+ SELECT doc_id, 'small' AS vocabulary, array_to_string(list_sort(list(DISTINCT term)), ',') AS terms FROM (SELECT term, unnest(synonyms) AS s FROM v) JOIN w ON contains(run, ' ' || s || ' ') GROUP BY doc_id""")
 def tagging_facets(spark, sf_dir):
     lines = spark.createDataFrame([(x,) for x in VOCABULARY], "value string")
-    return lookup.facets(docs(spark, sf_dir), "doc_id", "text", lookup.vocabulary(lines, F.lit("small")))
+    return lookup.facets(docs(spark, sf_dir), "doc_id", "text", lookup.vocabulary(lines, F.lit("small"))).withColumn("terms", F.array_join("terms", ","))
 
 
 @query("SELECT lower(regexp_extract(text, '([A-Za-z]+)', 1)) AS w, count(*) AS n FROM documents GROUP BY w")
