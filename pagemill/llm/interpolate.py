@@ -50,8 +50,8 @@ END, START = b" end", b" start"  # no word holds a blank
 STEPS, LOWEST = 4, 40  # an octave has so many steps; estimates below 2 ** -LOWEST count as that
 BUCKETS = 40
 SCHEMA = "chunk long, section boolean, n int, doc_ids array<long>, train binary, lengths binary, words binary, tokens binary"
-#: How many chunks, or groups of the level below, are summed at once, and by how many bits of the hash a level splits.
-FAN, BITS = 256, 7
+#: How many chunks, or groups of the level below, are summed at once, and by how many bits of the hash a level splits: a range of a full group has some 20 MB.
+FAN, BITS = 1024, 8
 PARTS = "group long, kind int, range long, unit long, keys binary, counts binary"
 
 
@@ -231,33 +231,36 @@ def totals(parts: DataFrame) -> DataFrame:
 
 
 def sums(parts: DataFrame, level: int, fan: int) -> DataFrame:
-    """The sums of each group and range as rows of counts of the next level, in its finer ranges; the group is the unit there."""
+    """The sums of each group and range as rows of counts of the next level, in its finer ranges; the group is the unit there.
+    Beside them a row for each row of counts, with the places of its keys among the sums, by which it is answered later."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for (group, kind, _), held in runs(batches, ("group", "kind", "range"), ("unit", "keys", "counts")):
-            _, s, first, total, _ = summed(held)
+        for (group, kind, r), held in runs(batches, ("group", "kind", "range"), ("unit", "keys", "counts")):
+            order, s, first, total, own = summed(held)
             keys, total = s[first], total.astype(np.uint64)
             finer = list(by_range(keys, level + 1))
             k = len(finer)
-            yield {"group": [group // fan] * k, "kind": [kind] * k, "range": [r for r, _ in finer], "unit": [group] * k, "keys": [keys[p].tobytes() for _, p in finer], "counts": [squeeze(total[p]) for _, p in finer]}
+            yield {"group": [group // fan] * k, "kind": [kind] * k, "range": [r for r, _ in finer], "unit": [group] * k, "keys": [keys[p].tobytes() for _, p in finer], "counts": [squeeze(total[p]) for _, p in finer], "places": [None] * k}
+            place = np.empty(len(s), np.int64)
+            place[order] = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(s))))
+            at = np.cumsum([0] + [len(x) for x in own])
+            k = len(own)
+            steps = [squeeze(np.diff(place[i:j], prepend=0).astype(np.uint32)) for i, j in zip(at, at[1:])]
+            yield {"group": [group] * k, "kind": [kind] * k, "range": [r] * k, "unit": [u for u, _, _ in held], "keys": [None] * k, "counts": [None] * k, "places": steps}
 
-    return map_arrow(together(parts), rows, PARTS, large=True)
+    return map_arrow(together(parts), rows, PARTS + ", places binary", large=True)
 
 
-def handed_down(parts: DataFrame, above: DataFrame, answers: DataFrame) -> DataFrame:
-    """For each row of counts the totals of its keys, from what the level above (its rows, and the answers to them) says of the group's sums."""
-    place = (F.col("unit").alias("group"), "kind", F.shiftright("range", BITS).alias("range"))
-    no = F.lit(None).cast("binary")
-    asked = parts.select("group", "kind", "range", F.lit(2).alias("tag"), F.col("unit").alias("at"), "keys", no.alias("totals"))
-    known = above.select(*place, F.lit(0).alias("tag"), F.col("range").alias("at"), "keys", no.alias("totals"))
-    told = answers.select(*place, F.lit(1).alias("tag"), F.col("range").alias("at"), no.alias("keys"), "totals")
-    met = known.union(told).union(asked).repartition("group", "kind", "range").sortWithinPartitions("group", "kind", "range", "tag", "at")
+def handed_down(places: DataFrame, answers: DataFrame) -> DataFrame:
+    """For each row of counts the totals of its keys, from the answers to the sums of its group."""
+    told = answers.select(F.col("unit").alias("group"), "kind", F.shiftright("range", BITS).alias("range"), F.lit(0).alias("tag"), F.col("range").alias("at"), F.col("totals").alias("data"))
+    asked = places.select("group", "kind", "range", F.lit(1).alias("tag"), F.col("unit").alias("at"), F.col("places").alias("data"))
+    met = told.union(asked).repartition("group", "kind", "range").sortWithinPartitions("group", "kind", "range", "tag", "at")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for (_, kind, r), held in runs(batches, ("group", "kind", "range"), ("tag", "at", "keys", "totals")):
-            keys = np.concatenate([np.frombuffer(k, np.uint64) for tag, _, k, _ in held if tag == 0])
-            total = np.concatenate([unsqueeze(x, np.uint64) for tag, _, _, x in held if tag == 1])
-            own = [(u, np.searchsorted(keys, np.frombuffer(k, np.uint64))) for tag, u, k, _ in held if tag == 2]
+        for (_, kind, r), held in runs(batches, ("group", "kind", "range"), ("tag", "at", "data")):
+            total = np.concatenate([unsqueeze(x, np.uint64) for tag, _, x in held if tag == 0])
+            own = [(u, np.cumsum(unsqueeze(x, np.uint32), dtype=np.int64)) for tag, u, x in held if tag == 1]
             yield {"unit": [u for u, _ in own], "kind": [kind] * len(own), "range": [r] * len(own), "totals": [squeeze(total[at]) for _, at in own]}
 
     return map_arrow(met, rows, "unit long, kind int, range long, totals binary", large=True)
@@ -270,8 +273,8 @@ def answered(parts: DataFrame, groups: int, level: int, fan: int) -> tuple[DataF
         n, v = (int(x or 0) for x in answers.where("unit < 0").agg(F.sum("tokens"), F.sum("types")).first())
         return answers.where("unit >= 0").select("unit", "kind", "range", "totals"), n, v
     above = written(sums(parts, level, fan), "sums")
-    answers, n, v = answered(above, -(-groups // fan), level + 1, fan)
-    return written(handed_down(parts, above, answers), "totals"), n, v
+    answers, n, v = answered(above.where("keys is not null").drop("places"), -(-groups // fan), level + 1, fan)
+    return written(handed_down(above.where("places is not null"), answers), "totals"), n, v
 
 
 def meet(made: DataFrame, answers: DataFrame) -> DataFrame:
@@ -372,8 +375,7 @@ def scored(met: DataFrame, n: int, v: int, weight: np.ndarray) -> DataFrame:
 def score_documents(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, fan: int = FAN) -> DataFrame:
     made = written(chunks(docs, chunk_bytes), "chunks")
     groups = max(1, -(-made.count() // fan))
-    parts = partial_counts(made, groups)
-    answers, n, v = answered(parts if groups == 1 else written(parts, "counts"), groups, 0, fan)
+    answers, n, v = answered(partial_counts(made, groups), groups, 0, fan)
     held = histogram(meet(made.where("section"), answers), n).toPandas()
     weight = weights(held["cell"].to_numpy(np.int64), held["times"].to_numpy(np.int64), 1 / (v + 1))
     return scored(meet(made, answers), n, v, weight)
