@@ -4,6 +4,11 @@ Documents that the quality rules reject go; of each group of near duplicates one
 document stays; personal data becomes its kind in angle brackets; what is left is
 packed. Each stage works on all rows of the stage before, whose result is written
 to the shared folder and read again.
+
+Defined results: null texts count as empty, and the rules reject them; of rows that
+repeat id and text one stays, rows without an id are no copies of others; nulls in
+other columns stay as they are, and columns of any name are kept until packing,
+which returns pieces; an empty table gives no rows.
 """
 
 from __future__ import annotations

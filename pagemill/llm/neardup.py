@@ -348,7 +348,8 @@ def grouped(docs: DataFrame, similarity: float, n: int, recall: float, extra: tu
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, n: int = 5, recall: float = 0.999999) -> DataFrame:
     """The documents, of each group of near duplicates only one row, of the least id. All columns stay. A row goes by its
-    id and the hash of its text, since an id may stand on several texts."""
+    id and the hash of its text, since an id may stand on several texts; of rows that repeat both one stays. Rows without
+    an id all stay, and so do those without a word; an empty table gives an empty one."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     named = named.withColumn("print", F.xxhash64("text"))
     own = written(grouped(named, similarity, n, recall, ("print",)).select("doc_id", "print", "class_id", "group"), "groups-of-rows")

@@ -6,9 +6,12 @@ reader takes the end of the file, finds the end record (and the ZIP64 one, if
 needed), reads the central directory, follows the local headers to where members
 lie, reads the index and then ranges of records; nothing is extracted.
 
-Packages lie in the shared folder of spark.checkpoint.dir. A task writes under a
-name of its attempt and renames when done, and what it writes follows from its
-input, so an attempt that is repeated leaves the same package.
+Packages lie in the shared folder of spark.checkpoint.dir. Each attempt of a task
+writes packages of its own names, and the manifest, which Spark commits once for
+each task, holds those of the attempt that counts; others are never read.
+
+Names in archives are UTF-8 where the flag says so, else code page 437. A member
+that is read whole must have the checksum of the directory.
 
 Equal payloads: the row of largest page_id is written as response, all others as
 revisit records that refer to it and keep the HTTP headers, so the length stays
@@ -107,10 +110,10 @@ class ZipReader:
         for _ in range(n):
             if directory[at : at + 4] != b"PK\1\2":
                 raise ValueError("broken central directory")
-            method, = struct.unpack_from("<H", directory, at + 10)
+            flags, method = struct.unpack_from("<HH", directory, at + 8)
             crc, packed, plain, n_name, n_extra, n_note = struct.unpack_from("<IIIHHH", directory, at + 16)
             offset, = struct.unpack_from("<I", directory, at + 42)
-            name = directory[at + 46 : at + 46 + n_name].decode()
+            name = directory[at + 46 : at + 46 + n_name].decode("utf-8" if flags & 0x800 else "cp437")
             extra = directory[at + 46 + n_name : at + 46 + n_name + n_extra]
             k = 0
             while k + 4 <= len(extra):
@@ -137,7 +140,10 @@ class ZipReader:
 
     def read(self, name: str, start: int = 0, length: int | None = None) -> bytes:
         begin, size = self.place(name)
-        return self.file.read_at(size - start if length is None else length, begin + start)
+        data = self.file.read_at(size - start if length is None else length, begin + start)
+        if start == 0 and length is None and zlib.crc32(data) != self.members[name][1]:
+            raise ValueError(f"{name} has another checksum")
+        return data
 
 
 class Opened:
@@ -244,9 +250,8 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
         todo = records()
         row = next(todo, None)
         while row is not None:
-            name = f"part-{part:06d}-{len(made):05d}.wacz"
-            path = f"{root}/.{name}.{attempt}"
-            with store.open_output_stream(path) as out:
+            name = f"part-{part:06d}-{len(made):05d}-{attempt}.wacz"
+            with store.open_output_stream(f"{root}/{name}") as out:
                 z = ZipWriter(out)
                 index: list[bytes] = []
 
@@ -264,10 +269,6 @@ def write_packages(pages: DataFrame, folder: str, least: int = 0, package_bytes:
                 z.add(MEMBER, chunks())
                 z.add(INDEX, [b"".join(index)])
                 z.close()
-            if store.get_file_info(f"{root}/{name}").type == arrow_fs.FileType.NotFound:
-                store.move(path, f"{root}/{name}")
-            else:  # another attempt of this task was done first, with the same bytes
-                store.delete_file(path)
             made.append((name, len(index)))
         yield {"name": [n for n, _ in made], "records": [k for _, k in made]}
 

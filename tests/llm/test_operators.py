@@ -197,6 +197,25 @@ def test_reads_what_others_write():
     assert warczip.ZipReader(Bytes(out.getvalue())).read("b") == b"beta"
     with pytest.raises(ValueError):
         warczip.ZipReader(Bytes(b"no archive"))
+    old = out.getvalue()
+    dos = bytearray(old)
+    for at in (i for i in range(len(dos) - 4) if dos[i : i + 4] == b"PK\1\2"):
+        if dos[at + 46 : at + 47] == b"a":
+            dos[at + 46] = 0x84  # a letter with two dots in code page 437, no UTF-8
+    assert sorted(warczip.ZipReader(Bytes(bytes(dos))).members) == ["b", "ä"]
+    with pytest.raises(ValueError, match="checksum"):
+        warczip.ZipReader(Bytes(old.replace(b"beta", b"bets"))).read("b")
+
+
+def test_only_packages_of_the_manifest_are_read(spark, tmp_path):
+    """What another attempt left in the folder does not count."""
+    rows = spark.createDataFrame([(i, "http://h/", f"page {i}") for i in range(20)], "page_id long, url string, html string").repartition(3)
+    folder = f"file://{tmp_path}"
+    manifest = warczip.written(warczip.write_packages(rows, folder), "manifest")
+    (tmp_path / "part-000000-00000-999999.wacz").write_bytes(b"half an arch")
+    warczip.write_packages(rows, folder).count()
+    got = warczip.read_records(warczip.record_ranges(manifest, folder), folder).select("page_id").collect()
+    assert sorted(r.page_id for r in got) == list(range(20))
 
 
 # 3
