@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pagemill.llm import align, ann, extract, interpolate, neardup, packing, pieces, pii, quality, tokens, warczip, windows
+from pagemill.llm import align, ann, extract, interpolate, neardup, packing, pieces, pii, quality, tokens, warczip, weak, windows
 from pagemill.llm.base import table
 
 
@@ -63,12 +63,16 @@ def op11_suffix_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align.align_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_weak_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_window_bisection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.document_windows(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_deleted_interpolation, op2_warc_zip, op3_quality_forest, op4_token_counts, op5_forest_join, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text, op11_suffix_transducer, op13_window_bisection)}
+    return {f.__name__: f for f in (op1_deleted_interpolation, op2_warc_zip, op3_quality_forest, op4_token_counts, op5_forest_join, op6_cost_packing, op7_onebit_search, op8_pii_tagger, op9_suffix_pieces, op10_host_suffix_text, op11_suffix_transducer, op12_weak_toxicity, op13_window_bisection)}
 
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
