@@ -7,6 +7,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
+from pagemill import shared
 from pagemill.formats import parsers
 from pagemill.plans import sinks
 from pagemill.queries import load_time, query, table
@@ -54,6 +55,28 @@ def warc_roundtrip(spark, sf_dir):
     return warc.responses(warc.warc_rows(files)).select(F.col("path").cast("long").alias("page_id"), "target_uri", F.octet_length("payload").cast("long").alias("bytes"), F.md5("payload").alias("digest"))
 
 
+NESTED = "\\r\\n\\r\\nWARC/1.0\\r\\nWARC-Type: response\\r\\nWARC-Target-URI: <http://nested/>\\r\\nContent-Length: 2\\r\\n\\r\\nab\\r\\n\\r\\n"
+
+
+@query(f"""WITH p AS (SELECT page_id, url, html || CASE WHEN page_id % 7 = 1 THEN {"'" + NESTED.replace(chr(92) + 'r', "' || chr(13) || '").replace(chr(92) + 'n', "' || chr(10) || '") + "'"} ELSE '' END AS body FROM pages WHERE page_id % 7 <> 3)
+ SELECT page_id, url AS target_uri, octet_length(encode(body))::BIGINT AS bytes, md5(body) AS digest FROM p""")
+def warc_damaged_ranges(spark, sf_dir):
+    """Pages as WARC files, plain and packed, read in ranges of 64 kB by several tasks. Every seventh record says that it is far longer than it is, every other seventh
+    holds what looks like a record; all but the first kind come back once, and nothing else does."""
+    pages = table(spark, sf_dir, "pages")
+    body = F.concat(F.col("html"), F.when(F.col("page_id") % 7 == 1, F.expr(f"'{NESTED}'")).otherwise(""))
+    block = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page: "), F.col("page_id").cast("string"), F.lit("\r\n\r\n"), body)
+    length = F.octet_length(block) + F.when(F.col("page_id") % 7 == 3, 5_000_000).otherwise(0)
+    record = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: <"), F.col("url"), F.lit(">\r\nContent-Length: "), length.cast("string"), F.lit("\r\n\r\n"), block)
+    root = shared.folder(spark, "warc")
+    for name, odd in (("plain", 0), ("gzip", 1)):
+        lines = pages.where(F.col("page_id") % 2 == odd).select(record.alias("value")).repartition(4)
+        lines.write.option("lineSep", "\r\n\r\n").option("compression", {"plain": "none"}.get(name, name)).text(f"{root}/{name}")
+    files = [f for name in ("plain", "gzip") for f in warc.listed(f"{root}/{name}", "part-")]
+    found = warc.responses(warc.read_files(spark, files, 64 << 10))
+    return found.select(F.col("headers")["x-page"].cast("long").alias("page_id"), "target_uri", F.octet_length("payload").cast("long").alias("bytes"), F.md5("payload").alias("digest"))
+
+
 @query()
 def stream_jobs(spark, sf_dir):
     """The records that a job over one batch of pages gives, as the stream's batches compute them."""

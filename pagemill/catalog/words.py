@@ -150,6 +150,31 @@ def suffix_recommend(spark, sf_dir):
     return joins.recommend(w, w.where("length(word) >= 3").select(F.right("word", F.lit(3)).alias("query")).distinct(), "word", "query", "end")
 
 
+ALL_WORDS = r"SELECT DISTINCT unnest(string_split_regex(text, '[^\p{L}]+')) AS word FROM documents"
+
+
+def letters(spark, sf_dir, end: str):
+    """How many words go with each first (last) letter and two of them, whatever the case, with the least and the greatest."""
+    w = docs(spark, sf_dir).select(F.explode(F.split("text", r"[^\p{L}]+")).alias("word")).where("word <> ''").distinct()
+    part = F.right if end == "end" else F.left
+    q = w.select(F.explode(F.array(*[F.lower(part("word", F.lit(n))) for n in (1, 2)])).alias("query")).distinct()
+    found = joins.recommend(w, q, "word", "query", end, ignore_case=True, longer=False, range_words=20_000)
+    return found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("word").alias("least"), F.max("word").alias("greatest"))
+
+
+LETTERS = "WITH w AS (SELECT word FROM ({words}) WHERE word <> ''), q AS (SELECT DISTINCT unnest([lower({part}(word, 1)), lower({part}(word, 2))]) AS query FROM w) SELECT query, count(*) AS n, min(word) AS least, max(word) AS greatest FROM w JOIN q ON {meets}(lower(word), query) GROUP BY query"
+
+
+@query(LETTERS.format(words=ALL_WORDS, part="left", meets="starts_with"))
+def first_letters(spark, sf_dir):
+    return letters(spark, sf_dir, "start")
+
+
+@query(LETTERS.format(words=ALL_WORDS, part="right", meets="ends_with"))
+def last_letters(spark, sf_dir):
+    return letters(spark, sf_dir, "end")
+
+
 def gazetteer(spark, sf_dir):
     n = F.col("n_nationkey")
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), n.alias("id"), (n * 7.0 - 80).cast("float").alias("lat"), (n * 14.0 - 170).cast("float").alias("lon"), ((n * 7919) % 20011).cast("long").alias("population"))

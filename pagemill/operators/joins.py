@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill import shared
+from pagemill.arrow import map_rows
+
 
 def map_join(left: DataFrame, right: DataFrame, key: str, value: str, concat: bool = False) -> DataFrame:
     """Common keys with the left value, or with both values one after the other."""
@@ -47,11 +53,49 @@ def matching_rule_rows(df: DataFrame, subject: str, rules: DataFrame) -> DataFra
     return df.join(F.broadcast(rules), F.expr(f"{subject} rlike concat('^(?:', pattern, ')$')"))
 
 
-def recommend(words: DataFrame, asked: DataFrame, word: str, query: str, at: str = "start") -> DataFrame:
-    """Strictly longer words that start, or end, with a query; queries and words meet by their first (last) two characters."""
-    ends = at == "end"
-    two = (lambda c: F.right(c, F.lit(2))) if ends else (lambda c: F.left(c, F.lit(2)))
-    w = words.select(F.col(word).alias("word")).withColumn("b", two(F.col("word")))
-    q = asked.select(F.col(query).alias("query")).withColumn("b", two(F.col("query")))
-    meets = F.col("word").endswith(F.col("query")) if ends else F.col("word").startswith(F.col("query"))
-    return w.join(q, "b").where(meets & (F.length("word") > F.length("query"))).select("query", "word").distinct()
+#: Words of a range; ranges are as many at most, since their first words are known to the driver.
+RANGE_WORDS, MOST_RANGES = 100_000, 20_000
+
+
+def beyond(prefix: str) -> str | None:
+    """The least text above all that begin with a prefix; None if there is none."""
+    for i in range(len(prefix) - 1, -1, -1):
+        c = ord(prefix[i])
+        if c < 0x10FFFF:
+            return prefix[:i] + chr(0xE000 if c == 0xD7FF else c + 1)
+    return None
+
+
+def recommend(words: DataFrame, asked: DataFrame, word: str, query: str, at: str = "start", ignore_case: bool = False, longer: bool = True, range_words: int = RANGE_WORDS) -> DataFrame:
+    """(query, word): words that start, or end, with a query; strictly longer ones, unless equal ones are wanted too. An empty query finds nothing.
+
+    The distinct words are sorted into ranges of about ``range_words``. A query goes to the ranges that its words can lie in, and is a stretch of each
+    range's sorted words there; so a query of one character costs no more than its result, and many words with one first letter are many ranges."""
+    fold = F.lower if ignore_case else (lambda c: c)
+    key = (lambda c: F.reverse(fold(c))) if at == "end" else fold
+    w = words.select(F.col(word).cast("string").alias("word")).where("word is not null").distinct().withColumn("k", key(F.col("word")))
+    q = asked.select(F.col(query).cast("string").alias("query")).where("query <> ''").distinct().withColumn("p", key(F.col("query")))
+    n = w.count()
+    ranges = max(1, min(-(-n // range_words), MOST_RANGES))
+    w = shared.written(w.repartitionByRange(ranges, "k").withColumn("r", F.spark_partition_id()), "words")
+    edges = sorted((r["least"], r["most"], r["r"]) for r in w.groupBy("r").agg(F.min("k").alias("least"), F.max("k").alias("most")).collect())
+    least, most, number = ([e[i] for e in edges] for i in range(3))
+
+    def rows(it):
+        for r in it:
+            end = beyond(r["p"])
+            for i in range(bisect_left(most, r["p"]), len(least) if end is None else bisect_left(least, end)):
+                yield r | {"r": number[i]}
+
+    sent = map_rows(q, rows, "query string, p string, r int", size=5000)
+
+    def meet(_, ws: pd.DataFrame, qs: pd.DataFrame) -> pd.DataFrame:
+        order = sorted(zip(ws["k"], ws["word"]))
+        keys = [k for k, _ in order]
+        first = [bisect_left(keys, p) for p in qs["p"]]
+        last = [len(keys) if (e := beyond(p)) is None else bisect_left(keys, e) for p in qs["p"]]
+        found = [order[i][1] for a, b in zip(first, last) for i in range(a, b)]
+        return pd.DataFrame({"query": qs["query"].repeat([b - a for a, b in zip(first, last)]).to_numpy(), "word": np.array(found, object)})
+
+    out = w.groupBy("r").cogroup(sent.groupBy("r")).applyInPandas(lambda key, ws, qs: meet(key, ws, qs), "query string, word string")
+    return out.where(F.length("word") > F.length("query")) if longer else out
