@@ -46,6 +46,18 @@ def class_vocabulary(spark, sf_dir):
     return patterns.class_terms(table(spark, sf_dir, "pages"), "page_id", "html", {"ad": "adverts", "missing": "none"})
 
 
+#: Markup with a class before each page: quotes that hold brackets, single quotes, none, an element within, more classes than one, an empty element first.
+CLASSED = [("<div title=\"a>b\" class=\"x\">deep</div>", "deep"), ("<div class=''x''>single</div>", "single"), ("<div class=\"x\"><b>inner</b> and outer</div>", "inner and outer"), ("<p class=x>bare</p><p class=\"x\">second</p>", "bare"),
+    ("<div class=\"y x\"><span class=\"z\">of two</span></div>", "of two"), ("<span class=\"x\"></span><b class=\"X\">other</b><i class=\"x\">third &amp; last</i>", "third & last"), ("<b class=\"none\">no</b>", None)]
+
+
+@query("SELECT page_id, 'places' AS vocabulary, CASE page_id % 7 " + " ".join(f"WHEN {k} THEN '{t}'" for k, (_, t) in enumerate(CLASSED) if t) + " END AS term FROM pages WHERE page_id % 7 < 6")
+def class_places(spark, sf_dir):
+    markup = F.expr("CASE page_id % 7 " + " ".join(f"WHEN {k} THEN '{m}'" for k, (m, _) in enumerate(CLASSED)) + " END")
+    p = table(spark, sf_dir, "pages").select("page_id", F.concat(markup, "html").alias("html"))
+    return patterns.class_terms(p, "page_id", "html", spark.createDataFrame([("x", "places"), ("nowhere", "missing")], "class string, vocabulary string"))
+
+
 @query("SELECT * FROM (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href=\"([^\"#][^\"]*)\"', 1)) AS target FROM pages) WHERE NOT regexp_matches(target, '^/th')")
 def listed_links(spark, sf_dir):
     return patterns.links(table(spark, sf_dir, "pages"), "page_id", "html", ["^/th"])

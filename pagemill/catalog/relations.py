@@ -90,6 +90,18 @@ def scoremap_rank(spark, sf_dir):
     return scores.ranked(scores.scores(e, "element", "event_id"))
 
 
+@query(f"SELECT element, score, arrival, row_number() OVER (ORDER BY score DESC, arrival DESC) AS rank FROM ({USER_SCORES})")
+def scoremap_rank_all(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "element")
+    return scores.ranked(scores.scores(e, "element", "event_id"))
+
+
+@query("WITH s AS (SELECT event_id, user_id, row_number() OVER (ORDER BY user_id DESC, event_id) - 1 AS n, (SELECT count(*) FROM events) AS size FROM events) SELECT event_id, user_id, (r * size + n)::BIGINT AS position FROM s, range(0, 3) AS t(r) WHERE r * size + n < 2 * size + 77")
+def rotate_all(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", "user_id")
+    return setops.rotate(e, [F.col("user_id").desc(), F.col("event_id")], 2 * e.count() + 77)
+
+
 @query("SELECT element, sum(score)::BIGINT AS score FROM (SELECT user_id AS element, count(*) AS score FROM events WHERE event_type = 'click' GROUP BY user_id UNION ALL SELECT user_id, count(*) FROM events WHERE event_type <> 'click' GROUP BY user_id) GROUP BY element")
 def scoremap_merge(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "element")

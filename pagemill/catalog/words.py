@@ -131,6 +131,38 @@ def bayes_best(spark, sf_dir):
     return bayes.best(bayes.classify(feats, model, "doc_id", "quality", d), "doc_id", "quality").select("doc_id", "quality")
 
 
+#: Two classifiers that may say NONE, and one that may not and so is left out.
+CONTEXTS = "SELECT doc_id, 'quality' AS context, CASE WHEN quality = 1 THEN 'good' ELSE 'NONE' END AS category FROM labels UNION ALL SELECT doc_id, 'tone', CASE WHEN toxic = 1 THEN 'toxic' ELSE 'NONE' END FROM labels UNION ALL SELECT doc_id, 'half', CASE WHEN doc_id % 2 = 0 THEN 'even' ELSE 'odd' END FROM labels"
+
+
+@query(f"""WITH f AS ({FEATURES}), l AS (SELECT * FROM ({CONTEXTS}) WHERE context <> 'half'), m AS (SELECT context, category, feature, count(*) AS n FROM f JOIN l USING (doc_id) GROUP BY ALL),
+ c AS (SELECT context, category, count(*) AS docs FROM l GROUP BY ALL), t AS (SELECT context, feature, sum(n) AS total FROM m GROUP BY ALL),
+ w AS (SELECT t.context, t.feature, c.category, ln((0.5 + total * (coalesce(n, 0) / docs)) / (1.0 + total)) AS w FROM t JOIN c USING (context) LEFT JOIN m ON m.context = t.context AND m.feature = t.feature AND m.category = c.category),
+ k AS (SELECT doc_id, context, category, sum(w) AS w FROM f JOIN w USING (feature) GROUP BY ALL),
+ s AS (SELECT d.doc_id, c.context, c.category, ln(c.docs / sum(c.docs) OVER (PARTITION BY d.doc_id, c.context)) + coalesce(k.w, 0) AS score FROM documents d CROSS JOIN c LEFT JOIN k ON k.doc_id = d.doc_id AND k.context = c.context AND k.category = c.category)
+ SELECT doc_id, context, category, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, context ORDER BY round(score, 9) DESC, category) AS r FROM s) WHERE r = 1""")
+def bayes_contexts(spark, sf_dir):
+    d = docs(spark, sf_dir)
+    feats = bayes.features(d, "doc_id", "text")
+    parts = [("quality", F.when(F.col("quality") == 1, "good").otherwise("NONE")), ("tone", F.when(F.col("toxic") == 1, "toxic").otherwise("NONE")), ("half", F.when(F.col("doc_id") % 2 == 0, "even").otherwise("odd"))]
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.inline(F.array(*[F.struct(F.lit(c).alias("context"), k.alias("category")) for c, k in parts])))
+    model = bayes.train_contexts(feats, labels, "doc_id")
+    return bayes.best_of(feats, model, "doc_id", d).withColumn("score", F.round("score", 6))
+
+
+RULE_WORDS = "SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part"
+
+
+@query(f"WITH r AS (SELECT word AS name, '.*' || word || '( .*|$)' AS pattern FROM ({RULE_WORDS}) UNION ALL SELECT 'two ' || word, '[a-z]+ ' || word FROM ({RULE_WORDS}) UNION ALL SELECT 'long', '.{{30,}}') SELECT p_partkey, name FROM part JOIN r ON regexp_full_match(p_name, pattern)")
+def rules_of_words(spark, sf_dir):
+    """Every word of the part names as two rules, and one without any literal, against all part names."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    word = parts.select(F.explode(F.split("p_name", " ")).alias("word")).distinct()
+    rules = word.select(F.inline(F.array(F.struct(F.col("word").alias("name"), F.concat(F.lit(".*"), "word", F.lit("( .*|$)")).alias("pattern")), F.struct(F.concat(F.lit("two "), "word").alias("name"), F.concat(F.lit("[a-z]+ "), "word").alias("pattern")))))
+    rules = rules.unionByName(spark.createDataFrame([("long", ".{30,}")], "name string, pattern string"))
+    return joins.matching_rule_rows(parts, "p_name", rules).select("p_partkey", "name")
+
+
 def part_words(spark, sf_dir):
     return table(spark, sf_dir, "part").select(F.explode(F.split(F.lower("p_name"), "[^a-z0-9]+")).alias("word")).where("word <> ''").distinct()
 

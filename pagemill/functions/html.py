@@ -135,6 +135,8 @@ class Element:
 class Reader:
     """Accumulates what a page gives."""
 
+    token = _TOKEN
+
     def __init__(self, url: str):
         self.base = url
         self.lists: dict[str, list] = {k: [] for k in ("titles", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "articles", "anchors", "images", "icons", "css", "scripts", "frames", "iframes", "embeds", "rss", "start_dates", "end_dates", "ld")}
@@ -162,7 +164,7 @@ class Reader:
 
     def read(self, page: str) -> None:
         stack: list[Element] = []
-        for m in _TOKEN.finditer(page):
+        for m in self.token.finditer(page):
             token = m[0]
             top = stack[-1] if stack else None
             if token[0] != "<" or len(token) <= 2:

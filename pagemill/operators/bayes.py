@@ -24,29 +24,60 @@ def recent(labels: DataFrame, order: str, memory: int = 1000) -> DataFrame:
     return labels.orderBy(F.col(order).desc()).limit(memory)
 
 
-MOST_CATEGORIES = 1000
+def weights(by_feature: DataFrame, by_category: DataFrame, category: str, context: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(feature, base), (category, feature, more) and (category, prior), each within its context.
 
+    A word weighs (0.5 + total * p) / (1 + total), where total counts it over all categories and p is its share among the category's documents. In all
+    categories that do not have it that is the same, its base; the others have more. So a score is the prior and the bases of the document's words, which all categories
+    share, and what the category has more: categories stay rows, and only those that know a word meet it."""
+    total = by_feature.groupBy(*context, "feature").agg(F.sum("n").alias("total"))
+    base = total.select(*context, "feature", F.log(0.5 / (1.0 + F.col("total"))).alias("base"))
+    size = by_category.select(*context, category, F.col("n").alias("_docs"))
+    more = by_feature.join(total, [*context, "feature"]).join(size, [*context, category]).select(*context, category, "feature", F.log1p(2.0 * F.col("total") * F.col("n") / F.col("_docs")).alias("more"))
+    if not context:
+        return base, more, by_category.select(category, F.log(F.col("n") / F.lit(by_category.agg(F.sum("n")).first()[0])).alias("prior"))
+    all_ = by_category.groupBy(*context).agg(F.sum("n").alias("_all"))
+    return base, more, by_category.join(all_, context).select(*context, category, F.log(F.col("n") / F.col("_all")).alias("prior"))
 
-def classify(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, category: str, ids: DataFrame) -> DataFrame:
-    """All categories of each document with log score; the weight of a word is (0.5 + total * p) / (1 + total),
-    where total counts it over all categories and p is its share among the category's documents. Unknown words weigh the same for all.
 
-    The categories, which become columns of the plan, are at most ``MOST_CATEGORIES``. Each word has one row with its
-    weights in all of them, so words meet the model in one join, which Spark may split where a word is very common."""
+def classify(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, category: str, ids: DataFrame) -> DataFrame:
+    """All categories of each document with log score, (id, category, score): a row for each pair, so this is for few categories; ``best_of`` is not. Unknown words weigh the same for all."""
     by_feature, by_category = model
-    kinds = by_category.dtypes[by_category.columns.index(category)][1]
-    cats = sorted((r[category], r["n"]) for r in by_category.where(F.col(category).isNotNull()).limit(MOST_CATEGORIES + 1).collect())
-    if len(cats) > MOST_CATEGORIES:
-        raise ValueError(f"more than {MOST_CATEGORIES} categories")
-    all_docs = sum(n for _, n in cats)
-    counts = [F.sum(F.when(F.col(category) == F.lit(c), F.col("n"))).alias(f"n{i}") for i, (c, _) in enumerate(cats)]
-    words = by_feature.groupBy("feature").agg(F.sum("n").alias("total"), *counts)
-    weight = [F.log((0.5 + F.col("total") * (F.coalesce(F.col(f"n{i}"), F.lit(0)) / F.lit(n))) / (1.0 + F.col("total"))).alias(f"w{i}") for i, (_, n) in enumerate(cats)]
-    known = feats.join(words.select("feature", *weight), "feature").groupBy(id_col).agg(*[F.sum(f"w{i}").alias(f"w{i}") for i in range(len(cats))])
-    rows = [F.struct(F.lit(c).cast(kinds).alias(category), (F.log(F.lit(n / all_docs)) + F.coalesce(F.col(f"w{i}"), F.lit(0.0))).alias("score")) for i, (c, n) in enumerate(cats)]
-    if not rows:
-        return ids.select(id_col, F.lit(None).cast(kinds).alias(category), F.lit(0.0).alias("score")).where("false")
-    return ids.select(id_col).join(known, id_col, "left").select(id_col, F.explode(F.array(*rows)).alias("_r")).select(id_col, f"_r.{category}", "_r.score")
+    base, more, prior = weights(by_feature, by_category.where(F.col(category).isNotNull()), category, [])
+    kind = dict(by_category.dtypes)[category]
+    all_ = F.from_json(F.lit(prior.agg(F.to_json(F.collect_list(F.struct(category, "prior")))).first()[0] or "[]"), f"array<struct<`{category}`:{kind},prior:double>>")
+    sums = feats.join(base, "feature").groupBy(id_col).agg(F.sum("base").alias("base"))
+    apart = feats.join(more, "feature").groupBy(id_col, category).agg(F.sum("more").alias("more"))
+    pairs = ids.select(id_col).join(sums, id_col, "left").select(id_col, "base", F.inline(all_)).join(apart, [id_col, category], "left")
+    return pairs.select(id_col, category, (F.col("prior") + F.coalesce("base", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("score"))
+
+
+NONE = "NONE"
+
+
+def train_contexts(feats: DataFrame, labels: DataFrame, id_col: str, context: str = "context", category: str = "category") -> tuple[DataFrame, DataFrame]:
+    """The counts of several classifiers at once, from labels (id, context, category). As each must be able to say that nothing fits, contexts without documents of category ``NONE`` are left out."""
+    kept = labels.groupBy(context).agg(F.max(F.col(category) == NONE).alias("_none"), F.count_distinct(category).alias("_n")).where("_none and _n > 1").select(context)
+    labels = labels.join(kept, context, "left_semi")
+    by_feature = feats.join(labels.select(id_col, context, category), id_col).groupBy(context, category, "feature").agg(F.count(F.lit(1)).alias("n"))
+    return by_feature, labels.groupBy(context, category).agg(F.count(F.lit(1)).alias("n"))
+
+
+def best_of(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, ids: DataFrame, context: str = "context", category: str = "category") -> DataFrame:
+    """(id, context, category, score): in each context the category of largest score, ties to the lesser one.
+
+    What a category has more than the base is never less than nothing. So the best one is among those that know a word of the document and the
+    one of largest prior; no document meets all categories, however many there are."""
+    base, more, prior = weights(*model, category, [context])
+    usual = prior.groupBy(context).agg(F.min_by(category, F.struct(-F.col("prior"), F.col(category))).alias(category), F.max("prior").alias("prior"))
+    sums = feats.join(base, "feature").groupBy(id_col, context).agg(F.sum("base").alias("base"))
+    apart = feats.join(more, "feature").groupBy(id_col, context, category).agg(F.sum("more").alias("more")).join(prior, [context, category])
+    contexts = [r[context] for r in usual.select(context).collect()]  # classifiers, a row of the result for each of them and document
+    every = ids.select(id_col, F.explode(F.array(*map(F.lit, contexts)) if contexts else F.expr("cast(array() as array<string>)")).alias(context)).join(F.broadcast(usual), context)
+    some = every.select(id_col, context, category, "prior", F.lit(0.0).alias("more")).unionByName(apart.select(id_col, context, category, "prior", "more"))
+    s = F.col("prior") + F.col("more")  # sums differ in the last digits by the order of adding, which must not decide
+    top = some.groupBy(id_col, context).agg(F.min_by(F.struct(category, s.alias("s")), F.struct(-F.round(s, 9), F.col(category))).alias("_b"))
+    return top.join(sums, [id_col, context], "left").select(id_col, context, F.col(f"_b.{category}").alias(category), (F.col("_b.s") + F.coalesce("base", F.lit(0.0))).alias("score"))
 
 
 def best(classified: DataFrame, id_col: str, category: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pagemill import shared
 from pagemill.arrow import map_rows
+from pagemill.operators import literals
 
 
 def map_join(left: DataFrame, right: DataFrame, key: str, value: str, concat: bool = False) -> DataFrame:
@@ -46,11 +47,8 @@ def matching_rules(subject: Column, rules: list[tuple[str, str]]) -> Column:
 
 
 def matching_rule_rows(df: DataFrame, subject: str, rules: DataFrame) -> DataFrame:
-    """The same for rules in a table (name, pattern): one row per match. Rules are few; their number is checked."""
-    n = rules.count()
-    if n > 10_000:
-        raise ValueError(f"{n} rules; they go to every task, so at most 10000 are taken")
-    return df.join(F.broadcast(rules), F.expr(f"{subject} rlike concat('^(?:', pattern, ')$')"))
+    """The same for rules in a table (name, pattern) of any size: one row per match."""
+    return literals.matches(df, subject, rules)
 
 
 #: Words of a range; ranges are as many at most, since their first words are known to the driver.

@@ -7,28 +7,71 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.arrow import map_rows
+from pagemill.functions import html
+from pagemill.operators import literals
+
 # The elements that patterns may name.
 ELEMENTS = "text bodyclass divid csspath metagenerator url scriptpath scriptcode iframepath imgpath linkpath hreflink apath comment".split()
 
 
 def evaluate(elements: DataFrame, models: DataFrame) -> DataFrame:
     """(id, model, subject, n): how many elements of a document match a subject's patterns in full.
-    ``elements`` has id, element and value; ``models`` model, subject, element and pattern, at most 10000 rows."""
-    if models.count() > 10_000:
-        raise ValueError("more than 10000 patterns; they go to every task")
-    m = F.broadcast(models.where(F.col("element").isin(*ELEMENTS)))
-    return elements.join(m, "element").where(F.expr("value rlike concat('^(?:', pattern, ')$')")).groupBy("id", "model", "subject").agg(F.count(F.lit(1)).alias("n"))
+    ``elements`` has id, element and value; ``models`` model, subject, element and pattern, of any number."""
+    met = literals.matches(elements, "value", models.where(F.col("element").isin(*ELEMENTS)), on=("element",))
+    return met.groupBy("id", "model", "subject").agg(F.count(F.lit(1)).alias("n"))
+
+
+#: Markup in pieces, where quotes in a tag may hold what ends one.
+TOKEN = re.compile(r"<!--.{1,}?-.>|<!--.*\Z|<(?:[^<>\"']++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+(?:>|(?=<)|\Z)|[^<]+", re.S)
+
+
+class ClassReader(html.Reader):
+    """Only the texts of elements with a class, in the order in which they close."""
+
+    token = TOKEN
+
+    def __init__(self):
+        super().__init__("")
+        self.found: list[dict] = []
+
+    def closed(self, e: html.Element) -> None:
+        names = e.attrs.get("class", "").split()
+        if names and (text := html.plain("".join(e.parts))):
+            self.found += [{"class": n, "text": text, "place": len(self.found)} for n in names]
+
+    def words(self, raw: str, inside: str | None) -> None:
+        pass
+
+    learn = single = properties = lambda self, *_: None
+
+
+def class_texts(pages: DataFrame, id_col: str, markup: str) -> DataFrame:
+    """(id, class, text, place) of the elements with a class, by the reader's tree: whatever the quotes, with the text of all that they hold. Empty ones are left out."""
+
+    def rows(it):
+        for r in it:
+            reader = ClassReader()
+            if r[markup] and not html._CONTROL.search(r[markup]):
+                reader.read(r[markup])
+            yield {"id": r[id_col], "found": reader.found}
+
+    kind = pages.schema[id_col].dataType.simpleString()
+    got = map_rows(pages.select(id_col, markup), rows, f"id {kind}, found array<struct<class:string,text:string,place:int>>")
+    return got.select(F.col("id").alias(id_col), F.inline("found"))
 
 
-def class_terms(pages: DataFrame, id_col: str, html: str, rules: dict[str, str]) -> DataFrame:
-    """(document, vocabulary, term): for each vocabulary the text of the first element of its class."""
-    parts = [F.struct(F.lit(v).alias("vocabulary"), F.trim(F.regexp_replace(F.regexp_extract(F.col(html), rf"<[a-zA-Z0-9]+[^>]*class=\"(?:[^\"]* )?{re.escape(c)}(?: [^\"]*)?\"[^>]*>([^<]*)", 1), r"\s+", " ")).alias("term")) for c, v in rules.items()]
-    return pages.select(id_col, F.explode(F.array(*parts)).alias("x")).where("x.term <> ''").select(id_col, "x.*")
+def class_terms(pages: DataFrame, id_col: str, markup: str, rules: dict[str, str] | DataFrame) -> DataFrame:
+    """(document, vocabulary, term): for each vocabulary the text of the first element of its classes. Rules are pairs of class and vocabulary, of any number."""
+    if isinstance(rules, dict):
+        rules = pages.sparkSession.createDataFrame(list(rules.items()), "class string, vocabulary string")
+    met = class_texts(pages, id_col, markup).join(rules.select("class", "vocabulary"), "class")
+    return met.groupBy(id_col, "vocabulary").agg(F.min_by("text", F.struct("place", "class")).alias("term"))
 
 
-def links(pages: DataFrame, id_col: str, html: str, black_list: list[str]) -> DataFrame:
+def links(pages: DataFrame, id_col: str, markup: str, black_list: list[str]) -> DataFrame:
     """Targets of links, without those that a black list's pattern finds something in."""
-    found = F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(r"(?i)href\s*=\s*[\"']([^\"'#][^\"']*)[\"']"), 1))
+    found = F.array_distinct(F.regexp_extract_all(F.col(markup), F.lit(r"(?i)href\s*=\s*[\"']([^\"'#][^\"']*)[\"']"), 1))
     if black_list:
         found = F.filter(found, lambda u: ~u.rlike("|".join(f"(?:{p})" for p in black_list)))
     return pages.select(id_col, F.explode(found).alias("target"))

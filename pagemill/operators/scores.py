@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.operators.numbering import numbered
+
 
 def scores(df: DataFrame, element: str, position: str, inc: Column | None = None, by: list[str] | None = None) -> DataFrame:
     """element, score, arrival (least position) within each group."""
@@ -12,10 +14,11 @@ def scores(df: DataFrame, element: str, position: str, inc: Column | None = None
 
 
 def ranked(sm: DataFrame, by: list[str] | None = None, up: bool = False) -> DataFrame:
-    """Rank by score, then arrival, both in one direction."""
+    """Rank by score, then arrival, both in one direction. Without groups the whole map is numbered, by ranges."""
     d = (lambda c: F.col(c).asc()) if up else (lambda c: F.col(c).desc())
-    w = Window.partitionBy(*(by or [F.lit(0)])).orderBy(d("score"), d("arrival"))
-    return sm.withColumn("rank", F.row_number().over(w))
+    if not by:
+        return numbered(sm, [d("score"), d("arrival")], "rank")
+    return sm.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(d("score"), d("arrival"))))
 
 
 def ordered_texts(pairs: Column) -> Column:

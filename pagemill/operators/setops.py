@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.operators.numbering import numbered
+
 
 def merge_first_wins(tables: list[DataFrame], key: str, value: str) -> DataFrame:
     """Union by key; of equal keys the value of the earliest table (within a table the least value)."""
@@ -26,15 +28,13 @@ def adjacent_unique(df: DataFrame, order: list[str], key: str) -> DataFrame:
 
 
 def rotate(df: DataFrame, order: list[Column], n: int) -> DataFrame:
-    """The first n rows of an endless repetition of the sorted table. At most n of its rows are numbered, in one task."""
+    """The first n rows of an endless repetition of the sorted table, numbered from 0 in ``position``."""
     size = df.count()
     if not size:
         return df.withColumn("position", F.lit(0).cast("long"))
-    if size > n:
-        df = df.orderBy(*order).limit(n)
-    numbered = df.withColumn("_n", F.row_number().over(Window.orderBy(*order)) - 1)
-    rounds = -(-n // size)
-    return numbered.withColumn("_round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1)))).withColumn("position", (F.col("_round") * size + F.col("_n")).cast("long")).where(F.col("position") < n).drop("_n", "_round")
+    some = numbered(df, order, "_n", start=0).where(F.col("_n") < n)
+    rounds = F.expr(f"sequence(0L, ({n}L - 1 - _n) div {size}L)")
+    return some.withColumn("_round", F.explode(rounds)).withColumn("position", F.col("_round") * size + F.col("_n")).drop("_n", "_round")
 
 
 def from_key(df: DataFrame, key: str, start, up: bool = True) -> DataFrame:
