@@ -61,12 +61,12 @@ NESTED = "\\r\\n\\r\\nWARC/1.0\\r\\nWARC-Type: response\\r\\nWARC-Target-URI: <h
 @query(f"""WITH p AS (SELECT page_id, url, html || CASE WHEN page_id % 7 = 1 THEN {"'" + NESTED.replace(chr(92) + 'r', "' || chr(13) || '").replace(chr(92) + 'n', "' || chr(10) || '") + "'"} ELSE '' END AS body FROM pages WHERE page_id % 7 <> 3)
  SELECT page_id, url AS target_uri, octet_length(encode(body))::BIGINT AS bytes, md5(body) AS digest FROM p""")
 def warc_damaged_ranges(spark, sf_dir):
-    """Pages as WARC files, plain and packed, read in ranges of 64 kB by several tasks. Every seventh record says that it is far longer than it is, every other seventh
+    """Pages as WARC files, plain and packed, read in ranges of 64 kB by several tasks. Every seventh record says that it is longer than it is, by a few bytes or by far more than its file has; another seventh
     holds what looks like a record; all but the first kind come back once, and nothing else does."""
     pages = table(spark, sf_dir, "pages")
     body = F.concat(F.col("html"), F.when(F.col("page_id") % 7 == 1, F.expr(f"'{NESTED}'")).otherwise(""))
     block = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page: "), F.col("page_id").cast("string"), F.lit("\r\n\r\n"), body)
-    length = F.octet_length(block) + F.when(F.col("page_id") % 7 == 3, 5_000_000).otherwise(0)
+    length = F.octet_length(block) + F.when(F.col("page_id") % 28 == 10, 2_000_000_000).when(F.col("page_id") % 7 == 3, 11).otherwise(0)
     record = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: <"), F.col("url"), F.lit(">\r\nContent-Length: "), length.cast("string"), F.lit("\r\n\r\n"), block)
     root = shared.folder(spark, "warc")
     for name, odd in (("plain", 0), ("gzip", 1)):

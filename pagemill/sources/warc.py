@@ -235,6 +235,15 @@ def probe(ranges: DataFrame) -> DataFrame:
     return map_rows(ranges, rows, "uri string, part long, entry long, first_after long")
 
 
+#: Small ranges are read by one task up to so many bytes, as long as every core has one.
+TASK_BYTES = 16 << 20
+
+
+def tasks_for(spark: SparkSession, ranges: list[tuple]) -> int:
+    total = sum(r[4] - r[3] for r in ranges)
+    return max(1, min(len(ranges), 10_000, max(-(-total // TASK_BYTES), 2 * spark.sparkContext.defaultParallelism)))
+
+
 def ranges_of(spark: SparkSession, files: list[tuple[str, int]], split_bytes: int) -> list[tuple]:
     """Where each range of each file begins to read, so that every record is read once: (uri, size, part, start, end, entry).
 
@@ -249,7 +258,7 @@ def ranges_of(spark: SparkSession, files: list[tuple[str, int]], split_bytes: in
     rest: dict[str, tuple[int, int]] = {}
     for k in range(ROUNDS + 1):
         if ask:
-            found = probe(spark.createDataFrame(ask, RANGES + ", split long, guesses array<long>").repartition(min(len(ask), 10_000), "uri", "part"))
+            found = probe(spark.createDataFrame(ask, RANGES + ", split long, guesses array<long>").repartition(tasks_for(spark, ask), "uri", "part"))
             known |= {(r["uri"], r["part"]): (r["entry"], r["first_after"]) for r in found.collect()}
         ask = []
         for uri in many:
@@ -291,7 +300,7 @@ def read_files(spark: SparkSession, files: list[tuple[str, int]], split_bytes: i
     if not files:
         return spark.createDataFrame([], SCHEMA)
     ranges = [r for r in ranges_of(spark, files, split_bytes) if r[5] >= 0]
-    return read_ranges(spark.createDataFrame(ranges, RANGES).repartition(min(len(ranges), 10_000), "uri", "part"))
+    return read_ranges(spark.createDataFrame(ranges, RANGES).repartition(tasks_for(spark, ranges), "uri", "part"))
 
 
 def read_warc(spark: SparkSession, path: str, split_bytes: int = 64 << 20) -> DataFrame:
