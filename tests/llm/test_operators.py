@@ -740,7 +740,7 @@ MENU = "Home page and news and all about us and where to find the shop in town"
     [
         ("<nav>x</nav><article><h1>A &amp; B</h1><p>one\n two</p></article><footer>f</footer>", "A & B\none two"),
         ("<header>h</header><main><p>a<p>b<ul><li>c<li>d</ul></main><aside>s</aside>", "a\nb\nc\nd"),
-        ('<article><p>a</p><div id="comments"><p>hey</p></div><p>b</p><div class="side-by-side skip">c</div><div class="ad">buy</div></article>', "a\nb\nc"),
+        ('<article><p>a</p><div id="comments"><p>hey</p></div><p>b</p><div class="side-by-side skip">c</div><div class="ad">buy</div></article>', "a\nb\nc\nbuy"),
         ("<article>a <math><mi>x</mi></math> b <svg><text>s</text></svg><p hidden>h</p><noscript><p>n</p></noscript></article>", "a x b s\nh\nn"),
         ("<article><p><b>open<br><p>next</p></article>", "open\nnext"),
         ("<article><p>x</p><script>if (a<b) {'</p>'}</script><style>p{}</style><form>f</form><p>y&nbsp;z</p></article>", "x\ny z"),
@@ -799,6 +799,106 @@ def test_places_and_bars(spark):
     assert all(off[k] != want[k] for k in want)
 
 
+def test_names_of_classes_say_nothing(spark):
+    want = "first\nThe banner was unfurled.\nHe is related to me."
+    df = spark.createDataFrame([(1, "http://h/1", page('<article><p>first</p><p class="banner">The banner was unfurled.</p><p class="related">He is related to me.</p></article>'))], PAGES)
+    assert texts_of(df) == {1: want}
+
+
+@pytest.mark.parametrize("article", [True, False])
+def test_posts_with_quotes_stay(spark, article):
+    """Posts of one class with own words and quotes that two posts share, beside ordinary hosts whose adverts go."""
+    r = random.Random(5)
+    wrap = (lambda b: f"<article>{b}</article>") if article else (lambda b: b)
+    quotes, ads = [words(r, 40) for _ in range(10)], [words(r, 8) for _ in range(20)]
+    rows, want = [], {}
+    for k in range(20):
+        own = words(r, 30)
+        rows.append((k, f"http://forum/{k}", page(wrap(f'<div class="post"><p>{own}</p><blockquote>{quotes[k // 2]}</blockquote></div>'))))
+        want[k] = f"{own}\n{quotes[k // 2]}"
+    for k in range(300):
+        own = words(r, 30)
+        rows.append((1000 + k, f"http://ordinary{k % 60}/{k}", page(f'<div class="ad">{ads[k % 20]}</div><article><p>{own}</p></article>')))
+        want[1000 + k] = own
+    assert texts_of(spark.createDataFrame(rows, PAGES)) == want
+
+
+def test_a_paragraph_of_four_pages(spark):
+    """Eight hosts of six pages, a paragraph on four of each six: the paragraph may go, what is unique stays."""
+    r = random.Random(6)
+    rows, own = [], {}
+    for h in range(8):
+        shared = words(r, 20)
+        for k in range(6):
+            own[h * 6 + k] = words(r, 25)
+            rows.append((h * 6 + k, f"http://h{h}/{k}", page(f'<div class="text"><p>{own[h * 6 + k]}</p>' + (f"<p>{shared}</p>" if k < 4 else "") + "</div>")))
+    assert texts_of(spark.createDataFrame(rows, PAGES)) == own
+
+
+def brute_text(rows):
+    """The whole result by comparing every run, block and class with all others; hosts are small, so each is one shard."""
+    least = extract.MIN_RUN
+    found = [[x for x in extract.blocks_of(h) if x[0] != extract.CHROME] for _, _, h in rows]
+    content = ["\n".join([t for k, _, t in b if k == extract.ARTICLE] or [t for _, _, t in b]) for b in found]
+    streams = [extract.stream_of([t for _, _, t in b]) for b in found]
+    host = [u.split("/")[2] for _, u, _ in rows]
+    where = {}
+    for i, s in enumerate(streams):
+        for k in range(len(s) - least + 1):
+            where.setdefault((host[i], tuple(s[k : k + least])), set()).add(content[i])
+    with_block = {}
+    for i, b in enumerate(found):
+        for _, place, t in b:
+            if place:
+                with_block.setdefault(t, set()).add(content[i])
+    often = {t: len(c) >= 3 for t, c in with_block.items()}
+    seen, here = {}, {}
+    for i, b in enumerate(found):
+        for _, place, t in b:
+            if place:
+                seen.setdefault(place, []).append(often[t])
+                here.setdefault((host[i], place), []).append(often[t])
+    bad = lambda h, p: sum(x) >= 0.9 * len(x) if len(x := here[h, p]) >= 10 else len(seen[p]) >= 10 and sum(seen[p]) >= 0.9 * len(seen[p])
+    out = {}
+    for i, (b, s) in enumerate(zip(found, streams)):
+        pages_ = len({content[j] for j in range(len(rows)) if host[j] == host[i]})
+        times = [len(where[host[i], tuple(s[k : k + least])]) for k in range(len(s) - least + 1)] + [0] * least
+        kept, at = [], 1
+        for kind, place, t in b:
+            ws = t.split(" ")
+            need = max(5, -(-pages_ // 2)) if kind == extract.ARTICLE else max(3, -(-pages_ * 2 // 100))
+            mark = [any(times[k] >= need for k in range(max(0, j - least + 1), j + 1)) for j in range(at, at + len(ws))]
+            runs, j = [False] * len(ws), 0
+            while j < len(ws):
+                e = j
+                while e < len(ws) and mark[e] == mark[j]:
+                    e += 1
+                if mark[j] and (e - j >= least or all(mark)):
+                    runs[j:e] = [True] * (e - j)
+                j = e
+            left = " ".join(w for w, m in zip(ws, runs) if not m)
+            gone = place and (often[t] and not place.startswith("@") or bad(host[i], place))
+            if left and not gone:
+                kept.append(left)
+            at += len(ws) + 1
+        out[rows[i][0]] = "\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_whole_texts_against_brute_force(spark, seed):
+    r = random.Random(seed)
+    bars, ads, quotes = ([words(r, n) for _ in range(m)] for n, m in ((12, 3), (5, 6), (15, 8)))
+    rows = []
+    for k in range(90):
+        parts = [f"<div>{bars[k % 3]}</div>"] * (r.random() < 0.6) + [f'<div class="ad{k % 2}">{r.choice(ads) if r.random() < 0.95 else words(r, 5)}</div>'] * (r.random() < 0.8)
+        inner = [f"<p>{words(r, r.randint(3, 30))}</p>" for _ in range(r.randint(1, 4))] + [f'<div class="quote">{r.choice(quotes)}</div>'] * (r.random() < 0.3) + [f'<p class="more">{r.choice(ads)}</p>'] * (r.random() < 0.4)
+        r.shuffle(inner)
+        body = "".join(parts) + (f"<article>{''.join(inner)}</article>" if r.random() < 0.7 else "".join(inner)) + f"<p>{r.choice(bars)} {words(r, 4)}</p>" * (r.random() < 0.3)
+        rows.append((k, f"http://h{r.choice([0, 0, 0, 1, 2, 3, 4])}/{k}", page(body)))
+    assert texts_of(spark.createDataFrame(rows, PAGES).repartition(4)) == brute_text(rows)
+
+
 def test_the_array_decides_on_the_pages(spark):
     """On the given pages the articles remain, and without the array every page would keep an advert."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
