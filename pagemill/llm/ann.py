@@ -15,7 +15,7 @@ Defined results: vectors that are null, empty, all zero or hold null or
 non-finite components take no part, neither do rows without an id; vectors of another length
 than the query's are no candidates; of rows with a query's id none is its
 candidate; equal scores go to the smaller id; repeated rows are candidates each;
-an id that repeats among the queries counts once; other columns are ignored.
+of rows that repeat an id among the queries the one of least vector (component by component) asks; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -141,7 +141,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_
     n = index.count()
     parts = max(1, -(-n // (2 * BLOCK)))
     data = blocks(usable(index, id_col, vec_col), parts)
-    asked = blocks(usable(queries, id_col, vec_col).dropDuplicates(["id"]), 1, 1024).select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
+    asked = usable(queries, id_col, vec_col)
+    rest = [c for c in asked.columns if c != "id"]
+    asked = asked.groupBy("id").agg(F.min(F.struct(*rest)).alias("one")).select("id", *[f"one.{c}" for c in rest])  # of rows with one id the least vector asks
+    asked = blocks(asked, 1, 1024).select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
     asked = asked.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     met = data.join(asked, (F.col("part") == F.col("q_part")) & (F.col("dim") == F.col("q_dim"))).select("dim", "ids", "vectors", "q_ids", "q_vectors")
 

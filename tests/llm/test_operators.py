@@ -547,6 +547,16 @@ def test_few_rows(spark):
     assert ann.search(df.limit(0), df).count() == 0 and ann.search(df, df.limit(0)).count() == 0
 
 
+def test_a_repeated_query_id_asks_with_its_least_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, -1.0]), (0, [0.5, 2.0]), *((k, [float(np.cos(k)), float(np.sin(k))]) for k in range(1, 9))]
+    v = np.array([x for _, x in rows])
+    want = ann.brute_force(np.array([k for k, _ in rows]), v, np.array([0]), np.array([[0.5, -1.0]]))
+    for parts in (1, 2, 4, 7):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(parts)
+        assert [(r.query_id, r.rank, r.vec_id, round(r.score, 9)) for r in ann.search(df, df.where("vec_id = 0")).orderBy("rank").collect()] == [(q, k, i, round(x, 9)) for q, k, i, x in want]
+    assert len(want) == 5
+
+
 def test_estimates_are_within_their_bounds():
     r = np.random.default_rng(8)
     v, q = r.normal(size=(2000, 64)), r.normal(size=(20, 64))
