@@ -76,6 +76,20 @@ def reverse_scan(spark, sf_dir):
     return setops.from_key(table(spark, sf_dir, "nation").select("n_name"), "n_name", "M", up=False)
 
 
+@query("WITH a AS (SELECT user_id AS key, value FROM events WHERE event_type = 'click' UNION ALL SELECT user_id, value * 10 FROM events WHERE event_type <> 'click') SELECT key, max(value) AS value FROM a WHERE value IS NOT NULL GROUP BY key")
+def merge_by_function(spark, sf_dir):
+    """Two tables whose values of a key are merged by a function of two values."""
+    e = table(spark, sf_dir, "events").withColumnRenamed("user_id", "key")
+    return setops.merge_equal([e.where("event_type = 'click'").select("key", "value"), e.where("event_type <> 'click'").select("key", (F.col("value") * 10).alias("value"))], "key", "value", max)
+
+
+@query("WITH t AS (SELECT lang AS key, max_by(text, (length(text), text)) AS text FROM documents GROUP BY lang) SELECT key, text AS value FROM t")
+def merge_longest_text(spark, sf_dir):
+    """The longest text of each language; a key of very many rows is merged in each task first."""
+    d = table(spark, sf_dir, "documents").select(F.col("lang").alias("key"), F.col("text").alias("value"))
+    return setops.merge_equal([d, d.limit(0)], "key", "value", lambda a, b: max(a, b, key=lambda t: (len(t), t)))
+
+
 EVENT_SCORES = "SELECT event_type AS element, count(*) AS score, min(event_id) AS arrival FROM events GROUP BY event_type"
 USER_SCORES = "SELECT user_id AS element, count(*) AS score, min(event_id) AS arrival FROM events GROUP BY user_id"
 

@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from pagemill.functions import lines
 from pagemill.functions import text as T
 from pagemill.functions import times
 from pagemill.operators import bayes, joins, lookup, scores
@@ -99,6 +100,27 @@ def common_words_topk(spark, sf_dir):
     return scores.common_words(docs(spark, sf_dir), "text", 5, 100)
 
 
+@query(r"SELECT word, count(*) AS score FROM (SELECT unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word FROM documents) WHERE length(word) >= 3 GROUP BY word ORDER BY score DESC, word LIMIT 200")
+def frequent_words(spark, sf_dir):
+    """By bounded counters and an exact second pass; few counters, so that they do not hold all words."""
+    return scores.frequent_words(docs(spark, sf_dir), "text", 3, 200, capacity=2000)
+
+
+RUN = dt.date(2024, 3, 10)
+#: Lines with the day of an order in ten forms, by its key.
+LINES = """CASE o_orderkey % 10 WHEN 0 THEN {y} || '/' || {mm} || '/' || {dd} WHEN 1 THEN {wd} || ', ' || {d} || ' ' || {mon} || ' ' || {y} WHEN 2 THEN {wd} || ' ' || {mon} || ' ' || {d} || ' 10:20:30 ' || {y}
+ WHEN 3 THEN 'paid ' || {dd} || '.' || {mm} || '.' || {y} WHEN 4 THEN 'on ' || {en} || ' ' || {d} || 'th, ' || {y} WHEN 5 THEN {y} || '-' || {mm} || '-' || {dd} WHEN 6 THEN element_at(array('today', 'gestern', 'uebermorgen'), cast(1 + o_orderkey div 10 % 3 as int))
+ WHEN 7 THEN element_at(array('Silvester', 'Karfreitag', 'Easter Monday'), cast(1 + o_orderkey div 10 % 3 as int)) WHEN 8 THEN 'am ' || {d} || '. ' || {de} ELSE 'order ' || o_orderkey END"""
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 10 <= 5 THEN o_orderdate::DATE WHEN o_orderkey % 10 = 6 THEN [DATE '2024-03-10', DATE '2024-03-09', DATE '2024-03-12'][1 + o_orderkey // 10 % 3]
+ WHEN o_orderkey % 10 = 7 THEN [DATE '2024-12-31', DATE '2024-03-29', DATE '2024-04-01'][1 + o_orderkey // 10 % 3] WHEN o_orderkey % 10 = 8 THEN make_date(2024, month(o_orderdate), day(o_orderdate)) END AS day FROM orders""")
+def dates_of_lines(spark, sf_dir):
+    part = lambda form: f"date_format(o_orderdate, '{form}')"
+    text = F.expr(LINES.format(dd=part("dd"), mm=part("MM"), y=part("yyyy"), d=part("d"), wd=part("EEE"), mon=part("MMM"), en=EN, de=DE))
+    return table(spark, sf_dir, "orders").select("o_orderkey", lines.line_date(text, RUN).alias("day"))
+
+
 FEATURES = r"SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9_]', ' ', 'g'), ' +'), lambda w: length(w) > 2))) AS feature FROM documents"
 
 
@@ -212,6 +234,33 @@ def gazetteer(spark, sf_dir):
     return table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), n.alias("id"), (n * 7.0 - 80).cast("float").alias("lat"), (n * 14.0 - 170).cast("float").alias("lon"), ((n * 7919) % 20011).cast("long").alias("population"))
 
 
+CODES = "SELECT n_name AS name, n_nationkey AS id, (n_nationkey * 7919 % 20011)::BIGINT AS population, upper(substring(n_name, 1, 2)) AS plate, '0' || n_nationkey AS dial, (10000 + n_nationkey)::VARCHAR AS zip FROM nation"
+
+
+def coded_gazetteer(spark, sf_dir):
+    return gazetteer(spark, sf_dir).select("*", F.upper(F.left("name", F.lit(2))).alias("plate"), F.concat(F.lit("0"), F.col("id").cast("string")).alias("dial"), (10000 + F.col("id")).cast("string").alias("zip"))
+
+
+@query(f"""WITH a AS ({CODES}), b AS (SELECT 'New ' || name AS name, id + 100 AS id, population // 2 AS population, plate, dial, zip FROM a), g AS (SELECT 0 AS service, * FROM a UNION ALL SELECT 1, * FROM b),
+ q AS (SELECT lower(left(name, 2)) AS asked FROM a UNION SELECT plate FROM a UNION SELECT dial FROM a UNION SELECT zip FROM a UNION SELECT 'n'),
+ m AS (SELECT asked, service, id, name, population, min(CASE WHEN starts_with(lower(name), lower(asked)) THEN 1 WHEN plate = asked THEN 2 WHEN dial = asked THEN 3 ELSE 4 END) AS h FROM q JOIN g ON starts_with(lower(name), lower(asked)) OR plate = asked OR dial = asked OR zip = asked GROUP BY ALL)
+ SELECT asked, service, id, name AS place, ['name', 'plate', 'dial', 'zip'][h] AS how, population, row_number() OVER (PARTITION BY asked ORDER BY population DESC, service, id) AS rank FROM m""")
+def places_by_any_name(spark, sf_dir):
+    """Two gazetteers asked by beginnings of names, plates, dialling and postal codes."""
+    a = coded_gazetteer(spark, sf_dir)
+    b = a.withColumns({"name": F.concat(F.lit("New "), "name"), "id": F.col("id") + 100, "population": F.expr("population div 2")})
+    q = a.select(F.explode(F.array(F.lower(F.left("name", F.lit(2))), "plate", "dial", "zip", F.lit("n"))).alias("asked")).distinct()
+    return lookup.find_by_any_name(q, "asked", [a, b]).select("asked", "service", "id", "place", "how", "population", "rank")
+
+
+@query(f"""WITH g AS ({CODES}), q AS (SELECT DISTINCT '0' || (c_custkey % 31) || '-' || c_custkey AS number FROM customer),
+ m AS (SELECT number, dial, name, id, row_number() OVER (PARTITION BY number ORDER BY length(dial) DESC) AS r FROM q JOIN g ON starts_with(replace(number, '-', ''), dial)) SELECT number, dial, name AS place, id FROM m WHERE r = 1""")
+def places_by_number(spark, sf_dir):
+    k = F.col("c_custkey").cast("string")
+    q = table(spark, sf_dir, "customer").select(F.concat(F.lit("0"), (F.col("c_custkey") % 31).cast("string"), F.lit("-"), k).alias("number"))
+    return lookup.by_number(q, "number", coded_gazetteer(spark, sf_dir))
+
+
 @query("""WITH g AS (SELECT lower(n_name) AS k, n_name AS place, n_nationkey AS id, (n_nationkey * 7919 % 20011)::BIGINT AS population FROM nation), q AS (SELECT DISTINCT n_name AS name FROM nation UNION SELECT 'nowhere')
  SELECT name, place, id, population, row_number() OVER (PARTITION BY name ORDER BY population DESC, id) AS rank FROM q JOIN g ON lower(name) = k""")
 def gazetteer_find(spark, sf_dir):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Callable
 from functools import reduce
 
 import numpy as np
@@ -15,10 +16,10 @@ from pagemill.arrow import map_rows
 from pagemill.operators import literals
 
 
-def map_join(left: DataFrame, right: DataFrame, key: str, value: str, concat: bool = False) -> DataFrame:
-    """Common keys with the left value, or with both values one after the other."""
+def map_join(left: DataFrame, right: DataFrame, key: str, value: str, concat: bool = False, merge: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Common keys with the left value, with both values one after the other, or with what ``merge`` makes of the two."""
     r = right.select(key, F.col(value).alias("_other"))
-    v = F.concat(F.col(value), F.col("_other")) if concat else F.col(value)
+    v = merge(F.col(value), F.col("_other")) if merge else F.concat(F.col(value), F.col("_other")) if concat else F.col(value)
     return left.select(key, value).join(r, key).select(key, v.alias(value))
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.functions import geo
 from pagemill.functions import text as T
+from pagemill.operators.joins import recommend
 
 
 def vocabulary(lines: DataFrame, name: Column) -> DataFrame:
@@ -19,14 +23,6 @@ def vocabulary(lines: DataFrame, name: Column) -> DataFrame:
     return raw.select(name.alias("vocabulary"), term.alias("term"), F.explode(words).alias("synonym"), link.alias("objectlink"))
 
 
-def word_grams(docs: DataFrame, id_col: str, text: str, most: int = 4) -> DataFrame:
-    """Distinct normalised runs of one to so many words; they are made within a row, so its words are not copied for each."""
-    words = F.filter(F.split(T.normalized_term(F.regexp_replace(F.col(text), r"[.!?;:()]", " ")), " +"), lambda w: w != "")
-    w = docs.select(id_col, words.alias("w")).where(F.size("w") > 0)
-    of_length = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - (n - 1)), lambda i: F.array_join(F.slice("w", i, n), " "))).otherwise(F.expr("cast(array() as array<string>)"))
-    return w.select(id_col, F.explode(F.array_distinct(F.concat("w", *[of_length(n) for n in range(2, most + 1)]))).alias("gram"))
-
-
 def facets(docs: DataFrame, id_col: str, text: str, vocab: DataFrame) -> DataFrame:
     """(document, vocabulary, terms): the terms of each vocabulary whose synonyms a text holds, of any number of words.
 
@@ -71,6 +67,37 @@ def find_places(asked: DataFrame, name: str, gazetteer: DataFrame) -> DataFrame:
     return hit.withColumn("rank", F.row_number().over(Window.partitionBy(name).orderBy(F.col("population").desc(), "id")))
 
 
+#: How a name was understood, in the order in which the ways are tried.
+WAYS = ("name", "plate", "dial", "zip")
+
+
+def find_by_any_name(asked: DataFrame, name: str, services: list[DataFrame]) -> DataFrame:
+    """Places that begin with a name (whatever its case), or have it as plate, dialling code or postal code, over several gazetteers.
+
+    A gazetteer has name, id, lat, lon and population, and plate, dial and zip, which may be null. Result: (name, service, id, place, how, population, rank): each place once for
+    a name and service, by the first way that finds it; larger places first, then service and id."""
+    out = []
+    for k, g in enumerate(services):
+        g = g.select(F.col("name").alias("place"), "id", "lat", "lon", "population", "plate", "dial", "zip")
+        begins = recommend(g, asked, "place", name, ignore_case=True, longer=False).select(F.col("query").alias("q"), F.col("word").alias("place")).join(g, "place").withColumn("how", F.lit(0))
+        ways = F.array(*[F.struct(F.lit(i).alias("how"), F.col(w).cast("string").alias("q")) for i, w in enumerate(WAYS[1:], 1)])
+        codes = g.select("*", F.inline(ways)).where("q is not null").join(asked.select(F.col(name).alias("q")).distinct(), "q")
+        both = begins.unionByName(codes.select(begins.columns)).groupBy("q", "id").agg(F.min_by(F.struct("place", "lat", "lon", "population", "how"), F.struct("how", "place")).alias("p"))
+        out.append(both.select(F.col("q").alias(name), F.lit(k).alias("service"), "id", "p.place", "p.lat", "p.lon", F.try_element_at(F.array(*map(F.lit, WAYS)), F.col("p.how") + 1).alias("how"), "p.population"))
+    met = reduce(DataFrame.unionByName, out)
+    order = Window.partitionBy(name).orderBy(*geo.place_key(F.col("population"), F.col("service")), "id")
+    return met.withColumn("rank", F.row_number().over(order))
+
+
+def by_number(asked: DataFrame, number: str, gazetteer: DataFrame, longest: int = 15) -> DataFrame:
+    """Each number with the place of the longest dialling code that it begins with; signs between digits do not count. Numbers meet codes by equality, once for each length up to ``longest``."""
+    digits = F.regexp_replace(F.col(number), "[^0-9]", "")
+    heads = asked.select(number).distinct().withColumn("_d", digits).where("_d <> ''").withColumn("dial", F.explode(F.transform(F.sequence(F.lit(1), F.least(F.length("_d"), F.lit(longest))), lambda n: F.left("_d", n))))
+    g = gazetteer.where("dial is not null").groupBy("dial").agg(F.min_by(F.struct("name", "id"), F.struct(-F.col("population"), F.col("id"))).alias("p"))
+    met = heads.join(g, "dial").groupBy(number).agg(F.max_by(F.struct("dial", "p"), F.length("dial")).alias("b"))
+    return met.select(number, F.col("b.dial").alias("dial"), F.col("b.p.name").alias("place"), F.col("b.p.id").alias("id"))
+
+
 def put(vocab: DataFrame, additions: DataFrame) -> DataFrame:
     """A vocabulary with further rows; those of a term that is there already replace its object link."""
     new = additions.groupBy("vocabulary", "term").agg(F.max("objectlink").alias("new"))

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,3 +61,75 @@ def common_words(docs: DataFrame, text: str, least_length: int, size: int) -> Da
     """The most frequent words of some length, exactly counted; ties go to the lesser word."""
     words = docs.select(F.explode(F.split(F.lower(F.col(text)), r"[^\p{L}]+")).alias("word")).where(F.length("word") >= least_length)
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("score")).orderBy(F.col("score").desc(), "word").limit(size)
+
+
+def shrunk(counts: dict[str, int], capacity: int) -> int:
+    """Leaves at most so many counters by taking the same from all; says how much. What is no longer there had no more than that."""
+    if len(counts) <= capacity:
+        return 0
+    cut = sorted(counts.values(), reverse=True)[capacity]
+    for w in [w for w, n in counts.items() if n <= cut]:
+        del counts[w]
+    for w in counts:
+        counts[w] -= cut
+    return cut
+
+
+def counters(words: DataFrame, column: str, capacity: int) -> DataFrame:
+    """(word, n) of at most ``capacity`` words of each task, and (null, n) with what its counts may lack. ``column`` is an array of words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        lost = 0
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                got = b.column(0).slice(at, min(500, b.num_rows - at)).flatten().value_counts()
+                for w, n in zip(got.field("values").to_pylist(), got.field("counts").to_pylist()):
+                    counts[w] = counts.get(w, 0) + n
+                if len(counts) > 2 * capacity:
+                    lost += shrunk(counts, capacity)
+        lost += shrunk(counts, capacity)
+        yield pa.RecordBatch.from_arrays([pa.array([*counts, None], pa.string()), pa.array([*counts.values(), lost], pa.int64())], names=["word", "n"])
+
+    return words.select(column).mapInArrow(run, "word string, n long")
+
+
+def exact_counts(words: DataFrame, column: str, wanted: list[str]) -> DataFrame:
+    """(word, n): how often each of the wanted words occurs; a row for each of them and task is shuffled."""
+    known = pa.array(wanted, pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(known), np.int64)
+        for b in batches:
+            at = pc.index_in(b.column(0).flatten(), value_set=known).drop_null().to_numpy()
+            total += np.bincount(at, minlength=len(known))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([known.take(pa.array(some)), pa.array(total[some])], names=["word", "n"])
+
+    return words.select(column).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("score"))
+
+
+def frequent_words(docs: DataFrame, text: str, least_length: int, size: int, capacity: int = 50_000) -> DataFrame:
+    """The same as ``common_words``, (word, score), without a shuffle of all words.
+
+    Each task keeps a bounded number of counters; where there are too many it takes the same from all and drops those that come to
+    nothing (Misra and Gries), so a count lacks no more than it took. The counters' sums give the words that may be among the most frequent, which are then counted exactly. If a word
+    that was not counted could still belong to them, the counters are doubled; the counts are always those of all words."""
+    split = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}]+"), lambda w: F.length(w) >= least_length)
+    words = docs.select(split.alias("w")).where(F.size("w") > 0)
+    while True:
+        told = counters(words, "w", capacity).groupBy("word").agg(F.sum("n").alias("n"))
+        top = told.orderBy(F.col("word").isNotNull(), F.col("n").desc(), "word").limit(4 * size + 1).collect()
+        lost = next((r["n"] for r in top if r["word"] is None), 0)
+        seen = [r for r in top if r["word"] is not None]
+        best = exact_counts(words, "w", [r["word"] for r in seen]).orderBy(F.col("score").desc(), "word").limit(size)
+        if len(seen) < 4 * size and not lost:
+            return best  # every word was counted
+        found = best.collect()
+        # what was not counted exactly has at most this: no counter, or a lesser one than all that were taken
+        most = (seen[-1]["n"] if len(seen) == 4 * size else 0) + lost
+        if len(found) == size and found[-1]["score"] > most:
+            return docs.sparkSession.createDataFrame([tuple(r) for r in found], best.schema)
+        capacity *= 2
+        if capacity > 20_000_000:
+            return common_words(docs, text, least_length, size)

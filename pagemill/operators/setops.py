@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pagemill.arrow import map_rows
 from pagemill.operators.numbering import numbered
 
 
@@ -16,6 +18,43 @@ def merge_first_wins(tables: list[DataFrame], key: str, value: str) -> DataFrame
     return ranked.groupBy(key).agg(F.min_by(F.col(value), F.struct("_source", F.col(value))).alias(value))
 
 
+def merge_equal(tables: list[DataFrame], key: str, value: str, merge: Callable, held: int = 100_000) -> DataFrame:
+    """Union by key; of equal keys the values are merged by a function of two values, that of the earlier table first. It has to be associative, and for values of one table commutative.
+    A null value is no value.
+
+    A task merges what it has of a key before the rows are shuffled, so a key of very many rows arrives as one row from each
+    task; it holds at most so many keys at once."""
+    both = reduce(DataFrame.unionByName, [t.select(key, value, F.lit(i).alias("_source")) for i, t in enumerate(tables)])
+    kind = both.schema
+
+    def combine(it):
+        known: dict = {}
+        for r in it:
+            if r[value] is None:
+                continue
+            k = (r["_source"], r[key])
+            known[k] = merge(known[k], r[value]) if k in known else r[value]
+            if len(known) >= held:
+                yield from ({key: a, value: v, "_source": s} for (s, a), v in known.items())
+                known.clear()
+        yield from ({key: a, value: v, "_source": s} for (s, a), v in known.items())
+
+    def together(it):
+        now, last = None, object()
+        for r in it:
+            if now is not None and r[key] == last:
+                now[value] = merge(now[value], r[value])
+            else:
+                if now is not None:
+                    yield now
+                now, last = dict(r), r[key]
+        if now is not None:
+            yield now
+
+    early = map_rows(both, combine, kind, size=5000)
+    return map_rows(early.repartition(key).sortWithinPartitions(key, "_source"), together, kind, size=5000).select(key, value)
+
+
 def stack(tables: list[DataFrame]) -> DataFrame:
     """All rows of all tables; None counts as an empty one."""
     return reduce(DataFrame.unionByName, [t for t in tables if t is not None])

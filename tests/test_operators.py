@@ -116,3 +116,71 @@ def test_many_categories_and_contexts(spark):
     assert {(x.i, x.context, x.category, round(x.score, 6)) for x in got.collect()} == plain_bayes(texts, labels)
     empty = bayes.train_contexts(feats, spark.createDataFrame([], "i int, context string, category string"), "i")
     assert bayes.best_of(feats, empty, "i", docs).count() == 0
+
+
+def test_merging_by_a_function(spark):
+    a = spark.createDataFrame([("k", "a"), ("x", "1"), ("n", None), (None, "null key")], "key string, value string").repartition(3)
+    b = spark.createDataFrame([("k", "b"), ("k", None), ("y", "2"), (None, "again")], "key string, value string").repartition(2)
+    got = setops.merge_equal([a, b, a.limit(0)], "key", "value", lambda x, y: x + y)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("k", "ab"), ("x", "1"), ("y", "2"), (None, "null keyagain")], key=repr)
+    many = spark.range(5000).selectExpr("case when id % 3 = 0 then 'hot' else cast(id as string) end as key", "id as value").repartition(6)
+    for held in (10, 100_000):
+        got = {r.key: r.value for r in setops.merge_equal([many], "key", "value", lambda x, y: x + y, held).collect()}
+        assert got["hot"] == sum(range(0, 5000, 3)) and len(got) == 1 + sum(1 for i in range(5000) if i % 3)
+    joined = joins.map_join(a, b, "key", "value", merge=lambda x, y: F.greatest(x, y))
+    assert {(r.key, r.value) for r in joined.collect()} == {("k", "b"), ("k", "a")}
+
+
+@pytest.mark.parametrize("capacity", [1, 7, 60, 5000])
+def test_frequent_words_are_exact(spark, capacity):
+    r = random.Random(7)
+    texts = [" ".join(f"w{'abcdefghij'[min(int(r.expovariate(0.4)), 9)]}{r.choice('abcdefghijklmnop') * r.choice([1, 2])}" for _ in range(r.randint(0, 60))) for _ in range(300)] + [None, ""]
+    docs = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+    want = [tuple(x) for x in scores.common_words(docs, "t", 3, 8).collect()]
+    got = sorted(map(tuple, scores.frequent_words(docs, "t", 3, 8, capacity).collect()), key=lambda x: (-x[1], x[0]))
+    assert got == want
+    assert scores.frequent_words(docs.limit(0), "t", 3, 8, capacity).count() == 0
+
+
+def test_counters_lose_no_more_than_they_say():
+    r = random.Random(9)
+    words = [f"w{int(r.expovariate(0.05))}" for _ in range(5000)]
+    true, counts, lost = Counter(words), {}, 0
+    for at in range(0, 5000, 250):
+        for w in words[at : at + 250]:
+            counts[w] = counts.get(w, 0) + 1
+        lost += scores.shrunk(counts, 10)
+        assert len(counts) <= 10
+    assert all(0 <= true[w] - counts.get(w, 0) <= lost for w in true)
+
+
+def test_lines(spark):
+    import datetime as dt
+
+    from pagemill.functions import lines, times
+
+    run = dt.date(2023, 6, 5)
+    given = {"2020/02/03": "2020-02-03", "Tue, 4 Jul 2017": "2017-07-04", "Tue Jul  4 09:10:11 2017": "2017-07-04", "3.2.2020 or 1.1.2019": "2019-01-01", "29.2.2019": "2019-03-01", "31.4.2020": None, "1.1.12": "2012-01-01",
+        "Christmas": "2023-12-25", "Easter Sunday": "2023-04-09", "christmas": None, "tomorrow": "2023-06-06", "Tomorrow": None, "am 3. März": "2023-03-03", "on May 4th": "2023-05-04", "4 mayo 2021": "2021-05-04", "12/31/2021": "2021-12-31", "1.1.2999": None, "": None, "none": None, "99.99.2020": None}
+    df = spark.createDataFrame([*given.items(), (None, None)], "line string, want string")
+    got = df.select("line", "want", lines.line_date(F.col("line"), run).cast("string").alias("day"))
+    assert [(r.line, r.day) for r in got.collect()] == [(r.line, r.want) for r in df.collect()]
+    assert "Python" not in plan_of(got)
+    # beside the reader of running text, which gives all dates
+    for text in ("bis 4.5.2021", "le 3 mars 2020, ici", "May 5, 2022", "x 2021-03-04 y", "3-Feb-2019"):
+        found = times.dates_in(text, run)
+        assert spark.createDataFrame([(text,)], "t string").select(lines.line_date(F.col("t"), run)).first()[0] == found[0]
+
+
+def test_places_by_codes(spark):
+    from pagemill.operators import lookup
+
+    form = "name string, id int, lat float, lon float, population long, plate string, dial string, zip string"
+    one = spark.createDataFrame([("Frankfurt", 1, 50.0, 8.0, 700, "F", "069", "60311"), ("Frankfurt Oder", 2, 52.0, 14.0, 50, "FF", "0335", None), ("fulda", 3, 0.0, 0.0, 60, None, "0661", "36037")], form)
+    two = spark.createDataFrame([("Frankfurt", 9, 50.0, 8.0, 700, None, None, None)], form)
+    asked = spark.createDataFrame([("f",), ("F",), ("069",), ("FF",), ("60311",), ("",), (None,), ("nothing",)], "q string")
+    got = sorted((r.q, r["rank"], r.service, r.id, r.how) for r in lookup.find_by_any_name(asked, "q", [one, two]).collect())
+    names = [(1, 0, 1, "name"), (2, 1, 9, "name"), (3, 0, 3, "name"), (4, 0, 2, "name")]
+    assert got == sorted([*(("f", *x) for x in names), *(("F", *x) for x in names), ("069", 1, 0, 1, "dial"), ("FF", 1, 0, 2, "plate"), ("60311", 1, 0, 1, "zip")])
+    numbers = spark.createDataFrame([("069-12 34",), ("0335/1",), ("06612",), ("1",), ("",), (None,)], "n string")
+    assert sorted((r.n, r.dial, r.id) for r in lookup.by_number(numbers, "n", one).collect()) == [("0335/1", "0335", 2), ("06612", "0661", 3), ("069-12 34", "069", 1)]
