@@ -895,8 +895,8 @@ def brute_text(rows):
     return out
 
 
-@pytest.mark.parametrize("seed, few", [(0, None), (1, 0), (2, None), (3, 0)])
-def test_whole_texts_against_brute_force(spark, seed, few):
+@pytest.mark.parametrize("seed, in_tasks", [(0, extract.FEW), (1, 0), (2, extract.FEW), (3, 0)])
+def test_whole_texts_against_brute_force(spark, seed, in_tasks):
     r = random.Random(seed)
     bars, ads, quotes = ([words(r, n) for _ in range(m)] for n, m in ((12, 3), (5, 6), (15, 8)))
     rows = []
@@ -906,7 +906,7 @@ def test_whole_texts_against_brute_force(spark, seed, few):
         r.shuffle(inner)
         body = "".join(parts) + (f"<article>{''.join(inner)}</article>" if r.random() < 0.7 else "".join(inner)) + f"<p>{r.choice(bars)} {words(r, 4)}</p>" * (r.random() < 0.3)
         rows.append((k, f"http://h{r.choice([0, 0, 0, 1, 2, 3, 4])}/{k}", page(body)))
-    assert texts_of(spark.createDataFrame(rows, PAGES).repartition(4), few=few) == brute_text(rows)
+    assert texts_of(spark.createDataFrame(rows, PAGES).repartition(4), in_tasks=in_tasks) == brute_text(rows)
 
 
 def test_the_array_decides_on_the_pages(spark):
