@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pagemill.operators import documents as D
+from pagemill.operators import documents as D, numbering
 from pagemill.operators import joins, scores, setops
 from pagemill.queries import query, table
 
@@ -29,9 +29,12 @@ def set_intersect(spark, sf_dir):
     return joins.intersection(table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("long").alias("k")), table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("long").alias("k")), "k")
 
 
-@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders))")
 def exclude_anti(spark, sf_dir):
-    return joins.difference(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
+    """Customers without an order above the mean."""
+    o = table(spark, sf_dir, "orders")
+    dear = o.join(F.broadcast(o.agg(F.avg("o_totalprice").alias("mean"))), F.col("o_totalprice") > F.col("mean"))  # of one row
+    return joins.difference(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), dear.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey")
 
 
 @query("SELECT count(*) = 0 AS included FROM (SELECT DISTINCT l_orderkey FROM lineitem) WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)")
@@ -71,9 +74,12 @@ def rotate_limit(spark, sf_dir):
     return setops.rotate(table(spark, sf_dir, "nation").select("n_name"), [F.col("n_name")], 60)
 
 
-@query("SELECT n_name FROM nation WHERE n_name <= 'M' ORDER BY n_name DESC")
+@query("SELECT c_name FROM customer WHERE c_name <= (SELECT quantile_disc(c_name, 0.5) FROM customer) ORDER BY c_name DESC")
 def reverse_scan(spark, sf_dir):
-    return setops.from_key(table(spark, sf_dir, "nation").select("n_name"), "n_name", "M", up=False)
+    """Names downwards from the one in the middle."""
+    c = table(spark, sf_dir, "customer").select("c_name")
+    middle = numbering.numbered(c, [F.col("c_name")], "n").where(F.col("n") == (c.count() + 1) // 2).first()["c_name"]
+    return setops.from_key(c, "c_name", middle, up=False)
 
 
 @query("WITH a AS (SELECT user_id AS key, value FROM events WHERE event_type = 'click' UNION ALL SELECT user_id, value * 10 FROM events WHERE event_type <> 'click') SELECT key, max(value) AS value FROM a WHERE value IS NOT NULL GROUP BY key")

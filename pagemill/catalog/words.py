@@ -53,9 +53,12 @@ def keywords_split(spark, sf_dir):
 CHARSETS = {"utf8": "UTF-8", "UTF_8": "UTF-8", "iso8859_1": "ISO-8859-1", "cp1252": "windows-1252", "x": None, "us-ascii": "US-ASCII", "latin1": "ISO-8859-1", "koi8-r": "KOI8-R"}
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{k}', " + (f"'{v}'" if v else "NULL") + ")" for k, v in CHARSETS.items()) + ") AS v(given, charset)")
+GIVEN = "CASE n_nationkey % 8 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(CHARSETS)) + " END"
+
+
+@query(f"SELECT n_nationkey, {GIVEN} AS given, CASE n_nationkey % 8 " + " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(CHARSETS.values()) if v) + " END AS charset FROM nation")
 def charset_patch(spark, sf_dir):
-    return spark.createDataFrame([(k,) for k in CHARSETS], "given string").select("given", T.charset_name(F.col("given")).alias("charset"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.expr(GIVEN).alias("given")).withColumn("charset", T.charset_name(F.col("given")))
 
 
 @query("SELECT doc_id, CASE WHEN n_chars * 1000 > 1073741824 THEN (n_chars * 1000 // 1073741824) || ' gbyte' WHEN n_chars * 1000 > 1048576 THEN (n_chars * 1000 // 1048576) || ' mbyte' WHEN n_chars * 1000 > 1024 THEN (n_chars * 1000 // 1024) || ' kbyte' ELSE (n_chars * 1000) || ' byte' END AS size FROM documents")

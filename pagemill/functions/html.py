@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections import Counter
+from collections import Counter, deque
 from urllib.parse import urljoin
 
 from pyspark.sql import DataFrame
@@ -141,6 +141,7 @@ class Reader:
         self.base = url
         self.lists: dict[str, list] = {k: [] for k in ("titles", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dt", "dd", "articles", "anchors", "images", "icons", "css", "scripts", "frames", "iframes", "embeds", "rss", "start_dates", "end_dates", "ld")}
         self.styles = {k: Counter() for k in ("bold", "italic", "underline")}
+        self.lists["anchors"] = deque(maxlen=MAX_LINKS)  # the oldest go
         self.metas: dict[str, str] = {}
         self.hreflang: dict[str, str] = {}
         self.navigation: dict[str, str] = {}
@@ -159,7 +160,7 @@ class Reader:
             self.lists[kind].append(value)
 
     def anchor(self, url: str, text: str = "", name: str = "", rel: str = "") -> None:
-        if url and len(self.lists["anchors"]) < MAX_LINKS:
+        if url:
             self.put("anchors", {"url": url, "text": text, "name": name, "rel": rel})
 
     def read(self, page: str) -> None:
@@ -331,7 +332,7 @@ class Reader:
 
     def result(self) -> dict:
         styles = {k: [{"text": t, "n": n, "first": i} for i, (t, n) in enumerate(c.items())] for k, c in self.styles.items()}
-        return self.lists | styles | self.one | {"metas": list(self.metas.items()), "hreflang": list(self.hreflang.items()), "navigation": list(self.navigation.items()), "text": " ".join(self.text), "binary": False}
+        return self.lists | styles | self.one | {"anchors": list(self.lists["anchors"]), "metas": list(self.metas.items()), "hreflang": list(self.hreflang.items()), "navigation": list(self.navigation.items()), "text": " ".join(self.text), "binary": False}
 
 
 def parse(page: str | None, url: str | None) -> dict:

@@ -95,3 +95,9 @@ def test_collections_and_dates(spark):
 def test_word_count(spark):
     df = spark.createDataFrame([("",), ("a",), ("a  b",), (None,)], "t string")
     assert [r.n for r in df.select(T.word_count(F.col("t")).alias("n")).collect()] == [0, 1, 3, 0]
+
+
+def test_of_too_many_links_the_oldest_go():
+    page = "".join(f'<a href="/{i}">x</a>' for i in range(html.MAX_LINKS + 5))
+    got = html.parse(page, "http://h/")["anchors"]
+    assert len(got) == html.MAX_LINKS and got[0]["url"] == "http://h/5" and got[-1]["url"] == f"http://h/{html.MAX_LINKS + 4}"
