@@ -106,7 +106,7 @@ def common_words_topk(spark, sf_dir):
 @query(r"SELECT word, count(*) AS score FROM (SELECT unnest(string_split_regex(lower(text), '[^\p{L}]+')) AS word FROM documents) WHERE length(word) >= 3 GROUP BY word ORDER BY score DESC, word LIMIT 200")
 def frequent_words(spark, sf_dir):
     """By bounded counters and an exact second pass; few counters, so that they do not hold all words."""
-    return scores.frequent_words(docs(spark, sf_dir), "text", 3, 200, capacity=2000)
+    return scores.frequent_words(docs(spark, sf_dir), "text", 3, 200, capacity=20_000)
 
 
 RUN = dt.date(2024, 3, 10)
@@ -121,7 +121,7 @@ LINES = """CASE o_orderkey % 10 WHEN 0 THEN {y} || '/' || {mm} || '/' || {dd} WH
 def dates_of_lines(spark, sf_dir):
     part = lambda form: f"date_format(o_orderdate, '{form}')"
     text = F.expr(LINES.format(dd=part("dd"), mm=part("MM"), y=part("yyyy"), d=part("d"), wd=part("EEE"), mon=part("MMM"), en=EN, de=DE))
-    return table(spark, sf_dir, "orders").select("o_orderkey", lines.line_date(text, RUN).alias("day"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.alias("line")).select("o_orderkey", lines.line_date(F.col("line"), RUN).alias("day"))
 
 
 FEATURES = r"SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(regexp_replace(lower(text), '[^a-z0-9_]', ' ', 'g'), ' +'), lambda w: length(w) > 2))) AS feature FROM documents"

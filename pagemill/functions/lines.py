@@ -27,24 +27,29 @@ def _map(values: dict) -> Column:
     return F.create_map(*[F.lit(x) for kv in values.items() for x in kv])
 
 
-def _day(day: Column, month: Column, year: Column, run: dt.date) -> Column:
-    """A date of texts or numbers; null where there is none. The 29th of February of other years is the 1st of March."""
-    names = _map(times.MONTH)
-    low = F.lower(month.cast("string"))
+def _parts(day: Column, month: Column, year: Column) -> Column:
+    """Texts or numbers as a struct of whole numbers, so that each is worked out once."""
+    names, low = _map(times.MONTH), F.lower(month.cast("string"))
     m = F.coalesce(month.try_cast("int"), F.try_element_at(names, low), F.try_element_at(names, F.left(low, F.lit(3))))
-    d, y = day.try_cast("int"), year.try_cast("int")
-    y = F.when(y < 100, y + 2000).otherwise(y)
-    longest = F.element_at(F.array(*map(F.lit, DAYS)), F.when((m >= 1) & (m <= 12), m).otherwise(1))
-    return F.when((m >= 1) & (m <= 12) & (d >= 1) & (d <= longest) & (y >= 1000) & (y <= run.year + 10), F.date_add(F.make_date(y, m, F.lit(1)), d - 1))
+    y = year.try_cast("int")
+    return F.struct(day.try_cast("int").alias("d"), m.alias("m"), F.when(y < 100, y + 2000).otherwise(y).alias("y"))
+
+
+def _dates(parts: Column, run: dt.date) -> Column:
+    """The dates of an array of such structs. The 29th of February of other years is the 1st of March."""
+    longest = F.array(*map(F.lit, DAYS))
+    fits = lambda p: (p["m"] >= 1) & (p["m"] <= 12) & (p["d"] >= 1) & (p["y"] >= 1000) & (p["y"] <= run.year + 10) & (p["d"] <= F.try_element_at(longest, p["m"]))
+    return F.transform(F.filter(parts, fits), lambda p: F.date_add(F.make_date(p["y"], p["m"], F.lit(1)), p["d"] - 1))
 
 
 def _found(line: Column, pattern: str, day: int, month: int, year: int, run: dt.date) -> Column:
     """The dates of all places where a pattern fits."""
     part = lambda g: F.regexp_extract_all(line, F.lit(pattern), F.lit(g))
     if year:
-        return F.transform(F.arrays_zip(part(day).alias("d"), part(month).alias("m"), part(year).alias("y")), lambda x: _day(x["d"], x["m"], x["y"], run))
-    both = F.transform(F.arrays_zip(part(day).alias("d"), part(month).alias("m")), lambda x: F.array(*[_day(x["d"], x["m"], F.lit(run.year + k), run) for k in (0, 1)]))
-    return F.flatten(both)
+        parts = F.transform(F.arrays_zip(part(day).alias("d"), part(month).alias("m"), part(year).alias("y")), lambda x: _parts(x["d"], x["m"], x["y"]))
+    else:
+        parts = F.flatten(F.transform(F.arrays_zip(part(day).alias("d"), part(month).alias("m")), lambda x: F.array(*[_parts(x["d"], x["m"], F.lit(run.year + k)) for k in (0, 1)])))
+    return F.when(line.rlike(pattern), _dates(parts, run)).otherwise(F.expr("cast(array() as array<date>)"))
 
 
 def line_date(line: Column, run: dt.date) -> Column:
@@ -54,8 +59,8 @@ def line_date(line: Column, run: dt.date) -> Column:
     y, m, d = start(r"^(\d{4})/(\d{1,2})/(\d{1,2})", 1, 2, 3)
     d1, m1, y1 = start(r"^[A-Za-z]{3}, (\d{1,2}) ([A-Za-z]{3}) (\d{4})", 1, 2, 3)
     m2, d2, y2 = start(r"^[A-Za-z]{3} ([A-Za-z]{3}) +(\d{1,2}) \d{2}:\d{2}:\d{2} (\d{4})", 1, 2, 3)
-    fixed = [_day(d, m, y, run), _day(d1, m1, y1, run), _day(d2, m2, y2, run)]
-    raw = [F.array_min(F.filter(F.concat(*[_found(line, *p, run) for p in style]), lambda x: x.isNotNull())) for style in STYLES]
+    fixed = [F.try_element_at(_dates(F.array(_parts(*x)), run), F.lit(1)) for x in ((d, m, y), (d1, m1, y1), (d2, m2, y2))]
+    raw = [F.when(line.rlike("[0-9]"), F.array_min(F.concat(*[_found(line, *p, run) for p in style]))) for style in STYLES]
     near = F.date_add(F.lit(run), F.try_element_at(_map(RELATIVE), line))
     feast = F.try_element_at(_map({name: days[1] for name, days in times.holidays(run)}), line)
     return F.coalesce(*fixed, *raw, near, feast)

@@ -75,7 +75,11 @@ def shrunk(counts: dict[str, int], capacity: int) -> int:
     return cut
 
 
-def counters(words: DataFrame, column: str, capacity: int) -> DataFrame:
+def long_enough(words: pa.Array, least: int) -> pa.Array:
+    return words.filter(pc.greater_equal(pc.utf8_length(words), least))
+
+
+def counters(words: DataFrame, column: str, capacity: int, least_length: int = 1) -> DataFrame:
     """(word, n) of at most ``capacity`` words of each task, and (null, n) with what its counts may lack. ``column`` is an array of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,7 +87,7 @@ def counters(words: DataFrame, column: str, capacity: int) -> DataFrame:
         lost = 0
         for b in batches:
             for at in range(0, b.num_rows, 500):
-                got = b.column(0).slice(at, min(500, b.num_rows - at)).flatten().value_counts()
+                got = long_enough(b.column(0).slice(at, min(500, b.num_rows - at)).flatten(), least_length).value_counts()
                 for w, n in zip(got.field("values").to_pylist(), got.field("counts").to_pylist()):
                     counts[w] = counts.get(w, 0) + n
                 if len(counts) > 2 * capacity:
@@ -114,11 +118,10 @@ def frequent_words(docs: DataFrame, text: str, least_length: int, size: int, cap
 
     Each task keeps a bounded number of counters; where there are too many it takes the same from all and drops those that come to
     nothing (Misra and Gries), so a count lacks no more than it took. The counters' sums give the words that may be among the most frequent, which are then counted exactly. If a word
-    that was not counted could still belong to them, the counters are doubled; the counts are always those of all words."""
-    split = F.filter(F.split(F.lower(F.col(text)), r"[^\p{L}]+"), lambda w: F.length(w) >= least_length)
-    words = docs.select(split.alias("w")).where(F.size("w") > 0)
+    that was not counted could still belong to them, there are four times as many counters in the next round; the counts are always those of all words."""
+    words = docs.where(F.col(text).isNotNull()).select(F.split(F.lower(F.col(text)), r"[^\p{L}]+").alias("w"))
     while True:
-        told = counters(words, "w", capacity).groupBy("word").agg(F.sum("n").alias("n"))
+        told = counters(words, "w", capacity, max(1, least_length)).groupBy("word").agg(F.sum("n").alias("n"))
         top = told.orderBy(F.col("word").isNotNull(), F.col("n").desc(), "word").limit(4 * size + 1).collect()
         lost = next((r["n"] for r in top if r["word"] is None), 0)
         seen = [r for r in top if r["word"] is not None]
@@ -130,6 +133,6 @@ def frequent_words(docs: DataFrame, text: str, least_length: int, size: int, cap
         most = (seen[-1]["n"] if len(seen) == 4 * size else 0) + lost
         if len(found) == size and found[-1]["score"] > most:
             return docs.sparkSession.createDataFrame([tuple(r) for r in found], best.schema)
-        capacity *= 2
+        capacity *= 4
         if capacity > 20_000_000:
             return common_words(docs, text, least_length, size)
