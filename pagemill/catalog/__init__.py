@@ -1,3 +1,3 @@
 """Queries by area; importing this registers them all."""
 
-from pagemill.catalog import codecs, files, more, pages, records, relations, words  # noqa: F401
+from pagemill.catalog import codecs, files, more, pages, records, relations, variants, words  # noqa: F401

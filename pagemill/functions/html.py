@@ -174,7 +174,7 @@ class Reader:
                     top.parts.append(token)
                 continue
             if token.startswith("<!--"):
-                self.off = True if "googleoff:" in token else False if "googleon:" in token else self.off
+                self.remark(token)
                 continue
             name = _NAME.match(token)[1].lower()
             if token[1] == "/":
@@ -195,7 +195,7 @@ class Reader:
                 if stack:
                     self.learn(attrs, None, "", stack)
             if name in PAIR:
-                self.properties(attrs)
+                self.opened(name, attrs)
                 stack.append(Element(name, attrs))
             elif top:
                 top.parts.append(token)
@@ -206,6 +206,12 @@ class Reader:
     def attributes(raw: str) -> dict[str, str]:
         return {m[1].lower(): m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or "" for m in _ATTR.finditer(raw)} if raw.strip() else {}
 
+    def remark(self, comment: str) -> None:
+        self.off = True if "googleoff:" in comment else False if "googleon:" in comment else self.off
+
+    def opened(self, name: str, a: dict[str, str]) -> None:
+        self.properties(a)
+
     def words(self, raw: str, inside: str | None) -> None:
         if self.off or inside in ("script", "style"):
             return

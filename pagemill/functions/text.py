@@ -24,6 +24,18 @@ def sentences(s: Column) -> Column:
     return F.filter(F.transform(F.split(marked, "\u0001"), lambda x: F.trim(x)), lambda x: x != "")
 
 
+#: Punctuation that is written by its number.
+NUMBERED = "\\^`{|}~"
+
+
+def encoded(s: Column, entities: dict[str, str], with_ampersand: bool = True) -> Column:
+    """Characters as references to these entities (name to character), some punctuation by its number. Texts without any stay as they are, unsplit."""
+    names = {c: f"&{n};" for n, c in entities.items() if len(c) == 1 and c not in "' \u00a0" and (with_ampersand or c != "&")} | {c: f"&#{ord(c):03};" for c in NUMBERED}
+    some = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in names) + "]"
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.when(s.rlike(some), F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(known, c), c)), "")).otherwise(s)
+
+
 def normalized_term(s: Column) -> Column:
     """Trimmed small letters, umlauts spelled out, commas as blanks."""
     out = F.lower(F.trim(s))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PATTERN = r"^([a-zA-Z][a-zA-Z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?"
@@ -167,6 +167,37 @@ def is_local(host_: Column) -> Column:
     return (host_ == "localhost") | host_.rlike(r"^(127|10)\.[0-9.]+$|^192\.168\.|^172\.(1[6-9]|2[0-9]|3[01])\.|^169\.254\.") | ~host_.contains(".")
 
 
+# Patterns of the machine itself and of private networks, and the classes of hosts that no table of domains names.
+LOCALHOST = r"localhost|127\..*|\[?fe80:.*|\[?0:0:0:0:0:0:0:1.*|\[?::1"
+INTRANET = r"10\..*|172\.(1[6-9]|2[0-9]|3[01])\..*|169\.254\..*|192\.168\..*|\[?(fc|fd).*:.*"
+GENERIC, LOCAL = 6, 7
+
+
+def without_zone(host_: Column) -> Column:
+    """An address without the zone after its percent sign."""
+    return F.substring_index(host_, "%", 1)
+
+
+def is_localhost(host_: Column) -> Column:
+    """The machine itself; so is a missing host, as of files."""
+    return host_.isNull() | without_zone(host_).rlike(rf"(?i)^({LOCALHOST})(/.*)?\]?$")
+
+
+def is_intranet(host_: Column) -> Column:
+    """The machine itself or a private network."""
+    return is_localhost(host_) | host_.rlike(rf"(?i)^({INTRANET})$")
+
+
+def domain_classes(df: DataFrame, host_: str, classes: DataFrame, out: str) -> DataFrame:
+    """The rows with the class of their host's last label by a table (tld, class), whose first class in order counts; LOCAL for private
+    hosts that it does not name and for missing or empty ones, GENERIC for the rest."""
+    named = classes.where(F.col("tld").isNotNull()).groupBy(F.lower("tld").alias("_tld")).agg(F.min("class").alias("_class"))
+    label = F.when(F.col(host_).contains("."), F.lower(F.substring_index(host_, ".", -1)))
+    found = df.withColumn("_tld", label).join(named, "_tld", "left")
+    nothing = F.coalesce(F.col(host_), F.lit("")) == ""
+    return found.withColumn(out, F.when(nothing, LOCAL).otherwise(F.coalesce("_class", F.when(is_intranet(F.col(host_)), LOCAL).otherwise(GENERIC)))).drop("_tld", "_class")
+
+
 def same_site(own_host: Column, other_host: Column) -> Column:
     """By suffix, with www. left out: how link counts tell inbound from outbound."""
     return other_host.endswith(without_www(own_host))

@@ -19,6 +19,15 @@ def merge(df: DataFrame, key: str, order: str, text: str, title: str | None = No
     return df.groupBy(key).agg(*out)
 
 
+def phrases(df: DataFrame, order: str, parts: Column) -> DataFrame:
+    """(phrase, n, documents, first_document, first_place): how often each phrase of an array column occurs, in how many documents, and where
+    first. A phrase of all documents is combined before the shuffle; a document's repeated phrases count before that."""
+    each = df.select(F.col(order).alias("_d"), F.posexplode(parts).alias("_p", "phrase"))
+    within = each.groupBy("_d", "phrase").agg(F.count(F.lit(1)).alias("_n"), F.min("_p").alias("_p"))
+    first = F.min(F.struct("_d", "_p"))
+    return within.groupBy("phrase").agg(F.sum("_n").alias("n"), F.count("_d").alias("documents"), first.alias("_f")).select("phrase", "n", "documents", F.col("_f._d").alias("first_document"), F.col("_f._p").alias("first_place"))
+
+
 def fold(parent: DataFrame, children: DataFrame, key: str, order: str, value: Column, out: str) -> DataFrame:
     """Parents with their children's values appended in order."""
     return parent.join(children.groupBy(key).agg(in_order(value, F.col(order)).alias(out)), key, "left")
