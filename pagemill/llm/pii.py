@@ -473,7 +473,8 @@ def best_spans(model: Tagger, parts: list[np.ndarray], everywhere: bool = False)
         some = scores[np.repeat(low - own[:-1], n) + np.arange(own[-1])]
         shut = np.concatenate([own[:-1][low < edge[::2]], own[1:][high > edge[1::2]] - 1])
         some[shut, 1:] = -1e9
-        for k, path in enumerate(viterbi(some, model.trans, own[:-1], n)):
+        # scores over those of no tag keep sums small, so that nearly equal paths are told apart wherever a run begins
+        for k, path in enumerate(viterbi(some - some[:, :1], model.trans - model.trans[0, 0], own[:-1], n)):
             if path.any():
                 at = int(low[k] - starts[owner[k]])
                 found[owner[k]] += [(at + a, at + b, kind, score) for a, b, kind, score in span_scores(path, some[own[k] : own[k + 1]], model.trans)]
