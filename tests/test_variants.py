@@ -33,6 +33,19 @@ def test_guessed_damaged():
     assert charsets.guessed(long) == "koi8_r"
 
 
+@pytest.mark.parametrize(
+    "text", ["vi élem vi élem oi étre Éré. La aièè ait", "LA!! ÈOUC ÉAUXÉ!! ÉÈÇ!! LEÉÇQUE IERÈ!! ÊIER", "ENU SCHÄIE!! ÄSCH", "Äau Äau au Äau", "De Ber enê ieren and", "Pfää Pfää und Pfää", "Of er thedtion èê esou atlyre", "Und Und üß Und üß", "Ouelle ê ê Ouelle êê", "Re chellement éç ééê, èêoi reoi.", "thoninst Ñí oningat", "ENÄÜ!! GEÄLICH ÖÖÄ!!"]
+)
+def test_guessed_invented(text):
+    """Words that no language has: letters beyond ASCII among plain ones are of the usual set."""
+    assert charsets.text_of(text.encode("cp1252"), None) == text
+
+
+@pytest.mark.parametrize("text,name", [("Да", "cp1251"), ("нет 3D", "koi8_r"), ("page of правда and more words", "cp1251"), ("一人", "big5"), ("Cześć, mały świat", "cp1250"), ("ή όχι", "cp1253")])
+def test_guessed_short(text, name):
+    assert charsets.text_of(text.encode(name), None) == text
+
+
 def test_elements_and_models(spark):
     page = '<title>a</title><base href="http://b.org/"><frame src="f"><a href="x"></a><!-- two\nlines --><body class="c"><div id="d"><script>one();</script></div>text &amp; more'
     pages = spark.createDataFrame([(1, page, "http://a.org/"), (2, None, "http://n.org/"), (3, "\x01<p>x</p>", "http://c.org/"), (4, "<p>y</p>", None), (5, "", None)], "id int, html string, url string")
