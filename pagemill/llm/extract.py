@@ -345,7 +345,8 @@ def main_text(pages: DataFrame, shard_pages: int = SHARD_PAGES, shard_bytes: int
         if held:
             yield close()
 
-    judged = written(map_arrow(streams.repartition("host", "shard").sortWithinPartitions("host", "shard"), judge, JUDGED, large=True), "judged", "zstd")
+    judged = map_arrow(streams.repartition("host", "shard").sortWithinPartitions("host", "shard"), judge, JUDGED, large=True)
+    judged = written(judged.withColumn("row", F.monotonically_increasing_id()), "judged", "zstd")  # written, so that a row keeps its number
     if not repetition:
         return finished(judged, None, None)
     return finished(judged, *boilerplate(judged), in_tasks)
@@ -370,19 +371,15 @@ def boilerplate(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
     return written(common, "common"), written(bad, "bad")
 
 
-#: Tells rows apart: equal rows lose equal blocks.
-ROW = ("page_id", "url", "raw", "page")
-
-
 def finished(judged: DataFrame, common: DataFrame | None, bad: DataFrame | None, few: int = FEW) -> DataFrame:
-    """The pages' texts from what is left of their blocks. Where the blocks that go are few, the texts are not shuffled for that."""
+    """The pages' texts from what is left of their blocks. Where the blocks that go are few, the texts are not shuffled for that; either way the same blocks of the same row go."""
     if common is None:
         return joined_blocks(judged, F.col("blocks"))
     if common.limit(few + 1).count() > few or bad.limit(few + 1).count() > few:
-        each = hashed(judged.withColumn("row", F.xxhash64(*ROW)), "row")
+        each = hashed(judged, "row")
         gone = each.join(common.withColumn("common", F.lit(True)), ["h", "g"], "left").join(bad.withColumn("bad", F.lit(True)), ["host", "place"], "left")
         cut = gone.where((F.col("common") & ~F.col("place").startswith("@")) | F.col("bad")).groupBy("row").agg(F.collect_set("at").alias("cut"))  # as many as the page has blocks
-        judged = judged.withColumn("row", F.xxhash64(*ROW)).join(cut, "row", "left")
+        judged = judged.join(cut, "row", "left")
         return joined_blocks(judged, F.when(F.col("cut").isNull(), F.col("blocks")).otherwise(F.transform("blocks", lambda x, i: F.when(F.array_contains("cut", i), "").otherwise(x))))
     repeated_ = {(r.h, r.g) for r in common.collect()}
     places = {(r.host, r.place) for r in bad.collect()}

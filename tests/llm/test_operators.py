@@ -909,6 +909,16 @@ def test_whole_texts_against_brute_force(spark, seed, in_tasks):
     assert texts_of(spark.createDataFrame(rows, PAGES).repartition(4), in_tasks=in_tasks) == brute_text(rows)
 
 
+def test_blocks_go_from_their_own_row(spark):
+    """Two rows of one page id and address, whose blocks in classes are the same in other places: whether blocks go in the tasks or by a join, each row loses its own."""
+    r = random.Random(5)
+    bar, apart = '<div class="bar">buy our things now</div>', [f"<p>{words(r, 12)}</p>" for _ in range(8)]
+    rows = [(1, "http://a/1", page(bar + apart[0])), (1, "http://a/1", page(apart[1] + bar))] + [(k, f"http://a/{k}", page(bar + apart[k])) for k in range(2, 8)]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = [sorted(tuple(x) for x in extract.main_text(pages, in_tasks=n).select("page_id", "text").collect()) for n in (extract.FEW, 0)]
+    assert got[0] == got[1] == sorted((x[0], t[3:-4]) for x, t in zip(rows, apart))
+
+
 def test_the_array_decides_on_the_pages(spark):
     """On the given pages the articles remain, and without the array every page would keep an advert."""
     df = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
