@@ -12,6 +12,7 @@ from pagemill.operators import patterns
 from pagemill.plans import index as plan
 from pagemill.plans import media
 from pagemill.queries import load_time, query, table
+from pagemill.shared import spread
 from pagemill.sources import warc
 
 
@@ -23,7 +24,7 @@ def filled(spark, sf_dir, pages: list[str], **more):
         page = F.when(k % len(pages) == i, p).otherwise(page)
     for name, value in {"k": k, "m": k % 40, "s": (k + 1) % 40}.items():
         page = F.replace(page, F.lit(f"{{{name}}}"), value.cast("string"))
-    return table(spark, sf_dir, "customer").select(k, F.concat(F.lit("http://h.org/p/"), k.cast("string")).alias("url"), page.alias("html"), *[c.alias(n) for n, c in more.items()])
+    return spread(table(spark, sf_dir, "customer").select(k)).select(k, F.concat(F.lit("http://h.org/p/"), k.cast("string")).alias("url"), page.alias("html"), *[c.alias(n) for n, c in more.items()])
 
 
 #: What a page's markup may hold beside plain elements, one case in each.

@@ -23,3 +23,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Of short rows that grow to pages and the like in a task, so many go to one.
+ROWS_IN_TASK = 5000
+
+
+def spread(df: DataFrame, rows: int = ROWS_IN_TASK) -> DataFrame:
+    """The rows dealt out evenly, about so many to a task: a table of short rows lies in few pieces, whatever is made of them later. Call it before they grow, as it shuffles them."""
+    return df.repartition(max(1, -(-df.count() // rows)))

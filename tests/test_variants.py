@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.catalog.variants import SPOKEN
+from pagemill.catalog.variants import QUIRKS, SPOKEN, filled
 from pagemill.functions import agents, charsets, html
 from pagemill.functions import text as T
 from pagemill.functions import url as U
@@ -109,3 +109,10 @@ def test_agents(spark):
     df = spark.createDataFrame([("x (a; b/c) d", "1.5/3", "7"), (None, None, None), ("", "x", "1e3")], "a string, v string, l string")
     rows = df.select(agents.agent_location(F.col("a")).alias("a"), agents.peer_version(F.col("v")).alias("v"), agents.serves_records(F.col("v")).alias("s"), agents.minutes_unseen(F.col("l")).alias("l"), agents.seen_at(F.lit("2024-01-01 01:00:00").cast("timestamp"), F.col("l")).cast("string").alias("t")).collect()
     assert [tuple(r) for r in rows] == [("b/c", 1.5, True, 7, "2024-01-01 00:53:00"), (None, 0.0, False, agents.NEVER, rows[1]["t"]), ("", 0.0, False, agents.NEVER, rows[1]["t"])]
+
+
+def test_pages_of_a_short_table_are_dealt_out(spark, tmp_path):
+    """Customers in one file of one piece: their pages are made and parsed by several tasks of bounded size, none of them lost."""
+    spark.range(1, 12_001).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    sizes = [r["n"] for r in filled(spark, tmp_path, QUIRKS).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 3 and sum(sizes) == 12_000 and max(sizes) < 5000
