@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,7 +11,7 @@ from pyspark.sql.window import Window
 
 def features(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """Distinct small-letter words of more than two characters per document."""
-    words = F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(F.col(text)), r"[^a-z0-9_]", " "), " +"), lambda w: F.length(w) > 2))
+    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col(text)), F.lit("([a-z0-9_]{3,})"), 1))
     return docs.select(id_col, F.explode(words).alias("feature"))
 
 
@@ -34,8 +36,6 @@ def weights(by_feature: DataFrame, by_category: DataFrame, category: str, contex
     base = total.select(*context, "feature", F.log(0.5 / (1.0 + F.col("total"))).alias("base"))
     size = by_category.select(*context, category, F.col("n").alias("_docs"))
     more = by_feature.join(total, [*context, "feature"]).join(size, [*context, category]).select(*context, category, "feature", F.log1p(2.0 * F.col("total") * F.col("n") / F.col("_docs")).alias("more"))
-    if not context:
-        return base, more, by_category.select(category, F.log(F.col("n") / F.lit(by_category.agg(F.sum("n")).first()[0])).alias("prior"))
     all_ = by_category.groupBy(*context).agg(F.sum("n").alias("_all"))
     return base, more, by_category.join(all_, context).select(*context, category, F.log(F.col("n") / F.col("_all")).alias("prior"))
 
@@ -43,13 +43,16 @@ def weights(by_feature: DataFrame, by_category: DataFrame, category: str, contex
 def classify(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, category: str, ids: DataFrame) -> DataFrame:
     """All categories of each document with log score, (id, category, score): a row for each pair, so this is for few categories; ``best_of`` is not. Unknown words weigh the same for all."""
     by_feature, by_category = model
-    base, more, prior = weights(by_feature, by_category.where(F.col(category).isNotNull()), category, [])
+    sizes = [(r[category], r["n"]) for r in by_category.where(F.col(category).isNotNull()).select(category, "n").collect()]
+    every, own = sum(n for _, n in sizes), [F.sum(F.when(F.col(category) == c, F.col("n"))).alias(f"_n{k}") for k, (c, _) in enumerate(sizes)]
+    of_word = by_feature.groupBy("feature").agg(F.sum("n").alias("total"), *own)  # the categories side by side, so that each word of a document is met once
+    more = [F.log1p(2.0 * F.col("total") * F.col(f"_n{k}") / n).alias(f"_m{k}") for k, (_, n) in enumerate(sizes)]
+    weight = of_word.select("feature", F.log(0.5 / (1.0 + F.col("total"))).alias("base"), *more)
+    sums = feats.join(weight, "feature").groupBy(id_col).agg(*[F.sum(c).alias(c) for c in weight.columns[1:]])
     kind = dict(by_category.dtypes)[category]
-    all_ = F.from_json(F.lit(prior.agg(F.to_json(F.collect_list(F.struct(category, "prior")))).first()[0] or "[]"), f"array<struct<`{category}`:{kind},prior:double>>")
-    sums = feats.join(base, "feature").groupBy(id_col).agg(F.sum("base").alias("base"))
-    apart = feats.join(more, "feature").groupBy(id_col, category).agg(F.sum("more").alias("more"))
-    pairs = ids.select(id_col).join(sums, id_col, "left").select(id_col, "base", F.inline(all_)).join(apart, [id_col, category], "left")
-    return pairs.select(id_col, category, (F.col("prior") + F.coalesce("base", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("score"))
+    scores = [F.struct(F.lit(c).cast(kind).alias(category), (F.lit(math.log(n / every)) + F.coalesce("base", F.lit(0.0)) + F.coalesce(f"_m{k}", F.lit(0.0))).alias("score")) for k, (c, n) in enumerate(sizes)]
+    none = F.expr(f"cast(array() as array<struct<`{category}`:{kind},score:double>>)")
+    return ids.select(id_col).join(sums, id_col, "left").select(id_col, F.inline(F.array(*scores) if scores else none))
 
 
 NONE = "NONE"
@@ -70,14 +73,15 @@ def best_of(feats: DataFrame, model: tuple[DataFrame, DataFrame], id_col: str, i
     one of largest prior; no document meets all categories, however many there are."""
     base, more, prior = weights(*model, category, [context])
     usual = prior.groupBy(context).agg(F.min_by(category, F.struct(-F.col("prior"), F.col(category))).alias(category), F.max("prior").alias("prior"))
-    sums = feats.join(base, "feature").groupBy(id_col, context).agg(F.sum("base").alias("base"))
-    apart = feats.join(more, "feature").groupBy(id_col, context, category).agg(F.sum("more").alias("more")).join(prior, [context, category])
+    # bases and more in one list, of which the bases have no category, so that the words of the documents are found and joined once
+    each = base.select("feature", context, F.lit(None).cast(dict(prior.dtypes)[category]).alias(category), "base", F.lit(None).cast("double").alias("more")).unionByName(more.withColumn("base", F.lit(None).cast("double")))
+    known = feats.join(each, "feature").groupBy(id_col, context, category).agg(F.sum("base").alias("base"), F.sum("more").alias("more")).join(prior, [context, category], "left")
     contexts = [r[context] for r in usual.select(context).collect()]  # classifiers, a row of the result for each of them and document
     every = ids.select(id_col, F.explode(F.array(*map(F.lit, contexts)) if contexts else F.expr("cast(array() as array<string>)")).alias(context)).join(F.broadcast(usual), context)
-    some = every.select(id_col, context, category, "prior", F.lit(0.0).alias("more")).unionByName(apart.select(id_col, context, category, "prior", "more"))
-    s = F.col("prior") + F.col("more")  # sums differ in the last digits by the order of adding, which must not decide
-    top = some.groupBy(id_col, context).agg(F.min_by(F.struct(category, s.alias("s")), F.struct(-F.round(s, 9), F.col(category))).alias("_b"))
-    return top.join(sums, [id_col, context], "left").select(id_col, context, F.col(f"_b.{category}").alias(category), (F.col("_b.s") + F.coalesce("base", F.lit(0.0))).alias("score"))
+    some = every.select(id_col, context, category, "prior", F.lit(None).cast("double").alias("base"), F.lit(0.0).alias("more")).unionByName(known.select(id_col, context, category, "prior", "base", "more"))
+    s = F.col("prior") + F.col("more")  # sums differ in the last digits by the order of adding, which must not decide; null for the bases, which are no candidates
+    top = some.groupBy(id_col, context).agg(F.min_by(F.struct(category, s.alias("s")), F.when(s.isNotNull(), F.struct(-F.round(s, 9), F.col(category)))).alias("_b"), F.sum("base").alias("base"))
+    return top.where("_b is not null").select(id_col, context, F.col(f"_b.{category}").alias(category), (F.col("_b.s") + F.coalesce("base", F.lit(0.0))).alias("score"))
 
 
 def best(classified: DataFrame, id_col: str, category: str) -> DataFrame:

@@ -114,6 +114,9 @@ def test_many_categories_and_contexts(spark):
     model = bayes.train_contexts(feats, spark.createDataFrame(labels, "i int, context string, category string"), "i")
     got = bayes.best_of(feats, model, "i", docs)
     assert {(x.i, x.context, x.category, round(x.score, 6)) for x in got.collect()} == plain_bayes(texts, labels)
+    plans = [got, bayes.classify(feats, bayes.train(feats, spark.createDataFrame([(i, k) for i, _, k in labels], "i int, category string"), "i", "category"), "i", "category", docs)]
+    found = [p._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(array_distinct") for p in plans]
+    assert found[0] <= 4 and found[1] <= 2, found  # words are found for the model (its totals and its counts may share that), and once to score
     empty = bayes.train_contexts(feats, spark.createDataFrame([], "i int, context string, category string"), "i")
     assert bayes.best_of(feats, empty, "i", docs).count() == 0
 
