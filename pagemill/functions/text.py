@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,11 +30,19 @@ NUMBERED = "\\^`{|}~"
 
 
 def encoded(s: Column, entities: dict[str, str], with_ampersand: bool = True) -> Column:
-    """Characters as references to these entities (name to character), some punctuation by its number. Texts without any stay as they are, unsplit."""
+    """Characters as references to these entities (name to character), some punctuation by its number. A text is gone through for those characters alone that it has, the ampersand first, as all others bring ampersands in."""
     names = {c: f"&{n};" for n, c in entities.items() if len(c) == 1 and c not in "' \u00a0" and (with_ampersand or c != "&")} | {c: f"&#{ord(c):03};" for c in NUMBERED}
-    some = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in names) + "]"
-    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
-    return F.when(s.rlike(some), F.array_join(F.transform(F.split(s, ""), lambda c: F.coalesce(F.try_element_at(known, c), c)), "")).otherwise(s)
+
+    def one(t: str) -> str:
+        for c in sorted(names.keys() & set(t), key=lambda c: c != "&"):
+            t = t.replace(c, names[c])
+        return t
+
+    @F.pandas_udf("string")
+    def references(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else one(t) for t in texts], dtype=object)
+
+    return references(s)
 
 
 def normalized_term(s: Column) -> Column:

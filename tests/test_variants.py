@@ -116,3 +116,11 @@ def test_pages_of_a_short_table_are_dealt_out(spark, tmp_path):
     spark.range(1, 12_001).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
     sizes = [r["n"] for r in filled(spark, tmp_path, QUIRKS).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(sizes) == 3 and sum(sizes) == 12_000 and max(sizes) < 5000
+
+
+def test_encoded_goes_through_no_single_characters(spark):
+    """A text is not split into its characters, each looked up among all entities, but gone through for those it has."""
+    text = ("plain words & <more> " + "".join(c for c in html.ENTITIES.values() if c not in "' \u00a0")) * 1000
+    done = spark.createDataFrame([(text,)], "s string").select(T.encoded(F.col("s"), html.ENTITIES).alias("e"))
+    assert "split(" not in done._jdf.queryExecution().optimizedPlan().toString()
+    assert len(done.first()["e"]) > 3 * len(text)
