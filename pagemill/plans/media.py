@@ -26,13 +26,16 @@ def title() -> Column:
     return F.coalesce(F.try_element_at(P + "titles", F.lit(1)), F.nullif(meta("title"), F.lit("")), F.try_element_at(heads, F.lit(1)), F.lit(""))
 
 
-def description(name: Column) -> Column:
-    """The document's title, its description if that says something else, its keywords, and after a dash the link's text or else the words of the document's address."""
+def subject() -> Column:
+    """The document's title, its description if that says something else, and its keywords."""
     about = F.coalesce(F.nullif(meta("description"), F.lit("")), F.nullif(meta("dc.description"), F.lit("")), F.nullif(meta("og:description"), F.lit("")))
-    own = F.array_join(U.tokens(F.coalesce("url", F.lit(""))), " ")
+    return F.concat(title(), F.when(about.isNotNull() & (about != title()), F.concat(F.lit(" "), about)).otherwise(""), F.lit(" "), F.array_join(T.keywords(meta("keywords")), ","))
+
+
+def description(subject: Column, own: Column, name: Column) -> Column:
+    """The subject of the document, and after a dash the link's text or else the words of the document's address."""
     said = F.when(F.coalesce(name, F.lit("")) == "", own).otherwise(name)
-    subject = F.array_join(T.keywords(meta("keywords")), ",")
-    return F.trim(F.concat(title(), F.when(about.isNotNull() & (about != title()), F.concat(F.lit(" "), about)).otherwise(""), F.lit(" "), subject, F.when(said != "", F.concat(F.lit(" - "), said)).otherwise("")))
+    return F.trim(F.concat(subject, F.when(said != "", F.concat(F.lit(" - "), said)).otherwise("")))
 
 
 def mentions(*groups: Column) -> Column:
@@ -56,8 +59,10 @@ def media_links(docs: DataFrame, order: str) -> DataFrame:
     """(kind, url, description, mentions): images, audio, video and programs that documents show or link to. A link to an image counts as an image and says more than the image shown."""
     shown = F.transform(P + "images", lambda i: mention(U.normal_form(i["url"]), F.lit("image"), i["alt"]))
     linked = F.filter(F.transform(P + "anchors", lambda a: mention(U.normal_form(a["url"]), media_class(U.normal_form(a["url"])), a["text"])), lambda x: x["kind"].isNotNull())
-    each = docs.select(F.col(order).alias("order"), F.coalesce("url", F.lit("")).alias("url"), "page", F.explode(mentions(shown, linked)).alias("m"))
-    named = each.select("order", F.col("url").alias("from"), "m.kind", F.col("m.url").alias("url"), "m.rank", "m.place", description(F.col("m.name")).alias("description"))
+    url = F.coalesce("url", F.lit(""))
+    told = docs.select(F.col(order).alias("order"), url.alias("from"), subject().alias("subject"), F.array_join(U.tokens(url), " ").alias("own"), mentions(shown, linked).alias("m"))
+    each = told.select("order", "from", "subject", "own", F.explode_outer("m").alias("m")).where("m is not null")  # what the document says is worked out once; outer, so that no filter on the array works it out again
+    named = each.select("order", "from", "m.kind", "m.url", "m.rank", "m.place", description(F.col("subject"), F.col("own"), F.col("m.name")).alias("description"))
     return latest(named, "description", "kind", "url")
 
 
