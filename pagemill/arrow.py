@@ -1,13 +1,14 @@
-"""Whole-partition Python functions over Arrow batches."""
+"""Python functions over the rows of a partition: whole partitions in Arrow batches, or row by row."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType
 
 from pagemill import ship
 
@@ -40,3 +41,9 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[dict]], Iterator[dict]], sc
             yield out()
 
     return df.mapInArrow(run, kind)
+
+
+def by_row(f: Callable, kind: DataType | str) -> Callable[..., Column]:
+    """A function of columns that calls ``f`` with each row's values. Rows come a hundred at a time, whereas an Arrow batch has up to 10,000 or 64 MB, and a worker
+    holds two of them; so this is for large values of which each gives one, as pages do. Nested values are dicts and lists, maps are dicts."""
+    return F.udf(f, kind, useArrow=False)

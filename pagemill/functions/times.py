@@ -5,13 +5,13 @@ from __future__ import annotations
 import calendar
 import datetime as dt
 import re
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pagemill.arrow import by_row
+
 DAY_MS, HOUR_MS = 86_400_000, 3_600_000
 
 
@@ -173,10 +173,5 @@ def dates_in(text: str, run: dt.date) -> list[dt.date]:
 
 
 def dates_in_text(run: dt.date):
-    """A vectorised function from texts to arrays of dates."""
-
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield s.map(lambda t: dates_in(t or "", run))
-
-    return F.pandas_udf(find, T.ArrayType(T.DateType()))
+    """A function from texts to arrays of dates."""
+    return by_row(lambda t: dates_in(t or "", run), T.ArrayType(T.DateType()))
