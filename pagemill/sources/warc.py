@@ -7,14 +7,13 @@ import re
 import zlib
 from collections.abc import Iterator
 
-import pandas as pd
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from pagemill import ship
-from pagemill.arrow import map_rows
+from pagemill.arrow import by_row, map_rows
 from pagemill.formats import parsers
 from pagemill.functions import charsets
 from pagemill.sources import archive
@@ -335,12 +334,7 @@ def to_documents(warc: DataFrame) -> DataFrame:
 def decoded(payload: Column, content_type: Column) -> Column:
     """Text of a page's bytes: by the byte order mark, else the charset of the header, else of the markup's first kilobyte, else UTF-8 if the bytes
     are that, else windows-1252. Bytes that the charset does not know become the replacement character; an unknown charset counts as none."""
-
-    @F.pandas_udf("string")
-    def text(payload: pd.Series, content_type: pd.Series) -> pd.Series:
-        return pd.Series([None if p is None else charsets.text_of(bytes(p), c) for p, c in zip(payload, content_type)])
-
-    return text(payload, content_type)
+    return by_row(lambda p, c: None if p is None else charsets.text_of(bytes(p), c), "string")(payload, content_type)
 
 
 def dead_letters(warc: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from pagemill.functions import html
+from pagemill.sources import warc
 
 
 def plan_of(df, capsys):
@@ -20,6 +21,19 @@ def test_no_arrow_batches_of_pages(spark, sf_dir, capsys):
         assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan and "MapInArrow" not in plan, name
 
 
+def test_payloads_are_decoded_a_few_at_a_time(spark, sf_dir, capsys):
+    plan = plan_of(entry.queries()["stream_jobs"](spark, sf_dir), capsys)
+    assert plan.count("BatchEvalPython") == 2 and "ArrowEvalPython" not in plan
+    assert plan.count("MapInArrow") == 1  # files that give many records
+
+
+def test_a_payload_that_is_null_empty_or_no_text(spark):
+    rows = [(None, None), (b"", None), ("ä".encode(), "text/html; charset=utf-8"), (b"\xe4", "text/html; charset=none-such"), (b"\xff\xfe\x3d\xd8\x00\xde", None)]
+    df = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "n int, payload binary, content_type string")
+    got = df.select("n", warc.decoded(F.col("payload"), F.col("content_type")).alias("t")).collect()
+    assert [r.t for r in sorted(got)] == [None, "", "ä", "ä", "\U0001f600"]
+
+
 def test_a_page_is_read_once_whatever_is_filtered(spark, sf_dir, capsys):
     p = html.with_html(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     plan = plan_of(p.where(F.size("page.titles") > 0).where(F.col("page.text") != "").select("url", "page.text", "page.li"), capsys)
