@@ -5,11 +5,13 @@ bits, with one scalar: a, its inner product with its own sign vector s (of unit
 length). For a unit query q, <q, s> / a estimates <q, x>, with a standard
 deviation of about sqrt(1 / a^2 - 1) / sqrt(d - 1). A vector is reranked by its
 exact cosine unless even its estimate plus ``bound`` such deviations stays below
-what the query's k-th best is sure to reach.
+what the query's k-th best is sure to reach. Of many that are left, single precision
+first tells those that are not among the k best by more than its error.
 
 The index is every row, in blocks; the query set is a stated one, in blocks too.
 Each group of data blocks meets each query block once, in whichever task has them:
 no row pairs are made, and a task gives at most k rows for a query and block.
+Query blocks are repeated for each group, so they are shuffled, never broadcast.
 
 Defined results: vectors that are null, empty, all zero or hold null or
 non-finite components take no part, neither do rows without an id; vectors of another length
@@ -61,7 +63,7 @@ def blocks(df: DataFrame, parts: int, size: int = BLOCK) -> DataFrame:
             ids = np.concatenate([a for a, _ in held[dim]])
             v = np.concatenate([b for _, b in held[dim]])
             held[dim] = []
-            return {"part": [serial % parts], "dim": [dim], "n": [len(ids)], "ids": [ids.tobytes()], "vectors": [v.tobytes()]}
+            return {"part": [serial % parts], "dim": [dim], "n": [len(ids)], "ids": [ids.tobytes()], "vectors": [packed(v)]}
 
         for b in batches:
             lists = b.column("v")
@@ -84,6 +86,17 @@ def blocks(df: DataFrame, parts: int, size: int = BLOCK) -> DataFrame:
     return map_arrow(df, rows, BLOCKS)
 
 
+def packed(v: np.ndarray) -> bytes:
+    """Vectors as bytes: in single precision if that loses nothing."""
+    with np.errstate(over="ignore"):
+        single = v.astype(np.float32)
+    return (single if np.array_equal(single, v) else v).tobytes()
+
+
+def unpacked(raw: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(raw, np.float32 if len(raw) == 4 * n * dim else np.float64).reshape(n, dim).astype(np.float64)
+
+
 class Codes:
     """Packed signs and correction scalars of a block."""
 
@@ -94,6 +107,9 @@ class Codes:
         largest = np.abs(vectors).max(1)  # so that very large or small vectors keep a usable direction
         unit = vectors / largest[:, None]
         unit /= np.sqrt((unit * unit).sum(1))[:, None]
+        self.single = unit.astype(np.float32)
+        self.error = (self.dim + 8) * 2.4e-7  # of a cosine in single precision, at most
+        self.even = bool((np.abs(np.log10(self.norms, where=self.norms > 0, out=np.full(len(vectors), np.inf))) < 100).all())
         turned = unit @ rotation(self.dim).T
         self.bits = np.packbits(turned > 0, axis=1)
         self.own = np.abs(turned).sum(1) / np.sqrt(self.dim)
@@ -114,26 +130,31 @@ def exact_cosine(v: np.ndarray, v_norm: np.ndarray, q: np.ndarray, q_norm: float
 
 
 def best_in_block(codes: Codes, ids: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int, bound: float, floor: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each query the k best of a block. ``floor`` has what each query's k-th best reaches at least, and is raised."""
+    """For each query the k best of a block, without those below ``floor``, which has what the query's k-th best reaches at least, and is raised."""
     q_norm = np.sqrt((q * q).sum(1))
     unit = q / np.abs(q).max(1)[:, None]
     unit /= np.sqrt((unit * unit).sum(1))[:, None]
-    guess = codes.estimate(unit @ rotation(codes.dim).T)
+    single = unit.astype(np.float32)
     slack = (bound * codes.deviation()).astype(np.float32)
-    high = guess + slack[:, None]
-    low = guess - slack[:, None]
+    high = np.ascontiguousarray(codes.estimate(unit @ rotation(codes.dim).T).T)
+    high += slack
     n = len(ids)
     for j in range(len(q_ids)):
-        reach = np.partition(low[:, j], n - k - 1)[n - k - 1] if n > k else -np.inf  # one more than k: the query's own row may be among them
-        rows = np.flatnonzero(high[:, j] >= max(reach, floor[j] - 1e-6))
+        least = floor[j] - 1e-6
+        if least == -np.inf and n > k:
+            least = np.partition(high[j] - 2 * slack, n - k - 1)[n - k - 1]  # one more than k: the query's own row may be among them
+        rows = np.flatnonzero(high[j] >= least)
         rows = rows[ids[rows] != q_ids[j]]
-        if not len(rows):
-            continue
+        if len(rows) > k and codes.even and 1e-100 < q_norm[j] < 1e100:
+            near = codes.single[rows] @ single[j]
+            rows = rows[near >= max(np.partition(near, len(rows) - k)[len(rows) - k] - 2 * codes.error, floor[j] - codes.error)]
         score = exact_cosine(codes.vectors[rows], codes.norms[rows], q[j], q_norm[j])
         order = np.lexsort((ids[rows], -score))[:k]
+        kept = order[~(score[order] < floor[j])]
         if len(order) == k:
             floor[j] = max(floor[j], score[order[-1]])
-        yield j, ids[rows][order], score[order]
+        if len(kept):
+            yield j, ids[rows][kept], score[kept]
 
 
 def search(index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id", vec_col: str = "embedding", bound: float = 4.0) -> DataFrame:
@@ -145,7 +166,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_
     rest = [c for c in asked.columns if c != "id"]
     asked = asked.groupBy("id").agg(F.min(F.struct(*rest)).alias("one")).select("id", *[f"one.{c}" for c in rest])  # of rows with one id the least vector asks
     asked = blocks(asked, 1, 1024).select(F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-    asked = asked.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    asked = asked.withColumn("q_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).hint("merge")  # Spark takes it for as small as the queries and would broadcast it, however often it repeats them
     met = data.join(asked, (F.col("part") == F.col("q_part")) & (F.col("dim") == F.col("q_dim"))).select("dim", "ids", "vectors", "q_ids", "q_vectors")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -157,10 +178,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_
                 raw = b.column("vectors")[i].as_py()
                 ids = np.frombuffer(b.column("ids")[i].as_py(), np.int64)
                 if last is None or last[0] != raw:
-                    last = raw, Codes(np.frombuffer(raw).reshape(-1, dim))
+                    last = raw, Codes(unpacked(raw, len(ids), dim))
                 q_raw = b.column("q_ids")[i].as_py()
                 q_ids = np.frombuffer(q_raw, np.int64)
-                q = np.frombuffer(b.column("q_vectors")[i].as_py()).reshape(-1, dim)
+                q = unpacked(b.column("q_vectors")[i].as_py(), len(q_ids), dim)
                 if len(floors) > 1000:
                     floors.clear()
                 floor = floors.setdefault(q_raw, np.full(len(q_ids), -np.inf))

@@ -540,6 +540,31 @@ def test_nearest(spark):
     assert [x for x in got if x[0] == 50][:5] == [(50, k + 1, 100 + k, got[[g[:2] for g in got].index((50, k + 1))][3]) for k in range(5)]
 
 
+def test_query_blocks_are_not_broadcast(spark):
+    """They are repeated for each part of the index, so a broadcast grows with the square of the table."""
+    df = spark.createDataFrame([(k, [float(np.cos(k)), float(np.sin(k)), 0.1]) for k in range(200)], "vec_id long, embedding array<double>")
+    found = ann.search(df, df.where("vec_id % 50 = 0"))
+    assert len(found.collect()) == 20
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ranks_of_a_block_are_those_of_all_scores():
+    """Vectors of which many are nearly as close, of sizes where squares overflow or vanish, and in single precision."""
+    r = np.random.default_rng(9)
+    base = r.normal(size=16)
+    for v in (base + 1e-9 * r.normal(size=(500, 16)), r.normal(size=(500, 16)).astype(np.float32).astype(float), r.normal(size=(500, 16)) * 10.0 ** r.integers(-140, 140, 500)[:, None]):
+        raw = ann.packed(v)
+        assert np.array_equal(ann.unpacked(raw, *v.shape), v)
+        ids, floor, best = r.permutation(500), np.full(20, -np.inf), {}
+        q_ids, q = ids[:20], v[:20]
+        for at in range(0, 500, 100):
+            for j, i, s in ann.best_in_block(ann.Codes(v[at : at + 100]), ids[at : at + 100], q_ids, q, 5, 4.0, floor):
+                best.setdefault(j, []).extend(zip((-s).tolist(), i.tolist()))
+        got = [(int(q_ids[j]), rank, i, -s) for j in range(20) for rank, (s, i) in enumerate(sorted(best[j])[:5], 1)]
+        want = ann.brute_force(ids, v, q_ids, q)
+        assert len({x[:3] for x in got} & {x[:3] for x in want}) >= 99
+
+
 def test_few_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     got = ann.search(df, df.where("vec_id = 0")).collect()
