@@ -153,7 +153,7 @@ LATIN = r"regexp_matches(coalesce(text, ''), '^[\x00-\x7f\xa0-\xff]*$')"
 def charset_guesses(spark, sf_dir):
     """Documents as bytes that nothing describes: in windows-1252 as far as they can be written so, else in UTF-8; of others a sentence in one of fourteen charsets."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", (F.col("doc_id") % KINDS).alias("v"))
-    latin = F.col("text").rlike(r"^[\x00-\x7f\xa0-\xff]*$")
+    latin = F.col("text").rlike(r"^[\x00-\x7f\xa0-\xff]*\z")
     payload = F.when(latin, F.encode(F.when(latin, F.col("text")), "ISO-8859-1")).otherwise(F.encode("text", "UTF-8"))
     for i, (name, sentence) in enumerate(SPOKEN.items()):
         payload = F.when(F.col("v") == i, F.concat(F.unhex(F.lit(sentence.encode(name).hex())), F.encode(F.concat(F.lit(" "), F.col("doc_id").cast("string")), "UTF-8"))).otherwise(payload)

@@ -1,5 +1,7 @@
 """Charsets that nothing declares, elements of models, media of many documents, phrases, classes of hosts, agents."""
 
+import hashlib
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -41,6 +43,25 @@ def test_guessed_invented(text):
     assert charsets.text_of(text.encode("cp1252"), None) == text
 
 
+@pytest.mark.parametrize(
+    "text", ["elleéch. en " + "Éç " * 14, "ierç, la èrele é, ÈONÊ!! éoieau " + "êtioneux " * 50, "cióndo un cojación así, ó de. " + "óíñ " * 34, "est anqueeau ÉÈÈÈ!! EUXON!! est outionêeau", "de. elleellech ouê et è ç", "Lereè " + "éç " * 60 + "une"]
+)
+def test_guessed_repeated(text):
+    """A word that fills the text, four letters beyond ASCII in a row among plain ones, and letters that stand alone do not make another set."""
+    assert charsets.text_of(text.encode("cp1252"), None) == text
+    assert charsets.text_of(("Мороз и солнце " + "день " * 60).encode("cp1251"), None) == "Мороз и солнце " + "день " * 60
+
+
+def test_guesses_of_texts_that_end_with_a_line(spark, tmp_path):
+    """A last line separator is no letter of the Latin set."""
+    from pagemill.catalog import variants
+
+    texts = [(14, "über\u2028"), (15, "so\u0085"), (30, "naïve\n"), (31, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: r["body"] for r in variants.charset_guesses(spark, str(tmp_path)).collect()}
+    assert got == {k: t and hashlib.md5(t.encode()).hexdigest() for k, t in texts}
+
+
 @pytest.mark.parametrize("text,name", [("Да", "cp1251"), ("нет 3D", "koi8_r"), ("page of правда and more words", "cp1251"), ("一人", "big5"), ("Cześć, mały świat", "cp1250"), ("ή όχι", "cp1253")])
 def test_guessed_short(text, name):
     assert charsets.text_of(text.encode(name), None) == text
